@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .decoded import Decoded, decoded, strip
+from .decoded import Decoded, parsed_or_bad, strip
 
 # English month names as published, in calendar order.
 MONTH_NAMES = (
@@ -16,9 +16,7 @@ MONTH_WORD = "(" + "|".join(MONTH_NAMES) + ")"
 
 
 def _parsed(text: Column, shape: str, layout: str) -> Decoded:
-    trimmed = strip(text)
-    value = F.when(trimmed.rlike(shape), F.try_to_date(trimmed, layout))
-    return decoded(value, F.lit(True), value.isNotNull())
+    return parsed_or_bad(strip(text), lambda t: F.when(t.rlike(shape), F.try_to_date(t, layout)))
 
 
 def slash_date(text: Column) -> Decoded:
@@ -43,15 +41,16 @@ def month_number(name: Column) -> Column:
 
 def month_key(name: Column, year: Column) -> Column:
     """``yyyy-MM`` from a month name and a four-digit year."""
-    number = month_number(name)
     return F.when(
-        number.isNotNull() & year.rlike("^[0-9]{4}$"),
-        F.concat(year, F.lit("-"), F.lpad(number.cast("string"), 2, "0")),
+        year.rlike("^[0-9]{4}$"),
+        F.concat(year, F.lit("-"), F.lpad(month_number(name).cast("string"), 2, "0")),
     )
 
 
 def month_name_year(text: Column) -> Decoded:
     """``October 2014`` to ``2014-10``."""
     shape = f"^{MONTH_WORD} ([0-9]{{4}})$"
-    value = month_key(F.regexp_extract(text, shape, 1), F.regexp_extract(text, shape, 2))
-    return decoded(value, F.lit(True), value.isNotNull())
+    return parsed_or_bad(
+        text,
+        lambda t: F.when(t.rlike(shape), month_key(F.substring_index(t, " ", 1), F.substring_index(t, " ", -1))),
+    )

@@ -1,38 +1,76 @@
-"""The result shape shared by all strict decoders."""
+"""The shape shared by all strict decoders, and white space."""
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Unicode white space plus the information separators: as a set, and as a pattern.
+SPACES = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+SPACE = r"(?U)[\s\x1c-\x1f]"
 
-class Decoded(NamedTuple):
-    """``value`` is null for an absent or bad cell; ``bad`` tells the two apart."""
 
-    value: Column
-    bad: Column
+def strip(text: Column) -> Column:
+    return F.btrim(text, F.lit(SPACES))
 
 
-# Unicode white space plus the information separators that Python also strips.
-SPACE = r"(?U)[\s\x1c-\x1f]"
+def always(_: Column) -> Column:
+    return F.lit(True)
 
 
-def strip(text: Column) -> Column:
-    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
+@dataclass(frozen=True)
+class Decoded:
+    """A cell on its way from text to a value, in three steps.
+
+    ``text`` is the cleaned cell, ``parse`` turns it into a typed intermediate, and
+    ``value`` and ``good`` look at both. Absent cells give null; present cells that are
+    not good give null and are bad. ``with_decoded`` evaluates each step once in its
+    own projection; the properties below are the same as one expression.
+    """
 
+    text: Column
+    parse: Callable[[Column], Column]
+    value_of: Callable[[Column, Column], Column]
+    good: Callable[[Column, Column], Column]
+    present: Callable[[Column], Column] = always
 
-def decoded(value: Column, present: Column, good: Column) -> Decoded:
-    """Null when absent, null and bad when present but not good."""
-    fine = F.coalesce(good, F.lit(False))
-    return Decoded(F.when(present & fine, value), present & ~fine)
+    def outcome(self, text: Column, parsed: Column) -> tuple[Column, Column]:
+        present = F.coalesce(self.present(text), F.lit(False))
+        fine = F.coalesce(self.good(text, parsed), F.lit(False))
+        return F.when(present & fine, self.value_of(text, parsed)), present & ~fine
+
+    @property
+    def value(self) -> Column:
+        return self.outcome(self.text, self.parse(self.text))[0]
+
+    @property
+    def bad(self) -> Column:
+        return self.outcome(self.text, self.parse(self.text))[1]
+
+
+def parsed_or_bad(text: Column, parse: Callable[[Column], Column], present=always) -> Decoded:
+    """Good whenever it parses."""
+    return Decoded(text, parse, lambda t, p: p, lambda t, p: p.isNotNull(), present)
 
 
 def with_decoded(df: DataFrame, columns: dict[str, Decoded], bad: str = "bad_fields") -> DataFrame:
     """Add every decoded value and one array naming the fields that failed."""
-    failed = F.filter(
-        F.array(*[F.when(d.bad, F.lit(name)) for name, d in columns.items()]),
-        lambda name: name.isNotNull(),
+    texts = df.withColumns({f"text of {name}": d.text for name, d in columns.items()})
+    parsed = texts.withColumns(
+        {f"parsed {name}": d.parse(F.col(f"`text of {name}`")) for name, d in columns.items()}
+    )
+    values, failed = {}, []
+    for name, d in columns.items():
+        value, wrong = d.outcome(F.col(f"`text of {name}`"), F.col(f"`parsed {name}`"))
+        values[name] = value
+        failed.append(F.when(wrong, F.lit(name)))
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in values]
+    return parsed.select(
+        *kept, *[v.alias(name) for name, v in values.items()], F.array_compact(F.array(*failed)).alias(bad)
     )
-    return df.withColumns({**{name: d.value for name, d in columns.items()}, bad: failed})

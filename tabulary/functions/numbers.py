@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .decoded import Decoded, decoded, strip
+from .decoded import Decoded, always, strip
 
 # Cells that mean "no figure".
 NULL_TOKENS = ("", ".", "N/A", "NA")
@@ -15,41 +17,55 @@ MAX_COUNT = 10_000_000
 
 # decimal(38,18) loses scale in arithmetic and would round away a nineteenth digit.
 WIDE = "decimal(30,18)"
-# At most 18 fraction digits, so the cast to WIDE never rounds. Exponents are kept
+# At most 18 fraction digits, so the cast to WIDE never rounds; exponents are kept
 # small enough that the same holds after the point is moved.
-_PLAIN = r"^[+-]?([0-9]+(\.[0-9]{0,18})?|\.[0-9]{1,18})$"
-_POWER = r"^[+-]?([0-9]{1,6}(\.[0-9]{0,6})?|\.[0-9]{1,6})[eE][+-]?0*([0-9]|1[0-2])$"
+_EXACT = (
+    r"^[+-]?(?:(?:[0-9]+(?:\.[0-9]{0,18})?|\.[0-9]{1,18})"
+    r"|(?:[0-9]{1,6}(?:\.[0-9]{0,6})?|\.[0-9]{1,6})[eE][+-]?0*(?:[0-9]|1[0-2]))$"
+)
+_LONG_TAIL = r"^([+-]?[0-9]*\.[0-9]{18})[0-9]+$"
 
 
-def present_text(text: Column) -> tuple[Column, Column]:
-    """Trimmed text, and whether it carries a figure at all."""
-    trimmed = strip(text)
-    return trimmed, F.coalesce(~trimmed.isin(*NULL_TOKENS), F.lit(False))
+def has_figure(trimmed: Column) -> Column:
+    return ~trimmed.isin(*NULL_TOKENS)
 
 
 def null_token(text: Column) -> Column:
-    trimmed, present = present_text(text)
-    return F.when(present, trimmed)
+    trimmed = strip(text)
+    return F.when(has_figure(trimmed), trimmed)
 
 
 def exact_decimal(trimmed: Column) -> Column:
-    """A decimal equal to the text, or null when the text is no plain number."""
-    shape = trimmed.rlike(_PLAIN) | trimmed.rlike(_POWER)
-    return F.when(shape, trimmed.try_cast(WIDE))
+    """A decimal equal to the text, or null when the text is no plain number.
+
+    Short text without exponent cannot have more than 18 fraction digits, so only
+    longer text needs the pattern.
+    """
+    short = (F.length(trimmed) <= 18) & ~F.contains(trimmed, F.lit("e")) & ~F.contains(trimmed, F.lit("E"))
+    return F.when(short | trimmed.rlike(_EXACT), trimmed.try_cast(WIDE))
+
+
+def cut_tail(trimmed: Column) -> Column:
+    """Text cut after 18 fraction digits; never changes a half-up decision before them."""
+    return F.when(F.length(trimmed) > 19, F.regexp_replace(trimmed, _LONG_TAIL, "$1")).otherwise(trimmed)
+
+
+def power_of_ten(digits: int) -> Column:
+    return F.lit(10**digits).cast(f"decimal({digits + 1},0)")
 
 
 def scaled_integer(
     text: Column, digits: int, low: int, high: int, null_tokens: bool = True
 ) -> Decoded:
     """text × 10^digits, which must be integral and inside [low, high]."""
-    if null_tokens:
-        trimmed, present = present_text(text)
-    else:
-        trimmed, present = strip(text), F.lit(True)
-    number = exact_decimal(trimmed)
-    rounded = F.round(number, digits)
-    scaled = (rounded * F.lit(10**digits).cast("decimal(10,0)")).try_cast("bigint")
-    return decoded(scaled, present, (number == rounded) & scaled.between(low, high))
+    bottom, top = (F.lit(Decimal(b).scaleb(-digits)).cast(WIDE) for b in (low, high))
+    return Decoded(
+        text=strip(text),
+        parse=exact_decimal,
+        value_of=lambda t, x: (F.round(x, digits) * power_of_ten(digits)).try_cast("bigint"),
+        good=lambda t, x: (x == F.round(x, digits)) & (x >= bottom) & (x <= top),
+        present=has_figure if null_tokens else always,
+    )
 
 
 def percent_basis_points(text: Column) -> Decoded:
@@ -75,43 +91,50 @@ def required_percent(text: Column, trailing_ticks: bool = False) -> Decoded:
     """
     trimmed = strip(text)
     if trailing_ticks:
-        trimmed = F.regexp_replace(trimmed, "`+$", "")
+        trimmed = F.rtrim(trimmed, F.lit("`"))
     return scaled_integer(
         F.regexp_replace(trimmed, "%$", ""), 2, 0, MAX_BASIS_POINTS, null_tokens=False
     )
 
 
 def count_value(text: Column) -> Decoded:
-    trimmed, present = present_text(text)
-    number = F.when(trimmed.rlike("^[0-9]+$"), trimmed.try_cast("decimal(38,0)"))
-    return decoded(number.try_cast("bigint"), present, number <= MAX_COUNT)
+    return Decoded(
+        text=strip(text),
+        parse=lambda t: F.when(t.rlike("^[0-9]+$"), t.try_cast("decimal(38,0)")),
+        value_of=lambda t, n: n.try_cast("bigint"),
+        good=lambda t, n: n <= MAX_COUNT,
+        present=has_figure,
+    )
 
 
 def currency_amount(text: Column) -> Decoded:
-    bare = F.replace(text, F.lit(","), F.lit(""))
-    number = F.when(bare.rlike("^[0-9]+$"), bare.try_cast("bigint"))
-    return decoded(number, text.isNotNull(), number > 0)
+    return Decoded(
+        text=F.replace(text, F.lit(","), F.lit("")),
+        parse=lambda t: F.when(t.rlike("^[0-9]+$"), t.try_cast("bigint")),
+        value_of=lambda t, n: n,
+        good=lambda t, n: n > 0,
+        present=lambda t: t.isNotNull(),
+    )
 
 
 def year_number(text: Column) -> Decoded:
-    number = F.when(text.rlike("^[0-9]{4}$"), text.try_cast("int"))
-    return decoded(number, text.isNotNull(), number.between(1900, 2500))
+    return Decoded(
+        text=text,
+        parse=lambda t: F.when(t.rlike("^[0-9]{4}$"), t.try_cast("int")),
+        value_of=lambda t, n: n,
+        good=lambda t, n: n.between(1900, 2500),
+        present=lambda t: t.isNotNull(),
+    )
 
 
 def millionths(number: Column) -> Column:
-    """number × 10^6 rounded half up; null when negative or not a number.
-
-    Text is cut after 18 fraction digits first: cutting never changes a half-up
-    decision at the sixth digit, whereas a rounding cast could.
-    """
-    text = strip(number.cast("string"))
-    plain = F.regexp_replace(text, r"^([+-]?[0-9]*\.[0-9]{18})[0-9]+$", "$1")
-    rounded = F.round(exact_decimal(plain), 6)
-    return F.when(rounded >= 0, (rounded * F.lit(1_000_000).cast("decimal(10,0)")).try_cast("bigint"))
+    """number × 10^6 rounded half up; null when negative or not a number."""
+    value = exact_decimal(cut_tail(strip(number.cast("string"))))
+    return F.when(value >= 0, (F.round(value, 6) * power_of_ten(6)).try_cast("bigint"))
 
 
 def cell_is_number(text: Column) -> Column:
-    return F.coalesce(exact_decimal(strip(text)).isNotNull(), F.lit(False))
+    return exact_decimal(strip(text)).isNotNull()
 
 
 def cell_integer(text: Column, is_number: Column) -> Column:
@@ -125,19 +148,19 @@ def cell_integer(text: Column, is_number: Column) -> Column:
 def cell_factor(text: Column) -> Column:
     """Finite number in a cell, kept as text so that no digit is lost."""
     trimmed = strip(text)
-    return F.when(exact_decimal(F.regexp_replace(trimmed, r"^([+-]?[0-9]*\.[0-9]{18})[0-9]+$", "$1")).isNotNull(), trimmed)
+    return F.when(exact_decimal(cut_tail(trimmed)).isNotNull(), trimmed)
 
 
 def cell_rate(text: Column, is_number: Column) -> Column:
     """Basis points from ``0.2%``, ``… 20.0 Percent`` or a numeric fraction; half even."""
     trimmed = strip(text)
-    signed = exact_decimal(F.regexp_extract(trimmed, "^(.*)%$", 1))
-    phrase = exact_decimal(F.regexp_extract(trimmed, "([0-9]+(?:[.][0-9]+)?) Percent", 1))
-    fraction = exact_decimal(trimmed)
-    hundred = F.lit(100).cast("decimal(6,0)")
+
+    def basis_points(number: Column, digits: int) -> Column:
+        return F.bround(number.cast("decimal(24,14)") * power_of_ten(digits), 0).try_cast("int")
+
+    phrase = F.regexp_extract(trimmed, "([0-9]+(?:[.][0-9]+)?) Percent", 1)
     return (
-        F.when(is_number, F.bround(fraction.cast("decimal(24,14)") * hundred * hundred, 0))
-        .when(trimmed.endswith("%"), F.bround(signed.cast("decimal(24,14)") * hundred, 0))
-        .otherwise(F.bround(phrase.cast("decimal(24,14)") * hundred, 0))
-        .try_cast("int")
+        F.when(is_number, basis_points(exact_decimal(trimmed), 4))
+        .when(trimmed.endswith("%"), basis_points(exact_decimal(F.regexp_replace(trimmed, "%$", "")), 2))
+        .when(F.contains(trimmed, F.lit(" Percent")), basis_points(exact_decimal(phrase), 2))
     )

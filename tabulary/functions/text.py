@@ -7,44 +7,43 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .decoded import SPACE, Decoded, decoded, strip
+from .decoded import SPACE, Decoded, parsed_or_bad, strip
 
 # Dash variants seen in ruling numbers, and box-drawing borders.
 DASHES = r"\-\u2010-\u2015"
 BORDERS = " \u2502\u250c\u2514\u2510\u2518\u2500"
-# Places where a text breaks into lines.
-LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
+# Places where a text breaks into lines, besides the line feed.
+OTHER_BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
 # Term names as published, with their stored form.
 TERMS = {"short-term": "short_term", "mid-term": "mid_term", "long-term": "long_term"}
 
 
 def collapse(text: Column) -> Column:
     """Runs of white space, no-break space included, become one space."""
-    return F.trim(F.regexp_replace(text, f"{SPACE}+", " "))
+    return F.btrim(F.regexp_replace(text, f"{SPACE}+", " "))
 
 
 def text_lines(text: Column) -> Column:
-    """Array of non-empty lines without borders, white space collapsed."""
-    cleaned = F.translate(text, "\u0002\u00a0", "- ")
-    edges = f"^[{BORDERS}]+|[{BORDERS}]+$"
+    """Array of non-empty lines without borders, white space collapsed.
+
+    Rare characters are replaced one by one, which is a plain byte search, so that the
+    text can be cut at line feeds without a pattern.
+    """
+    broken = F.replace(F.replace(text, F.lit("\u0002"), F.lit("-")), F.lit("\u00a0"), F.lit(" "))
+    for mark in OTHER_BREAKS:
+        broken = F.replace(broken, F.lit(mark), F.lit("\n"))
     return F.filter(
-        F.transform(
-            F.split(cleaned, LINE_BREAK), lambda line: collapse(F.regexp_replace(line, edges, ""))
-        ),
+        F.transform(F.split(broken, "\n"), lambda line: collapse(F.btrim(line, F.lit(BORDERS)))),
         lambda line: line != "",
     )
 
 
 def revision_flag(text: Column) -> Decoded:
-    trimmed = strip(text)
-    return decoded(trimmed, F.coalesce(trimmed != "", F.lit(False)), trimmed.isin("Y", "N"))
+    return parsed_or_bad(strip(text), lambda t: F.when(t.isin("Y", "N"), t), lambda t: t != "")
 
 
 def identifier(text: Column) -> Decoded:
-    trimmed = strip(text)
-    return decoded(
-        trimmed, F.coalesce(trimmed != "", F.lit(False)), trimmed.rlike("^[A-Za-z0-9_.-]{1,32}$")
-    )
+    return parsed_or_bad(strip(text), lambda t: F.when(t.rlike("^[A-Za-z0-9_.-]{1,32}$"), t), lambda t: t != "")
 
 
 def ruling_citation(text: Column) -> Column:
@@ -62,8 +61,10 @@ def ruling_citation(text: Column) -> Column:
 
 def ruling_label(text: Column) -> Decoded:
     """A whole cell that is a ruling number; a missing full stop is put back."""
-    value = F.regexp_replace(text, r"^Rev\. Rul ", "Rev. Rul. ")
-    return decoded(value, F.lit(True), text.rlike(r"^Rev\. Rul\.? ([0-9]{4}|[0-9]{2})-[0-9]{1,3}$"))
+    shape = r"^Rev\. Rul\.? ([0-9]{4}|[0-9]{2})-[0-9]{1,3}$"
+    return parsed_or_bad(
+        text, lambda t: F.when(t.rlike(shape), F.regexp_replace(t, r"^Rev\. Rul ", "Rev. Rul. "))
+    )
 
 
 def procedure_citation(text: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import ContractError
+from ..functions.decoded import strip
 
 VIOLATION_COLUMNS = ["rule", "key", "code"]
 
@@ -55,7 +56,7 @@ def assert_clean(found: DataFrame) -> None:
 
 def drop_blank_rows(df: DataFrame, columns: list[str]) -> DataFrame:
     """Drop rows in which every given cell is null or white space."""
-    filled = [F.when(F.trim(F.regexp_replace(c, r"(?U)\s", "")) != "", F.lit(1)) for c in columns]
+    filled = [F.when(strip(F.col(f"`{c}`")) != "", F.lit(1)) for c in columns]
     return df.filter(F.coalesce(*filled).isNotNull())
 
 

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from . import decode
+from . import decode, filters, merges
 
-QUERIES = {**decode.QUERIES}
+QUERIES = {**decode.QUERIES, **filters.QUERIES, **merges.QUERIES}

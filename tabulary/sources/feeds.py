@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..errors import ContractError
 from ..functions import dates, numbers, text
-from ..functions.decoded import Decoded, with_decoded
+from ..functions.decoded import Decoded, parsed_or_bad, with_decoded
 from ..functions.records import TENORS
 from ..operators import checks
 from ..operators.aggregates import duplicate_keys
@@ -158,12 +158,11 @@ def read_curve(spark: SparkSession, path: str) -> DataFrame:
 
 def decode_overnight(rows: DataFrame, rate_type: str) -> DataFrame:
     """date, rate_basis_points and ``bad_fields``; a foreign rate type is bad."""
-    kind = F.col("Rate Type")
     out = with_decoded(
         rows,
         {
             "date": dates.padded_slash_date(F.col("Effective Date")),
-            "rate_type": Decoded(kind, ~kind.eqNullSafe(F.lit(rate_type))),
+            "rate_type": parsed_or_bad(F.col("Rate Type"), lambda t: F.when(t == rate_type, t)),
             "rate_basis_points": numbers.percent_basis_points(F.col("Rate (%)")),
         },
     )
