@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
-from . import decode, filters, merges
+from . import decode, filters, merges, ordered, relations
 
-QUERIES = {**decode.QUERIES, **filters.QUERIES, **merges.QUERIES}
+QUERIES = {
+    name: query
+    for module in (decode, filters, merges, relations, ordered)
+    for name, query in module.QUERIES.items()
+}
