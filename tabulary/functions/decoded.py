@@ -24,14 +24,23 @@ def always(_: Column) -> Column:
     return F.lit(True)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` with its argument bound to ``value``, which is evaluated once.
+
+    Decoders look at a cell several times. As one plain expression the cell's parsing
+    would be repeated at every look, and once more in every filter that the optimizer
+    moves below the projection.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 @dataclass(frozen=True)
 class Decoded:
     """A cell on its way from text to a value, in three steps.
 
     ``text`` is the cleaned cell, ``parse`` turns it into a typed intermediate, and
-    ``value`` and ``good`` look at both. Absent cells give null; present cells that are
-    not good give null and are bad. ``with_decoded`` evaluates each step once in its
-    own projection; the properties below are the same as one expression.
+    ``value_of`` and ``good`` look at both. Absent cells give null; present cells that
+    are not good give null and are bad.
     """
 
     text: Column
@@ -40,18 +49,25 @@ class Decoded:
     good: Callable[[Column, Column], Column]
     present: Callable[[Column], Column] = always
 
-    def outcome(self, text: Column, parsed: Column) -> tuple[Column, Column]:
+    def _result(self, text: Column, parsed: Column) -> Column:
         present = F.coalesce(self.present(text), F.lit(False))
-        fine = F.coalesce(self.good(text, parsed), F.lit(False))
-        return F.when(present & fine, self.value_of(text, parsed)), present & ~fine
+        state = F.when(present, F.coalesce(self.good(text, parsed), F.lit(False)))
+        return let(
+            state, lambda fine: F.struct(F.when(fine, self.value_of(text, parsed)).alias("value"), (~fine).alias("bad"))
+        )
+
+    @property
+    def outcome(self) -> Column:
+        """Struct of value and bad; bad is null for an absent cell."""
+        return let(self.text, lambda text: let(self.parse(text), lambda parsed: self._result(text, parsed)))
 
     @property
     def value(self) -> Column:
-        return self.outcome(self.text, self.parse(self.text))[0]
+        return self.outcome["value"]
 
     @property
     def bad(self) -> Column:
-        return self.outcome(self.text, self.parse(self.text))[1]
+        return F.coalesce(self.outcome["bad"], F.lit(False))
 
 
 def parsed_or_bad(text: Column, parse: Callable[[Column], Column], present=always) -> Decoded:
@@ -61,16 +77,9 @@ def parsed_or_bad(text: Column, parse: Callable[[Column], Column], present=alway
 
 def with_decoded(df: DataFrame, columns: dict[str, Decoded], bad: str = "bad_fields") -> DataFrame:
     """Add every decoded value and one array naming the fields that failed."""
-    texts = df.withColumns({f"text of {name}": d.text for name, d in columns.items()})
-    parsed = texts.withColumns(
-        {f"parsed {name}": d.parse(F.col(f"`text of {name}`")) for name, d in columns.items()}
-    )
-    values, failed = {}, []
-    for name, d in columns.items():
-        value, wrong = d.outcome(F.col(f"`text of {name}`"), F.col(f"`parsed {name}`"))
-        values[name] = value
-        failed.append(F.when(wrong, F.lit(name)))
-    kept = [F.col(f"`{c}`") for c in df.columns if c not in values]
-    return parsed.select(
-        *kept, *[v.alias(name) for name, v in values.items()], F.array_compact(F.array(*failed)).alias(bad)
-    )
+    outcomes = df.withColumns({f"outcome of {name}": d.outcome for name, d in columns.items()})
+    taken = {name.lower() for name in columns}
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
+    values = [F.col(f"`outcome of {name}`.value").alias(name) for name in columns]
+    failed = [F.when(F.col(f"`outcome of {name}`.bad"), F.lit(name)) for name in columns]
+    return outcomes.select(*kept, *values, F.array_compact(F.array(*failed)).alias(bad))

@@ -7,7 +7,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .decoded import SPACE, Decoded, parsed_or_bad, strip
+from .decoded import SPACE, Decoded, let, parsed_or_bad, strip
 
 # Dash variants seen in ruling numbers, and box-drawing borders.
 DASHES = r"\-\u2010-\u2015"
@@ -49,12 +49,11 @@ def identifier(text: Column) -> Decoded:
 def ruling_citation(text: Column) -> Column:
     """First ``Rev. Rul. YYYY-N`` in a text, leading zeros of N removed."""
     shape = rf"(?i)Rev\. Rul\. ([0-9]{{4}}|[0-9]{{2}})[{DASHES}]([0-9]{{1,3}})"
-    number = F.regexp_extract(text, shape, 2)
-    return F.when(
-        number != "",
-        F.concat(
-            F.lit("Rev. Rul. "), F.regexp_extract(text, shape, 1), F.lit("-"),
-            number.try_cast("int").cast("string"),
+    return let(
+        F.regexp_substr(text, F.lit(shape)),
+        lambda found: F.concat(
+            F.lit("Rev. Rul. "), F.regexp_extract(found, shape, 1), F.lit("-"),
+            F.regexp_extract(found, shape, 2).try_cast("int").cast("string"),
         ),
     )
 
@@ -68,8 +67,8 @@ def ruling_label(text: Column) -> Decoded:
 
 
 def procedure_citation(text: Column) -> Column:
-    found = F.regexp_extract(text, r"Rev\. Proc\. ([0-9]{4}-[0-9]{1,3})", 1)
-    return F.when(found != "", F.concat(F.lit("Rev. Proc. "), found))
+    """First ``Rev. Proc. YYYY-N`` in a text."""
+    return F.regexp_substr(text, F.lit(r"Rev\. Proc\. [0-9]{4}-[0-9]{1,3}"))
 
 
 def rate_label(text: Column) -> Column:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import decode, filters, merges, ordered, relations
+from . import decode, filters, merges, ordered, readers, relations
 
 QUERIES = {
     name: query
-    for module in (decode, filters, merges, relations, ordered)
+    for module in (decode, filters, merges, relations, ordered, readers)
     for name, query in module.QUERIES.items()
 }

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.decoded import let
 from ..functions.numbers import currency_amount, year_number
 from ..functions.text import collapse, procedure_citation
 
@@ -66,13 +67,26 @@ RULES = {
 }
 
 
-def _first_match(text: Column, rule: AmountRule, which: int) -> Column:
-    """Group of the first pattern that matches; patterns never match emptily."""
-    result = F.lit(None).cast("string")
-    for pattern, *groups in reversed(rule.patterns):
-        shape = f"(?iu){pattern}"
-        result = F.when(text.rlike(shape), F.regexp_extract(text, shape, groups[which])).otherwise(result)
-    return result
+def _sentence(text: Column, rule: AmountRule) -> Column:
+    """The matched sentence with its year and amount; null when no pattern matches.
+
+    Each pattern scans the text once; groups are then read from the short match.
+    """
+    result = F.lit(None).cast("struct<year:string,amount:string>")
+    for pattern, year, amount in reversed(rule.patterns):
+        shape = f"(?i){pattern}"
+        later = result
+        result = let(
+            F.regexp_substr(text, F.lit(shape)),
+            lambda found: F.when(
+                found.isNotNull(),
+                F.struct(
+                    F.regexp_extract(found, shape, year).alias("year"),
+                    F.regexp_extract(found, shape, amount).alias("amount"),
+                ),
+            ).otherwise(later),
+        )
+    return F.when(F.contains(text, F.lit("$")), result)
 
 
 def extract_amounts(documents: DataFrame, url: str, text: str, rule: AmountRule) -> DataFrame:
@@ -81,18 +95,29 @@ def extract_amounts(documents: DataFrame, url: str, text: str, rule: AmountRule)
     Documents without a matching sentence are dropped where the rule says so and are
     problems otherwise.
     """
-    normal = documents.select(F.col(url).alias("source_url"), collapse(F.col(text)).alias("t")).withColumns(
-        {"year_text": _first_match(F.col("t"), rule, 0), "amount_text": _first_match(F.col("t"), rule, 1)}
+    def read(sentence: Column, procedure: Column) -> Column:
+        return F.struct(
+            year_number(sentence["year"]).value.alias("year"),
+            currency_amount(sentence["amount"]).value.alias("amount"),
+            procedure.alias("procedure"),
+            sentence.isNotNull().alias("matched"),
+        )
+
+    found = documents.select(
+        F.col(url).alias("source_url"),
+        let(
+            collapse(F.col(text)),
+            lambda t: let(_sentence(t, rule), lambda s: let(procedure_citation(t), lambda p: read(s, p))),
+        ).alias("r"),
     )
     if rule.skip_unmatched:
-        normal = normal.filter(procedure_citation(F.col("t")).isNull() | F.col("amount_text").isNotNull())
-    amount, year = currency_amount(F.col("amount_text")), year_number(F.col("year_text"))
-    return normal.select(
-        F.make_date(year.value, F.lit(1), F.lit(1)).alias("period_start_date"),
-        F.make_date(year.value, F.lit(12), F.lit(31)).alias("period_end_date"),
-        amount.value.alias(rule.amount_column),
-        procedure_citation(F.col("t")).alias("revenue_procedure"),
+        found = found.filter(F.col("r.procedure").isNull() | F.col("r.matched"))
+    return found.select(
+        F.make_date("r.year", F.lit(1), F.lit(1)).alias("period_start_date"),
+        F.make_date("r.year", F.lit(12), F.lit(31)).alias("period_end_date"),
+        F.col("r.amount").alias(rule.amount_column),
+        F.col("r.procedure").alias("revenue_procedure"),
         "source_url",
-        F.when(procedure_citation(F.col("t")).isNull(), "invalid_revenue_procedure")
-        .when(amount.value.isNull() | year.value.isNull(), "invalid_amount").alias("problem"),
+        F.when(F.col("r.procedure").isNull(), "invalid_revenue_procedure")
+        .when(F.col("r.amount").isNull() | F.col("r.year").isNull(), "invalid_amount").alias("problem"),
     )

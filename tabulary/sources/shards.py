@@ -34,7 +34,7 @@ def _read_schema(schema: T.StructType) -> T.StructType:
 
 def _typed(schema: T.StructType) -> list[Column]:
     return [
-        F.try_to_date(f.name, F.lit("yyyy-MM-dd")).alias(f.name) if isinstance(f.dataType, T.DateType) else F.col(f.name)
+        F.try_to_date(F.col(f.name), "yyyy-MM-dd").alias(f.name) if isinstance(f.dataType, T.DateType) else F.col(f.name)
         for f in schema.fields
     ]
 
@@ -175,7 +175,9 @@ def nest_table_rows(select_rows: DataFrame, ultimate_rows: DataFrame) -> DataFra
     A table holds at most a few thousand rates by its ages and durations.
     """
     def ordered(key: str, value: str) -> Column:
-        pairs = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), F.col(value).alias("v"))))
+        pairs = F.array_sort(
+            F.collect_list(F.struct(F.col(key).alias("k"), F.col(value).alias("v"))), lambda a, b: (a["k"] - b["k"]).cast("int")
+        )
         return F.map_from_entries(
             F.transform(pairs, lambda p: F.struct(p["k"].cast("string").alias("key"), p["v"].alias("value")))
         )
