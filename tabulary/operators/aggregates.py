@@ -36,10 +36,15 @@ def digest(df: DataFrame, by: list[str] = ()) -> DataFrame:
     return df.groupBy(*by).agg(*digest_columns(columns))
 
 
-def file_digests(files: DataFrame) -> DataFrame:
-    """Length and sha256 of whole files read as ``binaryFile``."""
+def file_digests(files: DataFrame, root: str | None = None) -> DataFrame:
+    """Length and sha256 of whole files read as ``binaryFile``.
+
+    A file is named by its path below ``root``, or by its last component.
+    """
+    folder = None if root is None else "/" + root.rstrip("/").rsplit("/", 1)[-1] + "/"
+    name = F.substring_index("path", "/" if folder is None else folder, -1)
     return files.select(
-        F.regexp_extract("path", "([^/]+)$", 1).alias("file"),
+        name.alias("file"),
         "path",
         F.length("content").cast("bigint").alias("bytes"),
         F.sha2("content", 256).alias("sha256"),

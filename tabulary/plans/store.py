@@ -13,6 +13,8 @@ copied, and a stale shard disappears by not being listed.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -84,8 +86,24 @@ class ShardStore:
         wanted = [line for name, line in sorted(lines.items()) if shards is None or name in shards]
         if not wanted:
             return empty(self.spark, self.schema)
-        paths = [f"{self.root}/data/version={line['written']}/shard={line['shard']}" for line in wanted]
-        return self.spark.read.schema(self.schema).parquet(*paths).select(*self.schema.fieldNames())
+        by_version: dict[int, list[str]] = {}
+        for line in wanted:
+            by_version.setdefault(line["written"], []).append(line["shard"])
+        stored = T.StructType(
+            [*self.schema.fields, T.StructField("version", T.LongType()), T.StructField("shard", T.StringType())]
+        )
+        # Only directories of runs that still hold a wanted shard are listed, and the
+        # partition filter leaves the wanted shards of each.
+        holds = [
+            (F.col("version") == version) & F.col("shard").isin(names) for version, names in by_version.items()
+        ]
+        return (
+            self.spark.read.schema(stored)
+            .option("basePath", f"{self.root}/data")
+            .parquet(*[f"{self.root}/data/version={version}" for version in by_version])
+            .filter(reduce(or_, holds))
+            .select(*self.schema.fieldNames())
+        )
 
     def latest(self) -> DataFrame:
         """Record with the greatest key, from the last shard only."""

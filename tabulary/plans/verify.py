@@ -27,7 +27,7 @@ def write_json_shards(df: DataFrame, shard: str, keys: list[str], path: str) ->
 def file_manifest(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
     """Name, length and sha256 of every file below a path."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
-    return file_digests(files)
+    return file_digests(files, path)
 
 
 def file_differences(expected: DataFrame, actual: DataFrame) -> DataFrame:

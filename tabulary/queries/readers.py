@@ -494,17 +494,20 @@ FROM (SELECT c_custkey, unnest(generate_series(1950 + c_custkey % 40, 1950 + c_c
 
 
 def year_shards(spark, folder):
-    """Records written as JSON by year and read back by the shard reader."""
+    """One JSON array per year, at most a record per day, read back by the shard reader."""
     path = scratch_path(spark, "shards")
-    rows = table(spark, folder, "orders").selectExpr(f"{ORDER_DAY} AS date", "o_orderkey").groupBy("date").agg(
+    rows = table(spark, folder, "orders").selectExpr(f"{ORDER_DAY} AS date").groupBy("date").agg(
         F.count(F.lit(1)).cast("int").alias("rate_basis_points")
     )
-    rows.withColumn("year", F.year("date")).repartitionByRange("year", "date").write.partitionBy("year").json(path)
-    back = shards.read_json_records(spark, f"{path}/*/*.json", dataset("federal-funds").schema)
-    return shown(back.select("date", "rate_basis_points"))
+    text = F.concat(F.lit("["), F.array_join(F.array_sort(F.collect_list(F.to_json(F.struct("date", "rate_basis_points")))), ","), F.lit("]"))
+    rows.groupBy(F.year("date").alias("year")).agg(text.alias("value")).write.partitionBy("year").text(path)
+    back = shards.read_json_records(spark, f"{path}/*/*.txt", dataset("federal-funds").schema)
+    raw = shards.read_raw_records(spark, f"{path}/*/*.txt")
+    migrated = migrate.migrate_overnight(raw, "federal-funds")[0].select("date", F.col("rate_basis_points").alias("migrated"))
+    return shown(back.join(migrated, "date").select("date", "rate_basis_points", "migrated"))
 
 
-YEAR_SHARDS_SQL = f"SELECT CAST({ORDER_DAY} AS VARCHAR) AS date, count(*) AS rate_basis_points FROM orders GROUP BY 1"
+YEAR_SHARDS_SQL = f"SELECT CAST({ORDER_DAY} AS VARCHAR) AS date, count(*) AS rate_basis_points, count(*) AS migrated FROM orders GROUP BY 1"
 
 
 def nested_tables(spark, folder):
@@ -549,6 +552,6 @@ QUERIES = {
     "index_scan": Query(index_scan, INDEX_SQL, ("SRC-16",)),
     "seed_history": Query(seed_history, SEED_SQL, ("SRC-17", "GEN-2")),
     "year_ranges": Query(year_ranges, RANGES_SQL, ("GEN-2",)),
-    "year_shards": Query(year_shards, YEAR_SHARDS_SQL, ("SRC-4", "SRC-5")),
+    "year_shards": Query(year_shards, YEAR_SHARDS_SQL, ("SRC-4", "SRC-5", "PRJ-32")),
     "nested_tables": Query(nested_tables, NESTED_SQL, ("SRC-7", "PRJ-30")),
 }
