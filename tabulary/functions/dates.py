@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .decoded import Decoded, parsed_or_bad, strip
+from .decoded import Decoded, required, strip
 
 # English month names as published, in calendar order.
 MONTH_NAMES = (
@@ -16,7 +16,8 @@ MONTH_WORD = "(" + "|".join(MONTH_NAMES) + ")"
 
 
 def _parsed(text: Column, shape: str, layout: str) -> Decoded:
-    return parsed_or_bad(strip(text), lambda t: F.when(t.rlike(shape), F.try_to_date(t, layout)))
+    trimmed = strip(text)
+    return required(F.when(trimmed.rlike(shape), F.try_to_date(trimmed, layout)))
 
 
 def slash_date(text: Column) -> Decoded:
@@ -50,7 +51,5 @@ def month_key(name: Column, year: Column) -> Column:
 def month_name_year(text: Column) -> Decoded:
     """``October 2014`` to ``2014-10``."""
     shape = f"^{MONTH_WORD} ([0-9]{{4}})$"
-    return parsed_or_bad(
-        text,
-        lambda t: F.when(t.rlike(shape), month_key(F.substring_index(t, " ", 1), F.substring_index(t, " ", -1))),
-    )
+    key = month_key(F.substring_index(text, " ", 1), F.substring_index(text, " ", -1))
+    return required(F.when(text.rlike(shape), key))

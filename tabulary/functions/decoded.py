@@ -20,66 +20,47 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACES))
 
 
-def always(_: Column) -> Column:
-    return F.lit(True)
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` with its argument bound to ``value``, which is evaluated once.
 
-    Decoders look at a cell several times. As one plain expression the cell's parsing
-    would be repeated at every look, and once more in every filter that the optimizer
-    moves below the projection.
+    For values that are dear to compute and looked at several times inside one row, such
+    as the lines of a document. Whole-stage code shares repeated parts of cheap
+    expressions by itself, so cell decoders do without.
     """
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
 @dataclass(frozen=True)
 class Decoded:
-    """A cell on its way from text to a value, in three steps.
-
-    ``text`` is the cleaned cell, ``parse`` turns it into a typed intermediate, and
-    ``value_of`` and ``good`` look at both. Absent cells give null; present cells that
-    are not good give null and are bad.
-    """
-
-    text: Column
-    parse: Callable[[Column], Column]
-    value_of: Callable[[Column, Column], Column]
-    good: Callable[[Column, Column], Column]
-    present: Callable[[Column], Column] = always
+    """``value`` is null for an absent or a bad cell; ``present`` tells the two apart."""
 
-    def _result(self, text: Column, parsed: Column) -> Column:
-        present = F.coalesce(self.present(text), F.lit(False))
-        state = F.when(present, F.coalesce(self.good(text, parsed), F.lit(False)))
-        return let(
-            state, lambda fine: F.struct(F.when(fine, self.value_of(text, parsed)).alias("value"), (~fine).alias("bad"))
-        )
-
-    @property
-    def outcome(self) -> Column:
-        """Struct of value and bad; bad is null for an absent cell."""
-        return let(self.text, lambda text: let(self.parse(text), lambda parsed: self._result(text, parsed)))
-
-    @property
-    def value(self) -> Column:
-        return self.outcome["value"]
+    value: Column
+    present: Column
 
     @property
     def bad(self) -> Column:
-        return F.coalesce(self.outcome["bad"], F.lit(False))
+        return self.value.isNull() & F.coalesce(self.present, F.lit(False))
 
 
-def parsed_or_bad(text: Column, parse: Callable[[Column], Column], present=always) -> Decoded:
-    """Good whenever it parses."""
-    return Decoded(text, parse, lambda t, p: p, lambda t, p: p.isNotNull(), present)
+def required(value: Column) -> Decoded:
+    """A cell that may not be absent."""
+    return Decoded(value, F.lit(True))
 
 
 def with_decoded(df: DataFrame, columns: dict[str, Decoded], bad: str = "bad_fields") -> DataFrame:
-    """Add every decoded value and one array naming the fields that failed."""
-    outcomes = df.withColumns({f"outcome of {name}": d.outcome for name, d in columns.items()})
+    """Add every decoded value and one array naming the fields that failed.
+
+    Values come first, so whether a cell was present is only asked where its value is
+    null.
+    """
+    valued = df.withColumns({f"value of {name}": d.value for name, d in columns.items()})
     taken = {name.lower() for name in columns}
     kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in taken]
-    values = [F.col(f"`outcome of {name}`.value").alias(name) for name in columns]
-    failed = [F.when(F.col(f"`outcome of {name}`.bad"), F.lit(name)) for name in columns]
-    return outcomes.select(*kept, *values, F.array_compact(F.array(*failed)).alias(bad))
+    failed = [
+        F.when(F.col(f"`value of {name}`").isNull() & F.coalesce(d.present, F.lit(False)), F.lit(name))
+        for name, d in columns.items()
+    ]
+    return valued.select(
+        *kept, *[F.col(f"`value of {name}`").alias(name) for name in columns],
+        F.array_compact(F.array(*failed)).alias(bad),
+    )

@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .decoded import Decoded, always, strip
+from .decoded import Decoded, required, strip
 
 # Cells that mean "no figure".
 NULL_TOKENS = ("", ".", "N/A", "NA")
@@ -17,12 +17,10 @@ MAX_COUNT = 10_000_000
 
 # decimal(38,18) loses scale in arithmetic and would round away a nineteenth digit.
 WIDE = "decimal(30,18)"
-# At most 18 fraction digits, so the cast to WIDE never rounds; exponents are kept
-# small enough that the same holds after the point is moved.
-_EXACT = (
-    r"^[+-]?(?:(?:[0-9]+(?:\.[0-9]{0,18})?|\.[0-9]{1,18})"
-    r"|(?:[0-9]{1,6}(?:\.[0-9]{0,6})?|\.[0-9]{1,6})[eE][+-]?0*(?:[0-9]|1[0-2]))$"
-)
+# Text that a cast to WIDE might round: more than 18 fraction digits, or an exponent.
+_UNSAFE = r"[eE]|\.[0-9]{19}"
+# Exponents that keep the fraction within 18 digits after the point is moved.
+_EXPONENT = r"^[+-]?(?:[0-9]{1,6}(?:\.[0-9]{0,6})?|\.[0-9]{1,6})[eE][+-]?0*(?:[0-9]|1[0-2])$"
 _LONG_TAIL = r"^([+-]?[0-9]*\.[0-9]{18})[0-9]+$"
 
 
@@ -36,13 +34,8 @@ def null_token(text: Column) -> Column:
 
 
 def exact_decimal(trimmed: Column) -> Column:
-    """A decimal equal to the text, or null when the text is no plain number.
-
-    Short text without exponent cannot have more than 18 fraction digits, so only
-    longer text needs the pattern.
-    """
-    short = (F.length(trimmed) <= 18) & ~F.contains(trimmed, F.lit("e")) & ~F.contains(trimmed, F.lit("E"))
-    return F.when(short | trimmed.rlike(_EXACT), trimmed.try_cast(WIDE))
+    """A decimal equal to the text, or null when the text is no plain number."""
+    return F.when(~trimmed.rlike(_UNSAFE) | trimmed.rlike(_EXPONENT), trimmed.try_cast(WIDE))
 
 
 def cut_tail(trimmed: Column) -> Column:
@@ -54,18 +47,16 @@ def power_of_ten(digits: int) -> Column:
     return F.lit(10**digits).cast(f"decimal({digits + 1},0)")
 
 
-def scaled_integer(
-    text: Column, digits: int, low: int, high: int, null_tokens: bool = True
-) -> Decoded:
-    """text × 10^digits, which must be integral and inside [low, high]."""
+def scale_exactly(number: Column, digits: int, low: int, high: int) -> Column:
+    """number × 10^digits; null unless integral and inside [low, high]."""
     bottom, top = (F.lit(Decimal(b).scaleb(-digits)).cast(WIDE) for b in (low, high))
-    return Decoded(
-        text=strip(text),
-        parse=exact_decimal,
-        value_of=lambda t, x: (F.round(x, digits) * power_of_ten(digits)).try_cast("bigint"),
-        good=lambda t, x: (x == F.round(x, digits)) & (x >= bottom) & (x <= top),
-        present=has_figure if null_tokens else always,
-    )
+    exact = (number == F.round(number, digits)) & (number >= bottom) & (number <= top)
+    return F.when(exact, (F.round(number, digits) * power_of_ten(digits)).try_cast("bigint"))
+
+
+def scaled_integer(text: Column, digits: int, low: int, high: int) -> Decoded:
+    trimmed = strip(text)
+    return Decoded(scale_exactly(exact_decimal(trimmed), digits, low, high), has_figure(trimmed))
 
 
 def percent_basis_points(text: Column) -> Decoded:
@@ -84,47 +75,38 @@ def index_hundred_millionths(text: Column) -> Decoded:
     return scaled_integer(text, 8, 0, MAX_BASIS_POINTS * 100_000_000)
 
 
-def required_percent(text: Column, trailing_ticks: bool = False) -> Decoded:
-    """A percent cell that may not be empty; one trailing ``%`` is dropped.
+def bare_percent(text: Column, trailing_ticks: bool = False) -> Column:
+    """Text of a percent cell without its sign.
 
     ``trailing_ticks`` also drops stray back-ticks that one published page carries.
     """
     trimmed = strip(text)
     if trailing_ticks:
         trimmed = F.rtrim(trimmed, F.lit("`"))
-    return scaled_integer(
-        F.regexp_replace(trimmed, "%$", ""), 2, 0, MAX_BASIS_POINTS, null_tokens=False
-    )
+    return F.regexp_replace(trimmed, "%$", "")
+
+
+def required_percent(text: Column, trailing_ticks: bool = False) -> Decoded:
+    """A percent cell that may not be empty; one trailing ``%`` is dropped."""
+    number = exact_decimal(bare_percent(text, trailing_ticks))
+    return required(scale_exactly(number, 2, 0, MAX_BASIS_POINTS))
 
 
 def count_value(text: Column) -> Decoded:
-    return Decoded(
-        text=strip(text),
-        parse=lambda t: F.when(t.rlike("^[0-9]+$"), t.try_cast("decimal(38,0)")),
-        value_of=lambda t, n: n.try_cast("bigint"),
-        good=lambda t, n: n <= MAX_COUNT,
-        present=has_figure,
-    )
+    trimmed = strip(text)
+    number = F.when(trimmed.rlike("^[0-9]+$"), trimmed.try_cast("bigint"))
+    return Decoded(F.when(number <= MAX_COUNT, number), has_figure(trimmed))
 
 
 def currency_amount(text: Column) -> Decoded:
-    return Decoded(
-        text=F.replace(text, F.lit(","), F.lit("")),
-        parse=lambda t: F.when(t.rlike("^[0-9]+$"), t.try_cast("bigint")),
-        value_of=lambda t, n: n,
-        good=lambda t, n: n > 0,
-        present=lambda t: t.isNotNull(),
-    )
+    bare = F.replace(text, F.lit(","), F.lit(""))
+    number = F.when(bare.rlike("^[0-9]+$"), bare.try_cast("bigint"))
+    return Decoded(F.when(number > 0, number), text.isNotNull())
 
 
 def year_number(text: Column) -> Decoded:
-    return Decoded(
-        text=text,
-        parse=lambda t: F.when(t.rlike("^[0-9]{4}$"), t.try_cast("int")),
-        value_of=lambda t, n: n,
-        good=lambda t, n: n.between(1900, 2500),
-        present=lambda t: t.isNotNull(),
-    )
+    number = F.when(text.rlike("^[0-9]{4}$"), text.try_cast("int"))
+    return Decoded(F.when(number.between(1900, 2500), number), text.isNotNull())
 
 
 def millionths(number: Column) -> Column:

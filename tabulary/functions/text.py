@@ -7,7 +7,7 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .decoded import SPACE, Decoded, let, parsed_or_bad, strip
+from .decoded import SPACE, Decoded, let, required, strip
 
 # Dash variants seen in ruling numbers, and box-drawing borders.
 DASHES = r"\-\u2010-\u2015"
@@ -39,11 +39,13 @@ def text_lines(text: Column) -> Column:
 
 
 def revision_flag(text: Column) -> Decoded:
-    return parsed_or_bad(strip(text), lambda t: F.when(t.isin("Y", "N"), t), lambda t: t != "")
+    trimmed = strip(text)
+    return Decoded(F.when(trimmed.isin("Y", "N"), trimmed), trimmed != "")
 
 
 def identifier(text: Column) -> Decoded:
-    return parsed_or_bad(strip(text), lambda t: F.when(t.rlike("^[A-Za-z0-9_.-]{1,32}$"), t), lambda t: t != "")
+    trimmed = strip(text)
+    return Decoded(F.when(trimmed.rlike("^[A-Za-z0-9_.-]{1,32}$"), trimmed), trimmed != "")
 
 
 def ruling_citation(text: Column) -> Column:
@@ -61,9 +63,7 @@ def ruling_citation(text: Column) -> Column:
 def ruling_label(text: Column) -> Decoded:
     """A whole cell that is a ruling number; a missing full stop is put back."""
     shape = r"^Rev\. Rul\.? ([0-9]{4}|[0-9]{2})-[0-9]{1,3}$"
-    return parsed_or_bad(
-        text, lambda t: F.when(t.rlike(shape), F.regexp_replace(t, r"^Rev\. Rul ", "Rev. Rul. "))
-    )
+    return required(F.when(text.rlike(shape), F.regexp_replace(text, r"^Rev\. Rul ", "Rev. Rul. ")))
 
 
 def procedure_citation(text: Column) -> Column:

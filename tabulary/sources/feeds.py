@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from ..errors import ContractError
 from ..functions import dates, numbers, text
-from ..functions.decoded import Decoded, parsed_or_bad, with_decoded
+from ..functions.decoded import Decoded, required, with_decoded
 from ..functions.records import TENORS
 from ..operators import checks
 from ..operators.aggregates import duplicate_keys
@@ -162,7 +162,7 @@ def decode_overnight(rows: DataFrame, rate_type: str) -> DataFrame:
         rows,
         {
             "date": dates.padded_slash_date(F.col("Effective Date")),
-            "rate_type": parsed_or_bad(F.col("Rate Type"), lambda t: F.when(t == rate_type, t)),
+            "rate_type": required(F.when(F.col("Rate Type") == rate_type, F.col("Rate Type"))),
             "rate_basis_points": numbers.percent_basis_points(F.col("Rate (%)")),
         },
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import MONTH_WORD, month_key
 from ..functions.decoded import let
-from ..functions.numbers import required_percent
+from ..functions.numbers import MAX_BASIS_POINTS, bare_percent, exact_decimal, scale_exactly
 from ..functions.records import COMPOUNDING, FAMILIES
 from ..functions.text import rate_label, ruling_citation, term_label, text_lines
 
@@ -165,9 +165,10 @@ def _entries(section: Column) -> Column:
 
 def _decoded_cells(entry: Column) -> Column:
     """Four decoded cells; a bad cell is null."""
-    return F.struct(
-        *[required_percent(entry["cells"][i]).value.cast("int").alias(name) for i, name in enumerate(COMPOUNDING)]
-    )
+    def decoded(cell: Column) -> Column:
+        return let(exact_decimal(bare_percent(cell)), lambda x: scale_exactly(x, 2, 0, MAX_BASIS_POINTS)).cast("int")
+
+    return F.struct(*[decoded(entry["cells"][i]).alias(name) for i, name in enumerate(COMPOUNDING)])
 
 
 def _by_place(entries: Column, adjusted: bool) -> Column:
