@@ -42,22 +42,21 @@ def described_lines(lines: Column) -> Column:
         small = F.lower(line)
         return F.contains(line, F.lit("TABLE")) | F.contains(small, F.lit("afr")) | F.contains(small, F.lit("term"))
 
-    def cells(line: Column, shape: str) -> Column:
-        return F.array(*[F.regexp_extract(line, shape, group) for group in (2, 3, 4, 5)])
-
     def describe(line: Column) -> Column:
-        titled = F.contains(line, F.lit("AFR"))
+        dated = F.contains(line, F.lit("AFR")) & F.contains(line, F.lit(" for "))
+        # White space is collapsed, so a rate row is its label and four last words.
+        tail = F.substring_index(line, " ", -4)
+        label = F.left(line, F.length(line) - F.length(tail) - 1)
         rated = line.endswith("%")
         return F.struct(
             *[F.contains(line, F.lit(f"TABLE {n}")).alias(f"table_{n}") for n in (1, 2, 3)],
             F.contains(line, F.lit("Applicable Federal Rates (AFR)")).alias("titled"),
-            F.when(titled, line_month(line)).alias("month"),
-            F.when(titled, line_month(line, ADJUSTED_MONTH_LINE)).alias("adjusted_month"),
-            term_label(line).alias("heading"),
-            F.when(rated & line.rlike(TERM_ROW), term_label(F.regexp_extract(line, TERM_ROW, 1))).alias("row_term"),
-            F.when(rated & line.rlike(LABEL_ROW), rate_label(F.regexp_extract(line, LABEL_ROW, 1))).alias("family"),
-            F.when(rated & line.rlike(TERM_ROW), cells(line, TERM_ROW))
-            .when(rated & line.rlike(LABEL_ROW), cells(line, LABEL_ROW)).alias("cells"),
+            F.when(dated, line_month(line)).alias("month"),
+            F.when(dated, line_month(line, ADJUSTED_MONTH_LINE)).alias("adjusted_month"),
+            F.when(~rated, term_label(line)).alias("heading"),
+            F.when(rated & line.rlike(TERM_ROW), term_label(label)).alias("row_term"),
+            F.when(rated & line.rlike(LABEL_ROW), rate_label(label)).alias("family"),
+            F.when(rated, F.split(tail, " ")).alias("cells"),
         )
 
     numbered = F.transform(lines, lambda line, at: F.struct(at.alias("at"), line.alias("line")))
