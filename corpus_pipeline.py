@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabulary.llm import bpe, toxicity
+from tabulary.llm import bagminhash, bpe, decontaminate, secrets, toxicity
 from tabulary.llm.common import table
 
 
@@ -18,12 +19,35 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.reject_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return bagminhash.keep_one(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; secrets in their texts are masked and n_chars follows."""
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    masked = secrets.find_secrets(docs, rest).withColumn("text", F.col("masked"))
+    return masked.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the texts that are left."""
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-STAGES = [("toxicity", drop_toxic), ("bpe", encode)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", keep_one),
+    ("decontamination", drop_leaks),
+    ("secrets", mask_secrets),
+    ("bpe", encode),
+]
 ORACLE_SQL = None
 
 

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, langid, pii, quality, secrets, toxicity
+from . import ann, bagminhash, bpe, chat, decontaminate, langid, pii, quality, secrets, toxicity
 from .common import table
 
 
@@ -15,10 +16,26 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.find_pii(table(spark, folder, "documents")).drop("redacted")
 
 
+def op2_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(table(spark, folder, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op5_chat(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.render(table(spark, folder, "conversations"))
+
+
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return bagminhash.near_duplicates(table(spark, folder, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.find_secrets(table(spark, folder, "documents")).drop("masked")
 
@@ -38,7 +55,11 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_nearest": op2_nearest,
     "op3_language_id": op3_language_id,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_chat": op5_chat,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_secret_scan": op7_secret_scan,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
