@@ -6,9 +6,11 @@ mark lies below w. A position keeps its earliest point, so two signatures agree
 of the weighted Jaccard similarity; a process ends once its time is past the latest point of the signature.
 
 Bands of the signature form buckets. No bucket is expanded into pairs: its members are compared with a leader, the
-member that shares most. Two members that do not both link to their leader can only link with each other if they share a
-shingle that the leader lacks, or if one is small enough; such members form the buckets of the next round. So no
-link is lost, while a large group of near copies costs about one comparison for each member.
+text that leads most of their buckets. Two members that do not both link to their leader can only link with each other if
+they share many shingles that the leader lacks, or if one is small enough. So members meet again, in the buckets of the
+next round, below those of their rarest such shingles that cover more than a fifth of their size; texts that share a
+passage only have enough rare ones of their own and drop out. No link is lost, while a large group of near copies
+costs about one comparison for each member.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabulary.session import scratch_path
@@ -117,7 +119,7 @@ def sets_of(texts: DataFrame) -> DataFrame:
 
 
 def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """For pairs (node, leader): sizes, common count, and the shingles that node has more often than leader."""
+    """For pairs (node, leader): sizes, common count, and which shingles node has more often than leader by how much."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,36 +127,67 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             rows = []
             for node, leader, x, y in zip(nodes, leaders, own, other, strict=True):
                 a, b = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                common, novel = overlap(a, b)
-                rows.append((node, leader, len(a), len(b), common, novel.view(np.int64)))
-            columns = list(zip(*rows, strict=True)) or [()] * 6
-            kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
-            names = ["node", "leader", "size", "leader_size", "common", "novel"]
+                common, novel, excess = overlap(a, b)
+                rows.append((node, leader, len(a), len(b), common, novel.view(np.int64), excess))
+            columns = list(zip(*rows, strict=True)) or [()] * 7
+            kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            names = ["node", "leader", "size", "leader_size", "common", "novel", "excess"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     joined = pairs.join(sets, "node").join(sets.select(F.col("node").alias("leader"), F.col("shingles").alias("other")), "leader")
-    schema = "node binary, leader binary, size long, leader_size long, common long, novel array<long>"
+    schema = "node binary, leader binary, size long, leader_size long, common long, novel array<long>, excess array<long>"
     done = _batches(joined.select("node", "leader", "shingles", "other")).mapInArrow(run, schema)
     similar = F.col("common") >= SIMILARITY * (F.col("size") + F.col("leader_size") - F.col("common"))
     return done.withColumn("linked", similar)
 
 
+def most_frequent(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """For each key the value that occurs most often; of equally frequent ones the highest-ranked."""
+    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("times"), F.max("rank").alias("rank"))
+    return counts.groupBy(*keys).agg(F.max(F.struct("times", "rank", value))[value].alias(value))
+
+
 def to_leaders(members: DataFrame) -> DataFrame:
-    """Pairs (node, leader) from members (key..., node, n): in each bucket all go to the member that shares most."""
+    """Pairs (node, leader) from members (key..., node, n).
+
+    A node ranks by the sizes of its buckets and the highest-ranked member leads a bucket at first. A node then
+    follows whoever leads most of its buckets, and a bucket's leader is the one that most of its members follow:
+    so all buckets of a family of near copies get one leader, whether it is in the bucket or not.
+    """
     keys = [c for c in members.columns if c not in ("node", "n")]
-    ranked = members.join(members.groupBy("node").agg(F.sum("n").alias("rank")), "node")
-    leaders = ranked.groupBy(*keys).agg(F.max(F.struct("rank", "node"))["node"].alias("leader"))
-    return ranked.join(leaders, keys).where(F.col("node") != F.col("leader")).select("node", "leader").distinct()
+    ranks = members.groupBy("node").agg(F.sum("n").alias("rank"))
+    ranked = members.select(*keys, "node").join(ranks, "node")
+    first = ranked.groupBy(*keys).agg(F.max(F.struct("rank", "node")).alias("first"))
+    led = ranked.select(*keys, "node").join(first, keys).select(*keys, "node", F.col("first.node").alias("leader"), F.col("first.rank").alias("rank"))
+    followed = most_frequent(led, ["node"], "leader")
+    chosen = most_frequent(led.select(*keys, "node", "rank").join(followed, "node"), keys, "leader")
+    return ranked.select(*keys, "node").join(chosen, keys).where(F.col("node") != F.col("leader")).select("node", "leader").distinct()
 
 
-def crowded(members: DataFrame) -> DataFrame:
-    """Members (key..., node) of buckets that hold more than one, with the bucket's size n."""
-    keys = [c for c in members.columns if c not in ("node", "linked")]
-    sizes = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), *([F.min("linked").alias("done")] if "linked" in members.columns else []))
-    sizes = sizes.where(F.col("n") > 1)
-    if "linked" in members.columns:
-        sizes = sizes.where(~F.col("done")).drop("done")
-    return members.join(sizes, keys)
+def crowded(members: DataFrame, keys: list[str]) -> DataFrame:
+    """Members of buckets that hold more than one, with the bucket's size n; buckets all linked to a leader are done."""
+    linked = F.min("linked") if "linked" in members.columns else F.lit(False)
+    sizes = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), linked.alias("done")).where((F.col("n") > 1) & ~F.col("done"))
+    return members.join(sizes.drop("done"), keys)
+
+
+def regroup(compared: DataFrame) -> DataFrame:
+    """Members (pool, shingle, node, linked, n) of the next round: below one leader, texts with a shingle that it lacks.
+
+    Texts of sizes a and b that link have at least (a + b) / 2.25 in common. With the leader a text shares c, so
+    of the rest, a - c, it must share 0.8 a - c with any partner. Leaving out shingles that weigh less than
+    that in total loses no partner, if all texts leave out by one order: the most frequent shingles of the pool.
+    """
+    excess = compared.select(
+        F.col("leader").alias("pool"), "node", "linked", "size", (F.col("size") - F.col("common")).alias("all_excess"),
+        F.explode(F.arrays_zip("novel", "excess")).alias("own"))
+    excess = excess.select("pool", F.col("own.novel").alias("shingle"), "node", "linked", "size", "all_excess", F.col("own.excess").alias("excess"))
+    rows = crowded(excess, ["pool", "shingle"])
+    own = Window.partitionBy("pool", "node")
+    before = F.coalesce(F.sum("excess").over(own.orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    alone = F.col("all_excess") - F.sum("excess").over(own)
+    chosen = rows.withColumn("before", before + alone).where(F.col("before") <= (1 - SIMILARITY) * F.col("size") + 1e-6)
+    return crowded(chosen.select("pool", "shingle", "node", "linked"), ["pool", "shingle"])
 
 
 def kept(df: DataFrame, label: str) -> DataFrame:
@@ -167,28 +200,24 @@ def kept(df: DataFrame, label: str) -> DataFrame:
 def links(texts: DataFrame) -> DataFrame:
     """Edges (node, leader) that connect exactly the texts (node, text) whose similarity chains reach SIMILARITY."""
     signed = sign(texts).dropDuplicates(["node"])
-    members = kept(crowded(signed.select(F.explode("keys").alias("key"), "node")), "buckets")
+    members = kept(crowded(signed.select(F.explode("keys").alias("key"), "node"), ["key"]), "buckets")
     wanted = members.select("node").distinct()
     sets = kept(sets_of(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])), "shingles")
-    pairs, found, seen = kept(to_leaders(members), "pairs"), [], []
+    pairs, found, tried = kept(to_leaders(members), "pairs"), [], []
     for turn in range(ROUNDS + 1):
         if pairs.isEmpty():
             break
         compared = kept(compare(pairs, sets), "compared")
         found.append(compared.where("linked").select("node", "leader"))
-        seen.append(pairs)
         if turn == ROUNDS:
             break
-        shared = compared.select("leader", F.explode("novel").alias("shingle"), "node", "linked")
-        groups = crowded(shared)
-        if turn < ROUNDS - 1:
-            pairs = to_leaders(groups.drop("linked").withColumnRenamed("leader", "pool"))
-        else:
-            pairs = everyone(groups)
-        both = pairs.unionByName(small_ones(compared)).distinct()
-        tried = reduce(DataFrame.unionByName, seen)
-        tried = tried.unionByName(tried.select(F.col("leader").alias("node"), F.col("node").alias("leader")))
-        pairs = kept(both.join(tried, ["node", "leader"], "left_anti"), "pairs")
+        tried += [pairs, pairs.select(F.col("leader").alias("node"), F.col("node").alias("leader"))]
+        groups = kept(regroup(compared), "groups")
+        again = to_leaders(groups.drop("linked")) if turn < ROUNDS - 1 else everyone(groups)
+        both = again.unionByName(small_ones(compared)).distinct()
+        pairs = kept(both.join(reduce(DataFrame.unionByName, tried), ["node", "leader"], "left_anti"), "pairs")
+        needed = pairs.select("node").unionByName(pairs.select(F.col("leader").alias("node"))).distinct()
+        sets = kept(sets.join(needed, "node", "left_semi"), "shingles")
     return reduce(DataFrame.unionByName, found) if found else pairs
 
 
@@ -206,8 +235,8 @@ def small_ones(compared: DataFrame) -> DataFrame:
 
 def everyone(groups: DataFrame) -> DataFrame:
     """What is left after the rounds, for groups that no leader splits: the pairs not both linked."""
-    other = groups.select("leader", "shingle", F.col("node").alias("b"), F.col("linked").alias("b_linked"))
-    joined = groups.join(other, ["leader", "shingle"]).where("node < b and not (linked and b_linked)")
+    other = groups.select("pool", "shingle", F.col("node").alias("b"), F.col("linked").alias("b_linked"))
+    joined = groups.join(other, ["pool", "shingle"]).where("node < b and not (linked and b_linked)")
     return joined.select("node", F.col("b").alias("leader")).distinct()
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bagminhash, bpe, chat, decontaminate, langid, pii, quality, secrets, toxicity
+from . import ann, bagminhash, bpe, chat, decontaminate, langid, oracles, pii, quality, secrets, toxicity
 from .common import table
 
 
@@ -65,4 +65,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_decontaminate": oracles.LEAKS,
+    "op5_chat": oracles.CHAT,
+    "op6_near_duplicates": oracles.NEAR_DUPLICATES,
+}

@@ -74,9 +74,10 @@ def shingles(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     return value[order], np.cumsum(np.bincount(own, minlength=len(texts)))
 
 
-def overlap(a: np.ndarray, b: np.ndarray) -> tuple[int, np.ndarray]:
-    """Size of the multiset intersection of sorted arrays, and the distinct values that a has more often than b."""
-    va, ia, na = np.unique(a, return_index=True, return_counts=True)
+def overlap(a: np.ndarray, b: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """Size of the multiset intersection of sorted arrays, the values that a has more often than b, and how much more."""
+    va, na = np.unique(a, return_counts=True)
     at = np.searchsorted(b, va, side="left")
     nb = np.searchsorted(b, va, side="right") - at
-    return int(np.minimum(na, nb).sum()), va[na > nb]
+    more = na > nb
+    return int(np.minimum(na, nb).sum()), va[more], (na - nb)[more]
