@@ -73,9 +73,9 @@ def rate_manifest(df: DataFrame, rate: str) -> DataFrame:
 
 
 def table_manifest(tables: DataFrame) -> DataFrame:
-    """Number of select and ultimate rates in each nested mortality table."""
+    """Number of select and ultimate values in each nested mortality table."""
     select_count = F.aggregate(
-        F.map_values("select_rates"), F.lit(0), lambda total, rates: total + F.size(rates)
+        F.map_values("select_rates"), F.lit(0), lambda total, values: total + F.size(values)
     )
     return tables.select(
         "table_id",
@@ -119,20 +119,20 @@ def lookup_statistics(df: DataFrame, by: list[str], key: str) -> DataFrame:
     )
 
 
-def records_per_key(df: DataFrame, by: list[str], record: Column, limit: int = 10_000) -> DataFrame:
-    """Records of a key as one ordered array, for keys known to be small.
+def records_per_key(
+    df: DataFrame, by: list[str], order: list[str], chunk: Column, record: Column, part_rows: int = 1_000,
+) -> DataFrame:
+    """Records of a key in order, as one array for each ``part`` (from 0) of at most ``part_rows`` records.
 
-    Sizes are counted first; a key above ``limit`` raises, and callers use the long
-    form with ``windows.sequence_number`` instead.
+    A key may have any number of records: positions come chunk by chunk, and no array holds more than a part.
     """
-    from .checks import assert_clean, key_text
+    from .windows import sequence_number
 
-    oversize = (
-        df.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit)
-        .select(F.lit("group size").alias("rule"), key_text(by).alias("key"), F.lit("group_too_large").alias("code"))
+    placed = sequence_number(df, by, order, chunk, "position")
+    return (
+        placed.groupBy(*by, F.floor((F.col("position") - 1) / part_rows).alias("part"))
+        .agg(F.array_sort(F.collect_list(F.struct("position", record.alias("record"))))["record"].alias("records"))
     )
-    assert_clean(oversize)
-    return df.groupBy(*by).agg(F.array_sort(F.collect_list(record)).alias("records"))
 
 
 def period_union(df: DataFrame, by: str, periods: str) -> DataFrame:

@@ -17,7 +17,7 @@ def term_unitrust_factor(rate: Column, years: Column) -> Column:
 
 
 def term_unitrust_table(spark: SparkSession) -> DataFrame:
-    """Payout rates 0.2% to 20% by terms of 1 to 20 years: 2000 rows, always."""
+    """Payout percentages 0.2% to 20% by terms of 1 to 20 years: 2000 rows, always."""
     return (
         spark.range(1)
         .select(F.explode(F.sequence(F.lit(20), F.lit(2000), F.lit(20))).alias("adjusted_payout_rate_basis_points"))

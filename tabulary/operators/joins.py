@@ -6,20 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-# A side is broadcast only when it is a literal list or its rows were counted below this.
-BROADCAST_ROWS = 50_000
-
-
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting at most ``limit`` + 1 rows, else leave the choice to Spark."""
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
-
-
 def apply_corrections(
     df: DataFrame, corrections: DataFrame, match: list[str], column: str, fixed: str
 ) -> DataFrame:
     """Replace ``column`` where all ``match`` columns equal a known-wrong row."""
-    known = small_side(corrections.select(*[F.col(m).alias(f"fix_{m}") for m in match], F.col(fixed).alias("fix_value")))
+    known = corrections.select(*[F.col(m).alias(f"fix_{m}") for m in match], F.col(fixed).alias("fix_value"))
     condition = F.lit(True)
     for m in match:
         condition = condition & F.col(m).eqNullSafe(F.col(f"fix_{m}"))
@@ -93,9 +84,10 @@ def contains_all(
 ) -> DataFrame:
     """Wanted rows for which one registry entry of the url holds all wanted members.
 
-    ``sets`` maps a name to (wanted array, registry array); wanted arrays are not
-    empty. Equal questions and equal entries are asked once, and an entry meets only
-    the questions whose first member it holds, so a busy url does not pair up whole.
+    ``sets`` maps a name to (wanted array, registry array). Equal questions and equal
+    entries are asked once, and an entry meets only the questions whose first member it
+    holds, so a busy url does not pair up whole. A question whose first array is empty
+    meets every entry of its url, since any entry can answer it.
     """
     probe_have = next(iter(sets.values()))[1]
     questions = wanted.select(
@@ -105,12 +97,12 @@ def contains_all(
         registry.select(url, *[F.array_sort(F.array_distinct(h)).alias(h) for _, h in sets.values()])
         .distinct()
         .select(
-            F.col(url).alias("e_url"), F.explode(probe_have).alias("e_member"),
+            F.col(url).alias("e_url"), F.explode(F.array_append(F.col(probe_have).cast("array<string>"), F.lit(None).cast("string"))).alias("e_member"),
             *[F.col(h).alias(f"e_{n}") for n, (_, h) in sets.items()],
         )
     )
     first = next(iter(sets))
-    condition = (F.col("q_url") == F.col("e_url")) & (F.element_at(f"q_{first}", 1) == F.col("e_member"))
+    condition = (F.col("q_url") == F.col("e_url")) & F.try_element_at(F.col(f"q_{first}").cast("array<string>"), F.lit(1)).eqNullSafe(F.col("e_member"))
     for name in sets:
         condition = condition & (F.size(F.array_except(F.col(f"q_{name}"), F.col(f"e_{name}"))) == 0)
     answered = questions.join(entries, condition, "left_semi").select(

@@ -44,15 +44,13 @@ def single_envelopes(df: DataFrame, data: Dataset) -> DataFrame:
 
 
 def grouped_envelopes(df: DataFrame, data: Dataset) -> DataFrame:
-    """One envelope per start year with the records in order.
-
-    A year holds at most a few hundred statutory periods; the size is checked.
-    """
+    """Envelopes per start year with the records in order: one for each part, of which a usual year has one."""
     rows = lookup_rows(df, data)
     paths = rows.groupBy("record_key").agg(F.sort_array(F.collect_set("canonical_record_path")).alias("canonical_record_paths"))
     by = ["dataset_id", "dataset_path", "record_key", "canonical_manifest_path"]
-    grouped = records_per_key(rows, by, F.col("record")).join(paths, "record_key")
-    return grouped.select(*_header("api_records"), *by, "canonical_record_paths", "records")
+    placed = rows.withColumn("first_key", F.col(f"record.{data.keys[0]}"))
+    grouped = records_per_key(placed, by, ["first_key", "record"], F.col("first_key"), F.col("record")).join(paths, "record_key")
+    return grouped.select(*_header("api_records"), *by, "part", "canonical_record_paths", "records")
 
 
 def grouped_rows(df: DataFrame, keys: list[str], order: list[str], chunk: Column) -> DataFrame:
@@ -68,8 +66,7 @@ def latest_envelope(store: ShardStore, data: Dataset) -> DataFrame:
 
 
 def _header(kind: str) -> list[Column]:
-    # The published names of the envelope schemas.
-    return [F.lit(f"rates.{kind}.v1").alias("schema_id"), F.lit(1).alias("schema_version")]
+    return [F.lit(f"tabulary.{kind}.v1").alias("schema_id"), F.lit(1).alias("schema_version")]
 
 
 def publish_envelopes(envelopes: DataFrame, path: str) -> None:

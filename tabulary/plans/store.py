@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..errors import ContractError
 from ..operators.aggregates import digest_columns, manifest_totals
 from ..registry import Dataset
 from ..sources.shards import empty, path_exists
@@ -64,7 +65,7 @@ class ShardStore:
     # Reading
 
     def lines(self) -> dict[str, Row]:
-        """Newest manifest by shard. As many lines as shards: years, rates or tables."""
+        """Newest manifest by shard. As many lines as shards: years, percentages or tables."""
         if not path_exists(self.spark, f"{self.root}/manifest/version=*/_SUCCESS"):
             return {}
         every = self.spark.read.schema(f"{MANIFEST}, version bigint").parquet(f"{self.root}/manifest")
@@ -155,6 +156,8 @@ class ShardStore:
         if not changed and not removed:
             return Published(False, version)
         version += 1
+        if path_exists(self.spark, f"{self.root}/manifest/version={version}"):
+            raise ContractError("invalid_json", f"version {version} was published by another run")
         if changed:
             subset = rows if len(changed) == len(fresh) else rows.filter(F.col("shard").isin(changed))
             # Key ranges, so a shard of any size is written by as many tasks as it needs.

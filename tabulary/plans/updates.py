@@ -120,12 +120,13 @@ def publish_secured(spark: SparkSession, root: str, wide: DataFrame, touched: li
 
 def update_monthly(spark: SparkSession, root: str, page_rows: DataFrame, url: str, html: str,
                    with_history: bool = False) -> RunMetrics:
-    """Monthly rates from pages, known transcription errors put right."""
+    """Monthly percentages from pages, known transcription errors put right."""
     data = dataset("section-7520-rates")
-    missing = pages.pages_without_table(page_rows, url, html).select(
+    months = pages.rate_table_rows(page_rows, url, html)
+    missing = pages.pages_without_months(page_rows, months, url).select(
         F.lit("rate table").alias("rule"), F.col("url").alias("key"), F.lit("html_table_not_found").alias("code")
     )
-    decoded = pages.decode_rate_table(pages.rate_table_rows(page_rows, url, html))
+    decoded = pages.decode_rate_table(months)
     checks.assert_clean(
         checks.all_violations(missing, feeds.feed_violations(decoded, ["source_url", "effective_month"]))
     )

@@ -307,9 +307,9 @@ def tenor_long(spark, folder):
         F.array(
             F.col("l_quantity").cast("bigint"), F.expr("CASE WHEN l_linenumber > 2 THEN CAST(round(l_extendedprice * 100) AS BIGINT) END"),
             F.expr("CAST(round(l_discount * 10000) AS BIGINT)"), F.expr("CAST(round(l_tax * 10000) AS BIGINT)"),
-        ).alias("rates"),
+        ).alias("yields"),
     )
-    return shown(records.tenor_rows(wide, ["l_orderkey", "l_linenumber"], "rates", MEASURES))
+    return shown(records.tenor_rows(wide, ["l_orderkey", "l_linenumber"], "yields", MEASURES))
 
 
 TENOR_SQL = f"""
@@ -335,8 +335,8 @@ def nested_long(spark, folder):
         lambda t, f, c: make[c](F.when((F.col("l_returnflag") == flag_of[t]) & (F.col("l_linestatus") == status_of[f]), F.col("q"))),
         SHAPE, PARTS,
     )
-    nested = li.groupBy("effective_month").agg(built.alias("rates"))
-    return shown(records.nested_rows(nested, ["effective_month"], "rates", SHAPE, PARTS))
+    nested = li.groupBy("effective_month").agg(built.alias("yields"))
+    return shown(records.nested_rows(nested, ["effective_month"], "yields", SHAPE, PARTS))
 
 
 NESTED_SQL = """

@@ -168,7 +168,7 @@ def corrections(spark, folder):
     fixes = nation.filter(F.col("n_nationkey") % 4 == 0).selectExpr(
         "n_nationkey", "CASE WHEN n_nationkey % 8 = 0 THEN n_regionkey ELSE n_regionkey + 1 END AS n_regionkey", "n_regionkey + 100 AS corrected"
     )
-    rows = table(spark, folder, "customer").join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")).select(
+    rows = table(spark, folder, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", "n_nationkey", "n_regionkey"
     )
     return shown(joins.apply_corrections(rows, fixes, ["n_nationkey", "n_regionkey"], "n_regionkey", "corrected"))

@@ -130,7 +130,8 @@ FROM orders"""
 def region_nations(spark, folder):
     """Nations of a region as one ordered array."""
     nation = table(spark, folder, "nation")
-    rows = aggregates.records_per_key(nation, ["n_regionkey"], F.struct("n_nationkey", "n_name"), limit=1000)
+    rows = aggregates.records_per_key(
+        nation, ["n_regionkey"], ["n_nationkey"], F.floor(F.col("n_nationkey") / 1000), F.struct("n_nationkey", "n_name"))
     line = F.array_join(F.transform("records", lambda r: F.concat_ws(":", r["n_nationkey"].cast("string"), r["n_name"])), ",")
     return shown(rows.select("n_regionkey", line.alias("nations")))
 

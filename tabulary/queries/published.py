@@ -101,7 +101,7 @@ def latest_lookup(spark, folder):
 
 
 LATEST_SQL = f"""
-SELECT 'rates.api_latest.v1' AS schema_id, 'federal-funds' AS dataset_id, CAST(d AS VARCHAR) AS record_key, 'fed-funds/by-year/' || year(d) || '-fed-funds.json' AS canonical_record_path,
+SELECT 'tabulary.api_latest.v1' AS schema_id, 'federal-funds' AS dataset_id, CAST(d AS VARCHAR) AS record_key, 'fed-funds/by-year/' || year(d) || '-fed-funds.json' AS canonical_record_path,
        'fed-funds/manifest.json' AS canonical_manifest_path, count(*) AS rate_basis_points
 FROM (SELECT {ORDER_DAY} AS d FROM orders) GROUP BY d ORDER BY d DESC LIMIT 1"""
 
@@ -166,7 +166,7 @@ WHERE (p_size * 20, p_partkey % 10) IN ((200, 6), (400, 7), (20, 3)) GROUP BY 1,
 
 
 def mortality_lookup(spark, folder):
-    """Rates by table, issue age and duration from table shards made of brands."""
+    """Values by table, issue age and duration from table shards made of brands."""
     from ..plans.updates import table_stores
 
     stores = table_stores(spark, scratch_path(spark, "tables"))
@@ -198,9 +198,9 @@ def catalog_lookup(spark, folder):
 
 
 CATALOG_SQL = f"""
-SELECT 'federal-funds' AS dataset_id, 'fed-funds' AS dataset_path, 'rates.federal_funds.v1' AS schema_id, 'by_year' AS record_storage, 'by-date' AS route,
+SELECT 'federal-funds' AS dataset_id, 'fed-funds' AS dataset_path, 'tabulary.federal_funds.v1' AS schema_id, 'by_year' AS record_storage, 'by-date' AS route,
        count(DISTINCT {ORDER_DAY}) AS record_count, count(DISTINCT year(o_orderdate)) AS shard_count FROM orders
-UNION ALL SELECT 'actuarial-table-d', 'actuarial/table-d', 'rates.actuarial_table_d.v1', 'by_rate', '', count(DISTINCT (p_size, p_partkey % 20)), count(DISTINCT p_size) FROM part"""
+UNION ALL SELECT 'actuarial-table-d', 'actuarial/table-d', 'tabulary.actuarial_table_d.v1', 'by_rate', '', count(DISTINCT (p_size, p_partkey % 20)), count(DISTINCT p_size) FROM part"""
 
 
 def lookup_envelopes(spark, folder):
@@ -213,7 +213,7 @@ def lookup_envelopes(spark, folder):
 
 
 ENVELOPES_SQL = f"""
-SELECT 'federal-funds' AS dataset_id, 'rates.api_record.v1' AS schema_id, CAST(year(d) AS VARCHAR) AS year, CAST(d AS VARCHAR) AS record_key,
+SELECT 'federal-funds' AS dataset_id, 'tabulary.api_record.v1' AS schema_id, CAST(year(d) AS VARCHAR) AS year, CAST(d AS VARCHAR) AS record_key,
        'fed-funds/by-year/' || year(d) || '-fed-funds.json' AS canonical_record_path, CAST(d AS VARCHAR) AS date, count(*) AS rate_basis_points
 FROM (SELECT {ORDER_DAY} AS d FROM orders) GROUP BY d"""
 
@@ -240,7 +240,9 @@ def published_is_canonical(spark, folder):
     rows = lookup.lookup_rows(store.read(), dataset("federal-funds")).select("record.*")
     differences = verify.published_differences(rows, _daily(spark, folder))
     stats = lookup.route_statistics(store.read(), dataset("federal-funds"))
-    return shown(differences.agg(F.count(F.lit(1)).alias("differences")).crossJoin(F.broadcast(stats)))
+    counted = differences.agg(F.count(F.lit(1)).alias("differences")).unionByName(
+        stats.withColumn("differences", F.lit(0).cast("bigint")), allowMissingColumns=True)
+    return shown(counted.agg(F.sum("differences").alias("differences"), *[F.max(c).alias(c) for c in stats.columns]))
 
 
 CANONICAL_SQL = f"""

@@ -12,7 +12,7 @@ from ..functions.records import COMPOUNDING, FAMILIES, TENORS
 from ..operators.generate import expand_years
 from ..registry import dataset
 from ..session import scratch_path
-from ..sources import documents, feeds, grids, migrate, pages, prose, rulings, seeds, shards, wire
+from ..sources import documents, feeds, grids, migrate, pages, prose, rulings, seeds, shards
 from .common import ABSENT, ORDER_DAY, Query, shown, table
 
 
@@ -221,7 +221,7 @@ UNION ALL SELECT workbook, k * 3 + 2, k * 1000000 FROM p"""
 
 
 def grid_single_life(spark, folder):
-    """Rates marked above the rows of a sheet; two blocks per row."""
+    """Percentages marked above the rows of a sheet; two blocks per row."""
     cells = _parts(spark, folder).selectExpr(
         "workbook", "CAST(k AS INT) AS sheet",
         "inline(array("
@@ -261,7 +261,7 @@ FROM (SELECT p_partkey AS k, p_size AS size FROM part), (VALUES (0), (50)) v(d)"
 
 
 def grid_term_certain(spark, folder):
-    """Two sections per sheet; rates two rows below the title, data from the fourth."""
+    """Two sections per sheet; percentages two rows below the title, data from the fourth."""
     def section(top: int, rate: str) -> str:
         cells = [(top, 0, "'Table B'"), (top + 2, 4, rate), (top + 2, 12, f"IF(k % 3 = 0, 'none', {rate})")]
         for at in (0, 8):
@@ -387,26 +387,6 @@ SELECT CAST({DAY_OF_KEY_SQL} AS VARCHAR) AS date, o_custkey % 900 AS rate_basis_
        100000000 + o_orderkey AS sofr_index_scaled_100000000 FROM orders"""
 
 
-def wire_shards(spark, folder):
-    """Orders as one-record protobuf shards, decoded by field number."""
-    def varint(value: str, width: int) -> str:
-        parts = [f"unhex(lpad(hex((shiftright({value}, {7 * i}) & 127) | 128), 2, '0'))" for i in range(width - 1)]
-        return ", ".join([*parts, f"unhex(lpad(hex(shiftright({value}, {7 * (width - 1)}) & 127), 2, '0'))"])
-
-    record = (
-        f"concat(unhex('0A0A'), encode(CAST({DAY_OF_KEY} AS STRING), 'UTF-8'), CASE WHEN o_orderkey % 6 = 0 THEN unhex('') ELSE concat(unhex('10'), {varint('o_custkey', 4)}) END)"
-    )
-    files = table(spark, folder, "orders").selectExpr("CAST(o_orderkey AS STRING) AS path", f"{record} AS r").selectExpr(
-        "path", "concat(unhex('0A08'), encode('fixed.v1', 'UTF-8'), unhex('12'), unhex(lpad(hex(length(r)), 2, '0')), r) AS content"
-    )
-    return shown(wire.decode_shards(files, "federal-funds"))
-
-
-WIRE_SQL = f"""
-SELECT CAST(o_orderkey AS VARCHAR) AS path, 'fixed.v1' AS schema_id, CAST({DAY_OF_KEY_SQL} AS VARCHAR) AS date,
-       CASE WHEN o_orderkey % 6 = 0 THEN {ABSENT} ELSE o_custkey END AS rate_basis_points FROM orders"""
-
-
 def migrate_period(spark, folder):
     """Statutory records in three shapes, made canonical; wrong shapes are named."""
     raw = table(spark, folder, "orders").selectExpr(
@@ -474,7 +454,7 @@ def seed_history(spark, folder):
     """Orders with the gift exclusion in force in their year, from expanded static ranges."""
     history = seeds.gift_history(spark)
     orders = table(spark, folder, "orders").selectExpr("o_orderkey", f"{ORDER_DAY} AS day")
-    joined = orders.join(F.broadcast(history), F.make_date(F.year("day"), F.lit(1), F.lit(1)) == F.col("period_start_date"), "left")
+    joined = orders.join(history, F.make_date(F.year("day"), F.lit(1), F.lit(1)) == F.col("period_start_date"), "left")
     return shown(joined.select("o_orderkey", "annual_exclusion_amount_usd"))
 
 
@@ -546,7 +526,6 @@ QUERIES = {
     "curve_feed": Query(curve_feed, CURVE_SQL, ("SRC-1", "FLT-1", "FLT-14", "PRJ-26")),
     "overnight_feed": Query(overnight_feed, OVERNIGHT_SQL, ("SRC-2", "FLT-4", "PRJ-11")),
     "mixed_feed": Query(mixed_feed, MIXED_SQL, ("SRC-3", "AGG-1", "FLT-2")),
-    "wire_shards": Query(wire_shards, WIRE_SQL, ("SRC-9",)),
     "migrate_period": Query(migrate_period, MIGRATE_SQL, ("PRJ-32", "FLT-6", "FLT-13")),
     "register_scan": Query(register_scan, REGISTER_SQL, ("SRC-15", "FLT-15")),
     "index_scan": Query(index_scan, INDEX_SQL, ("SRC-16",)),

@@ -25,7 +25,7 @@ class Dataset:
     @property
     def schema_id(self) -> str:
         # Fixed value: the published naming scheme for schemas.
-        return f"rates.{self.name.replace('-', '_')}.v1"
+        return f"tabulary.{self.name.replace('-', '_')}.v1"
 
     @property
     def schema_version(self) -> int:

@@ -1,4 +1,4 @@
-"""CSV feeds: the daily yield curve and the overnight rates."""
+"""CSV feeds: the daily yield curve and the overnight percentages."""
 
 from __future__ import annotations
 

@@ -125,7 +125,7 @@ def commutation_rows(cells: DataFrame, phrase: str, rate_column: str, prefix: st
 
 
 def term_certain_rows(cells: DataFrame) -> DataFrame:
-    """Sections that start with a title row; their rates sit two rows below it."""
+    """Sections that start with a title row; their percentages sit two rows below it."""
     names, offsets = ["annuity_factor", "income_interest_factor", "remainder_factor"], (0, 8)
     layout = {o: ("term_years", {n: 2 * (i + 1) for i, n in enumerate(names)}) for o in offsets}
     rows = _cells(cells).groupBy(*ROW).agg(
@@ -182,7 +182,7 @@ def _headed_rows(cells: DataFrame, is_header: Column, first: int, keys: list[str
 
 
 def one_life_unitrust_rows(cells: DataFrame) -> DataFrame:
-    """Rates in the row that starts with Age; ages below."""
+    """Percentages in the row that starts with Age; ages below."""
     header = F.max((F.col("col") == 0) & (F.col("value") == "Age"))
     return _headed_rows(cells, header, 1, ["age"]).select(
         F.col("rate").alias("adjusted_payout_rate_basis_points"), "age",
@@ -191,7 +191,7 @@ def one_life_unitrust_rows(cells: DataFrame) -> DataFrame:
 
 
 def two_life_rows(cells: DataFrame, rate_column: str, factor: str) -> DataFrame:
-    """Rates in the row that starts with O, Y; the header starts afresh on every sheet."""
+    """Percentages in the row that starts with O, Y; the header starts afresh on every sheet."""
     def says(col: int, word: str) -> Column:
         return F.max((F.col("col") == col) & (strip(F.col("value")) == word))
 

@@ -115,7 +115,7 @@ def migrate_statutory(raw: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
 
 
 def migrate_monthly(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Monthly section 7520 rates, with the former long names."""
+    """Monthly section 7520 percentages, with the former long names."""
     data = dataset("section-7520-rates")
     long_names = ["valuation_month", "applicable_federal_midterm_120_percent_basis_points",
                   "section_7520_rate_basis_points", "revenue_ruling"]
@@ -149,7 +149,7 @@ RATE_TYPES = {"federal-funds": "EFFR", "sofr": "SOFR"}
 
 
 def migrate_overnight(raw: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """Overnight rates; percentiles may be an object and the rate may have its old name."""
+    """Overnight percentages; percentiles may be an object and the rate may have its old name."""
     percentiles = {p: f"percentile_{p}_basis_points" for p in (1, 25, 75, 99)}
     base, observed = ["date", "rate_basis_points"], ["date", *OBSERVED]
     detail = [*observed, *AVERAGED]
@@ -191,24 +191,24 @@ def migrate_overnight(raw: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
 
 
 def migrate_curve(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Yield curve; rates as a map of tenors in older files, as an array since."""
+    """Yield curve; yields as a map of tenors in older files, as an array since."""
     rows = raw.select(
         "*",
         F.get_json_object("json", "$.date").alias("day"),
-        F.get_json_object("json", "$.par_yields_basis_points").alias("rates"),
+        F.get_json_object("json", "$.par_yields_basis_points").alias("yields"),
     ).withColumns(
         {
-            "listed": F.from_json("rates", "array<int>"),
-            "mapped": F.from_json("rates", "map<string,int>"),
+            "listed": F.from_json("yields", "array<int>"),
+            "mapped": F.from_json("yields", "map<string,int>"),
         }
     )
     from_map = F.array(*[F.try_element_at("mapped", F.lit(k)) for k in TENOR_KEYS])
-    is_list = F.col("rates").startswith("[")
+    is_list = F.col("yields").startswith("[")
     records = rows.select(
-        "json", "rates", iso_date(F.col("day")).value.alias("date"), is_list.alias("is_list"), "listed", "mapped",
+        "json", "yields", iso_date(F.col("day")).value.alias("date"), is_list.alias("is_list"), "listed", "mapped",
         F.when(is_list, F.col("listed")).otherwise(from_map).alias("par_yields_basis_points"),
     )
-    keys = F.array_sort(F.json_object_keys("rates"))
+    keys = F.array_sort(F.json_object_keys("yields"))
     rules = {
         "keys": (checks.key_set_differs(F.col("json"), _sets(["date", "par_yields_basis_points"], ["source_url"])), CODE),
         "date": (F.col("date").isNull(), CODE),
@@ -219,9 +219,9 @@ def migrate_curve(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
                 F.lit(False),
             ), CODE,
         ),
-        "rates": (
+        "yields": (
             F.exists("par_yields_basis_points", lambda v: v.isNotNull() & ~v.between(0, MAX_BASIS_POINTS))
-            | F.col("rates").rlike(r"true|false|\.|[eE]\d"), CODE,
+            | F.col("yields").rlike(r"true|false|\.|[eE]\d"), CODE,
         ),
     }
     return records.select("date", "par_yields_basis_points"), checks.violations(records, ["json"], rules)

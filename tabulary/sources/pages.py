@@ -82,6 +82,11 @@ def pages_without_table(pages: DataFrame, url: str, html: str) -> DataFrame:
     )
 
 
+def pages_without_months(pages: DataFrame, rows: DataFrame, url: str) -> DataFrame:
+    """Pages that give no month row, with or without header cells, one row per url."""
+    return pages.select(F.col(url).alias("url")).distinct().join(rows.select("url").distinct(), "url", "left_anti")
+
+
 def decode_rate_table(rows: DataFrame) -> DataFrame:
     def cell(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(""))

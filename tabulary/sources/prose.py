@@ -92,8 +92,8 @@ def _sentence(text: Column, rule: AmountRule) -> Column:
 def extract_amounts(documents: DataFrame, url: str, text: str, rule: AmountRule) -> DataFrame:
     """(period, amount, citation, source_url, problem), one row per document.
 
-    Documents without a matching sentence are dropped where the rule says so and are
-    problems otherwise.
+    Documents without a matching sentence, or with one whose amount or year is no figure,
+    are dropped where the rule says so and are problems otherwise.
     """
     def read(sentence: Column, procedure: Column) -> Column:
         return F.struct(
@@ -111,7 +111,8 @@ def extract_amounts(documents: DataFrame, url: str, text: str, rule: AmountRule)
         ).alias("r"),
     )
     if rule.skip_unmatched:
-        found = found.filter(F.col("r.procedure").isNull() | F.col("r.matched"))
+        usable = F.col("r.matched") & F.col("r.amount").isNotNull() & F.col("r.year").isNotNull()
+        found = found.filter(F.col("r.procedure").isNull() | usable)
     return found.select(
         F.make_date("r.year", F.lit(1), F.lit(1)).alias("period_start_date"),
         F.make_date("r.year", F.lit(12), F.lit(31)).alias("period_end_date"),

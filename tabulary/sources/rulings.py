@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import MONTH_WORD, month_key
 from ..functions.decoded import let
-from ..functions.numbers import MAX_BASIS_POINTS, bare_percent, exact_decimal, scale_exactly
+from ..functions.numbers import MAX_BASIS_POINTS, bare_percent, scale_exactly
 from ..functions.records import COMPOUNDING, FAMILIES
 from ..functions.text import rate_label, ruling_citation, term_label, text_lines
 
@@ -165,7 +165,7 @@ def _entries(section: Column) -> Column:
 def _decoded_cells(entry: Column) -> Column:
     """Four decoded cells; a bad cell is null."""
     def decoded(cell: Column) -> Column:
-        return let(exact_decimal(bare_percent(cell)), lambda x: scale_exactly(x, 2, 0, MAX_BASIS_POINTS)).cast("int")
+        return let(bare_percent(cell), lambda x: scale_exactly(x, 2, 0, MAX_BASIS_POINTS)).cast("int")
 
     return F.struct(*[decoded(entry["cells"][i]).alias(name) for i, name in enumerate(COMPOUNDING)])
 
@@ -219,7 +219,7 @@ def parse_rulings(documents: DataFrame, url: str, text: str) -> DataFrame:
     def cell(side: str, place: str, name: str) -> Column:
         return F.try_element_at(F.col(f"r.{side}"), F.lit(place))[name]
 
-    rates = F.struct(
+    percentages = F.struct(
         *[
             F.struct(
                 *[
@@ -247,6 +247,6 @@ def parse_rulings(documents: DataFrame, url: str, text: str) -> DataFrame:
     )
     return parsed.select(
         "source_url", "r.revenue_ruling", "r.effective_month",
-        rates.alias("applicable_federal_rates"), adjusted.alias("adjusted_applicable_federal_rates"),
+        percentages.alias("applicable_federal_rates"), adjusted.alias("adjusted_applicable_federal_rates"),
         F.when(~complete, "missing_field").alias("problem"),
     )

@@ -136,19 +136,19 @@ def table_rules() -> dict[str, tuple[Column, str]]:
     def digits(values: Column) -> Column:
         return F.forall(F.map_keys(values), lambda k: k.rlike("^[0-9]+$"))
 
-    def rates(values: Column) -> Column:
+    def in_range(values: Column) -> Column:
         return F.forall(F.map_values(values), lambda v: F.coalesce(v.between(0, 100_000), F.lit(False)))
 
     def sound(values: Column) -> Column:
-        return (F.size(values) > 0) & digits(values) & rates(values)
+        return (F.size(values) > 0) & digits(values) & in_range(values)
 
     select, ultimate = F.col("select_rates"), F.col("ultimate_rates")
     return {
         "table id": (F.col("table_id").isNull() | (F.col("table_id") == ""), "invalid_json"),
-        "select rates": (
+        "select values": (
             ~F.coalesce(digits(select) & F.forall(F.map_values(select), sound), F.lit(False)), "invalid_json",
         ),
-        "ultimate rates": (~F.coalesce(sound(ultimate), F.lit(False)), "invalid_json"),
+        "ultimate values": (~F.coalesce(sound(ultimate), F.lit(False)), "invalid_json"),
     }
 
 
@@ -172,7 +172,7 @@ def ultimate_rate_rows(tables: DataFrame) -> DataFrame:
 def nest_table_rows(select_rows: DataFrame, ultimate_rows: DataFrame) -> DataFrame:
     """Long rows back to the nested maps, keys in numeric order.
 
-    A table holds at most a few thousand rates by its ages and durations.
+    A table holds at most a few thousand values by its ages and durations.
     """
     def ordered(key: str, value: str) -> Column:
         pairs = F.array_sort(

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import datetime
-from decimal import ROUND_HALF_UP, Decimal, InvalidOperation
+from decimal import ROUND_HALF_EVEN, ROUND_HALF_UP, Decimal, InvalidOperation, localcontext
 from urllib.parse import urljoin
 
 import pytest
@@ -114,3 +114,34 @@ def test_classify(spark):
     kind = records.classify_table(F.lit("2015_vbt_relative_risk_tables__2015_male_non_smoker_rr100_anb"), F.lit("2015 VBT Relative Risk Tables"))
     assert tuple(one(spark, kind)) == ("relative_risk", "male", "non_smoker", "anb", 100)
     assert one(spark, records.classify_table(F.lit("2015_x_alb"), F.lit("2015 VBT Unismoke Tables"))) is None
+
+
+def test_numbers_of_any_length_decode_exactly(spark):
+    """Exponents, long fractions and many digits, against Python's decimals."""
+    cells = [
+        "5.0000000000000003E-2", "9.9382280000000006E-2", "1.0000000E-2", "9.9382280000000006E4", "123456789012345.5", "0.1234567890123456789",
+        "1e2", "-1E+2", "12.345678901234567890123", "0.00000049999999999999999999", "0.0000005000000000000000000", "3.65", "1E-400", "1e99999999999",
+        "0e99", "-0", "000000000000000000000012.5", "12345678901234567", ".5e1", "5.e-1", "1.00000000000000000000000000", "0.00005", "0.00015",
+        "0.000050000000000000001", "0.00025000000000000000", "7.000000000000000000000000001",
+    ]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    text = F.col("c")
+    rows = df.select(
+        "c", numbers.percent_basis_points(text).value.alias("points"), numbers.millionths(text).alias("millionths"), numbers.cell_factor(text).alias("factor"),
+        numbers.cell_integer(text, numbers.cell_is_number(text)).alias("whole"), numbers.cell_rate(text, numbers.cell_is_number(text)).alias("rate"),
+    ).collect()
+    with localcontext() as context:
+        context.prec, context.Emax, context.Emin = 500, 10**15, -(10**15)
+        for r in rows:
+            if r.c == "1e99999999999":
+                assert (r.points, r.millionths, r.whole, r.rate, r.factor) == (None, None, None, None, r.c)
+                continue
+            x = Decimal(r.c)
+            points, scaled = x.scaleb(2), x.scaleb(6)
+            assert r.points == (int(points) if points == points.to_integral_value() and 0 <= points <= 100_000 else None), r.c
+            half_up = int(scaled.to_integral_value(rounding=ROUND_HALF_UP))
+            assert r.millionths == (half_up if not (x.is_signed() and x) and half_up < 10**18 else None), r.c
+            assert r.whole == (int(x) if x == x.to_integral_value() and abs(x) < 10**18 else None), r.c
+            even = int(x.scaleb(4).to_integral_value(rounding=ROUND_HALF_EVEN))
+            assert r.rate == (even if abs(even) < 2**31 else None), r.c
+            assert r.factor == r.c

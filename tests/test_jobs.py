@@ -10,30 +10,30 @@ from tabulary.operators.generate import term_unitrust_table
 from tabulary.plans import lookup, updates
 from tabulary.plans.store import ShardStore
 from tabulary.registry import DATASETS, dataset
-from tabulary.sources import documents, feeds, grids, migrate, rulings, seeds, shards, wire
+from tabulary.sources import documents, feeds, grids, migrate, rulings, seeds, shards
 from tabulary.streaming.feed import stream_feed
 
 CURVE = """Date,1 Mo,1.5 Month,2 Mo,3 Mo,4 Mo,6 Mo,1 Yr,2 Yr,3 Yr,5 Yr,7 Yr,10 Yr,20 Yr,30 Yr
-06/12/2026,3.69,3.70,3.70,3.78,3.79,3.82,3.86,4.09,4.12,4.21,4.34,4.48,4.98,4.97
-06/11/2026,3.69,3.69,3.70,3.78,3.79,3.81,3.85,4.05,4.09,4.18,4.31,4.45,4.96,4.95
-06/10/2026,3.69,3.70,3.72,3.79,3.80,3.82,3.90,4.13,4.17,4.27,4.40,4.55,,5.03
+03/04/2031,2.11,2.15,2.18,2.20,2.24,2.31,2.40,2.58,2.66,2.81,2.93,3.07,3.44,3.49
+03/03/2031,2.10,2.14,2.17,2.21,2.25,2.30,2.42,2.57,2.64,2.80,2.95,3.06,3.43,3.50
+03/02/2031,2.09,2.13,2.19,2.22,2.23,2.32,2.41,2.56,2.65,2.79,2.94,3.05,,3.52
 """
 OLD_CURVE = """﻿Date, 3 Mo,6 Mo,1 Yr,2 Yr,3 Yr,5 Yr,7 Yr,10 Yr,30 Yr
-12/31/1990,6.63,6.73,6.82,7.15,7.40,7.68,8.00,8.08,8.26
+10/05/1992,2.72,2.80,2.95,3.64,4.18,5.19,5.79,6.23,7.32
 ,,,,,,,,,
-12/28/1990,6.64,6.85,6.91,7.25,7.48,7.78,8.08,8.14,8.31
+10/02/1992,2.69,2.78,2.93,3.66,4.21,5.22,5.81,6.25,7.34
 """
 OVERNIGHT = ",".join(feeds.OVERNIGHT_HEADERS) + """
-07/05/2000,EFFR,6.52,,,,,,6.50,,2.00,6.94,0.50,,,,,,
-07/03/2000,EFFR,7.03,,,,,,6.50,,5.50,7.50,0.28,,,,,,
-07/04/2000,EFFR,,,,,,,,,,,,,,,,,
+02/08/2005,EFFR,2.47,,,,,,2.50,,2.20,2.62,0.09,,,,,,
+02/04/2005,EFFR,2.51,,,,,,2.50,,2.31,2.75,0.11,,,,,,
+02/07/2005,EFFR,,,,,,,,,,,,,,,,,
 """
 MIXED = ",".join(feeds.OVERNIGHT_HEADERS) + """
-04/03/2018,SOFRAI,,,,,,,,,,,,1.81000,1.80500,1.80250,1.00012345,,
-04/03/2018,SOFR,1.83,1.62,1.81,1.91,2.00,825,,,,,,,,,,,
-04/02/2018,SOFRAI,,,,,,,,,,,,1.80000,1.80000,1.80000,1.00000000,,
-04/02/2018,SOFR,1.80,1.25,1.77,1.89,2.25,849,,,,,,,,,,,
-04/02/2018,BGCR,1.80,,,,,,,,,,,,,,,,
+05/07/2019,SOFRAI,,,,,,,,,,,,2.46000,2.45100,2.44200,1.02512345,,
+05/07/2019,SOFR,2.43,2.30,2.41,2.50,2.60,901,,,,,,,,,,,
+05/06/2019,SOFRAI,,,,,,,,,,,,2.45000,2.45000,2.44000,1.02000000,,
+05/06/2019,SOFR,2.41,2.05,2.40,2.48,2.71,933,,,,,,,,,,,
+05/06/2019,BGCR,2.40,,,,,,,,,,,,,,,,
 """
 
 
@@ -55,19 +55,19 @@ def test_curve_feeds_with_different_headers(spark, land, tmp_path):
     assert updates.update_curve(spark, root, str(tmp_path / "landing/curve")) == updates.RunMetrics(5, 0, 5, True)
     assert updates.update_curve(spark, root, str(tmp_path / "landing/curve")) == updates.RunMetrics(5, 5, 5, False)
     store = ShardStore.of(spark, root, dataset("treasury-yield-curve"))
-    first = lookup.by_date(store, "2026-06-10").first()["par_yields_basis_points"]
-    assert (first[0], first[1], first[11], first[12], first[13]) == (369, 370, 455, None, 503)
-    old = lookup.by_date(store, "1990-12-28").first()["par_yields_basis_points"]
-    assert (old[0], old[3], old[12], old[13]) == (None, 664, None, 831)
-    bad = land("bad.csv", CURVE.replace("4.48", "9.99"))
+    first = lookup.by_date(store, "2031-03-02").first()["par_yields_basis_points"]
+    assert (first[0], first[1], first[11], first[12], first[13]) == (209, 213, 305, None, 352)
+    old = lookup.by_date(store, "1992-10-02").first()["par_yields_basis_points"]
+    assert (old[0], old[3], old[12], old[13]) == (None, 269, None, 734)
+    bad = land("bad.csv", CURVE.replace("3.07", "9.99"))
     with pytest.raises(ContractError, match="conflicting_record"):
         updates.update_curve(spark, root, bad)
 
 
 @pytest.mark.parametrize(
     "old,new,code",
-    [("Date,1 Mo", "Date,9 Mo", "invalid_csv"), ("06/11/2026", "06/12/2026", "duplicate_source_record"), ("4.48", "4.485", "invalid_csv"),
-     ("06/11/2026", "06/31/2026", "invalid_csv"), (",4.97", ",4.97,1", "invalid_csv")],
+    [("Date,1 Mo", "Date,9 Mo", "invalid_csv"), ("03/03/2031", "03/04/2031", "duplicate_source_record"), ("3.07", "3.075", "invalid_csv"),
+     ("03/03/2031", "02/31/2031", "invalid_csv"), (",3.49", ",3.49,1", "invalid_csv")],
 )
 def test_curve_feed_fails_closed(spark, land, old, new, code):
     with pytest.raises(ContractError, match=code):
@@ -79,38 +79,38 @@ def test_overnight_update_and_lookup(spark, land, tmp_path):
     assert updates.update_overnight(spark, root, path) == updates.RunMetrics(3, 0, 3, True)
     assert updates.update_overnight(spark, root, path) == updates.RunMetrics(3, 3, 3, False)
     store = ShardStore.of(spark, root, dataset("federal-funds"))
-    assert lookup.by_date(store, "2000-07-05").first()["rate_basis_points"] == 652
-    assert lookup.by_date(store, "2000-07-04").first()["rate_basis_points"] is None
-    later = land("later.csv", OVERNIGHT.replace("07/04/2000,EFFR,,", "07/04/2000,EFFR,6.99,"))
+    assert lookup.by_date(store, "2005-02-08").first()["rate_basis_points"] == 247
+    assert lookup.by_date(store, "2005-02-07").first()["rate_basis_points"] is None
+    later = land("later.csv", OVERNIGHT.replace("02/07/2005,EFFR,,", "02/07/2005,EFFR,2.49,"))
     assert updates.update_overnight(spark, root, later) == updates.RunMetrics(3, 3, 3, True)
-    assert lookup.by_date(store, "2000-07-04").first()["rate_basis_points"] == 699
+    assert lookup.by_date(store, "2005-02-07").first()["rate_basis_points"] == 249
     with pytest.raises(ContractError, match="invalid_csv"):
-        feeds.read_overnight(spark, land("f.csv", OVERNIGHT.replace("07/03/2000,EFFR", "07/03/2000,OBFR")))
+        feeds.read_overnight(spark, land("f.csv", OVERNIGHT.replace("02/04/2005,EFFR", "02/04/2005,OBFR")))
 
 
 def test_secured_update_is_a_no_op_when_repeated(spark, land, tmp_path, rows):
     path, root = land("s.csv", MIXED), str(tmp_path / "store")
     assert updates.update_secured(spark, root, path) == updates.RunMetrics(2, 0, 2, True)
     assert updates.update_secured(spark, root, path) == updates.RunMetrics(2, 2, 2, False)
-    day = lookup.by_date(ShardStore.of(spark, root, dataset("sofr")), "2018-04-02").first()
-    assert (day["rate_basis_points"], day["percentile_1_basis_points"], day["volume_billions"]) == (180, 125, 849)
+    day = lookup.by_date(ShardStore.of(spark, root, dataset("sofr")), "2019-05-06").first()
+    assert (day["rate_basis_points"], day["percentile_1_basis_points"], day["volume_billions"]) == (241, 205, 933)
     index = ShardStore.of(spark, root, dataset("sofr-index"))
-    assert [r[1] for r in rows(index.read())] == [100000000, 100012345]
+    assert [r[1] for r in rows(index.read())] == [102000000, 102512345]
     average = ShardStore.of(spark, root, dataset("sofr-30d-average"))
-    assert lookup.latest(average).first()[1] == 181000
+    assert lookup.latest(average).first()[1] == 246000
 
 
 def test_statutory_history_and_overlap(spark, tmp_path):
     root, name = str(tmp_path / "store"), "estate-gift-tax-exemption"
     store = ShardStore.of(spark, root, dataset(name))
     store.publish(spark.sql("SELECT DATE'1987-01-01' AS period_start_date, DATE'1997-12-31' AS period_end_date, 600000L AS basic_exclusion_amount_usd"))
-    text = "Rev. Proc. 2025-32 In the estate of any decedent dying in\ncalendar year 2026, the basic\nexclusion amount is $15,000,000 for"
+    text = "Rev. Proc. 2026-40 In the estate of any decedent dying in\ncalendar year 2027, the basic\nexclusion amount is $15,400,000 for"
     docs = spark.createDataFrame([("u", text)], "url string, text string")
-    assert updates.update_statutory(spark, root, name, docs, "url", "text", with_history=True) == updates.RunMetrics(52, 1, 51, True)
-    assert updates.update_statutory(spark, root, name, docs, "url", "text", target_year=2025) == updates.RunMetrics(0, 51, 51, False)
+    assert updates.update_statutory(spark, root, name, docs, "url", "text", with_history=True) == updates.RunMetrics(52, 1, 52, True)
+    assert updates.update_statutory(spark, root, name, docs, "url", "text", target_year=2025) == updates.RunMetrics(0, 52, 52, False)
     assert lookup.by_year(store, 1977).count() == 2
     assert lookup.by_year(store, 1988).count() == 1
-    assert lookup.latest(store).first()["basic_exclusion_amount_usd"] == 15000000
+    assert lookup.latest(store).first()["basic_exclusion_amount_usd"] == 15400000
 
 
 def test_seeds(spark):
@@ -123,16 +123,16 @@ def test_seeds(spark):
 
 
 def test_gst_skips_and_refuses_repeats(spark, tmp_path):
-    sentence = "Rev. Proc. 2025-32\n\nFor calendar year 2026, the generation-skipping transfer exemption amount under\n§ 2631(c) is equal to $15,000,000."
-    docs = spark.createDataFrame([("a", sentence), ("b", "Rev. Proc. 2025-1 other")], "url string, text string")
+    sentence = "Rev. Proc. 2026-40\n\nFor calendar year 2027, the generation-skipping transfer exemption amount under\n§ 2631(c) is equal to $15,400,000."
+    docs = spark.createDataFrame([("a", sentence), ("b", "Rev. Proc. 2025-1 other"), ("c", sentence.replace("15,400,000", "0"))], "url string, text string")
     assert updates.update_statutory(spark, str(tmp_path / "a"), "gst-exemption", docs, "url", "text") == updates.RunMetrics(1, 0, 1, True)
-    again = spark.createDataFrame([("a", sentence.replace("2026", "2025").replace("15,000,000", "13,990,000"))], "url string, text string")
+    again = spark.createDataFrame([("a", sentence.replace("2027", "2025").replace("15,400,000", "13,990,000"))], "url string, text string")
     with pytest.raises(ContractError, match="duplicate_source_record"):
         updates.update_statutory(spark, str(tmp_path / "b"), "gst-exemption", again, "url", "text", with_history=True)
 
 
 PAGE = """<script>x</script><table><tr><th>Valuation month<th>120% of applicable federal midterm rate<th>Section 7520 interest rate<th>Revenue ruling
-<tr><td>October 2014<td>2.22<td>2.22<td>Rev. Rul. 2014-26<tr><td>September&nbsp;2014<td>2.21%<td>2.2`<td>Rev. Rul 2014-22</table>For prior years"""
+<tr><td>October 2014<td>2.22<td>2.22<td>Rev. Rul. 2014-26<tr><td>March&nbsp;2019<td>3.11%<td>3.2`<td>Rev. Rul 2019-7</table>For prior years"""
 
 
 def test_monthly_page_with_correction(spark, tmp_path, rows):
@@ -141,33 +141,33 @@ def test_monthly_page_with_correction(spark, tmp_path, rows):
     assert updates.update_monthly(spark, root, page, "url", "html", with_history=True) == updates.RunMetrics(14, 0, 14, True)
     store = ShardStore.of(spark, root, dataset("section-7520-rates"))
     assert tuple(lookup.by_month(store, "2014-10").first()) == ("2014-10", 222, 220)
-    assert tuple(lookup.by_month(store, "2014-09").first()) == ("2014-09", 221, 220)
+    assert tuple(lookup.by_month(store, "2019-03").first()) == ("2019-03", 311, 320)
     with pytest.raises(ContractError, match="html_table_not_found"):
         updates.update_monthly(spark, root, page.withColumn("html", F.lit("<p>none")), "url", "html")
 
 
-def ruling_text(lead="TABLE 1\n", month="Applicable Federal Rates (AFR) for August 1998"):
-    lines = [f"Rev. Rul. 98-036\n{lead}{month}"]
+def ruling_text(lead="TABLE 1\n", month="Applicable Federal Rates (AFR) for May 1997"):
+    lines = [f"Rev. Rul. 97-021\n{lead}{month}"]
     for heading, labels in (("Short-term", 4), ("Mid‑term", 6), ("Long-term", 4)):
         lines.append(f"│ {heading} │")
         for label in ("AFR", "110$ AFR", "120% AFR", "130% AFR", "150% AFR", "175% AFR")[:labels]:
-            lines.append(f"{label} 4.10% 4.06% 4.04% 4.03%")
-    lines += ["TABLE 2", "Adjusted AFR for August 1998", "Short-term adjusted", "Short-term 3.00% 2.98% 2.97% 2.96%", "Mid-term", "adjusted AFR 3.10% 3.08% 3.07% 3.06%",
+            lines.append(f"{label} 5.20% 5.13% 5.10% 5.08%")
+    lines += ["TABLE 2", "Adjusted AFR for May 1997", "Short-term adjusted", "Short-term 3.00% 2.98% 2.97% 2.96%", "Mid-term", "adjusted AFR 3.10% 3.08% 3.07% 3.06%",
               "Long-term", "adjusted AFR 3.20% 3.18% 3.17% 3.16%", "TABLE 3"]
     return "\n".join(lines)
 
 
 def test_ruling_layouts(spark):
     texts = {
-        "plain": ruling_text(), "unmarked": ruling_text(lead=""), "wrong year": ruling_text(month="Applicable Federal Rates (AFR) for August 1997"),
+        "plain": ruling_text(), "unmarked": ruling_text(lead=""), "wrong year": ruling_text(month="Applicable Federal Rates (AFR) for May 1996"),
         "late end": ruling_text().replace("TABLE 3", "TABLE X"), "gap": ruling_text().replace("175% AFR", "176 AFR"),
     }
     parsed = rulings.parse_rulings(spark.createDataFrame(list(texts.items()), "url string, text string"), "url", "text")
     got = {r["source_url"]: r for r in parsed.collect()}
     assert [got[k]["problem"] for k in texts] == [None, None, None, "missing_field", "missing_field"]
-    assert got["plain"]["revenue_ruling"] == "Rev. Rul. 98-36"
-    assert [got[k]["effective_month"] for k in ("plain", "unmarked", "wrong year")] == ["1998-08", "1998-08", "1997-08"]
-    assert got["plain"]["applicable_federal_rates"]["mid_term"]["afr_175"].asDict() == {"annual": 410, "semiannual": 406, "quarterly": 404, "monthly": 403}
+    assert got["plain"]["revenue_ruling"] == "Rev. Rul. 97-21"
+    assert [got[k]["effective_month"] for k in ("plain", "unmarked", "wrong year")] == ["1997-05", "1997-05", "1996-05"]
+    assert got["plain"]["applicable_federal_rates"]["mid_term"]["afr_175"].asDict() == {"annual": 520, "semiannual": 513, "quarterly": 510, "monthly": 508}
     assert got["plain"]["adjusted_applicable_federal_rates"]["short_term"]["annual"] == 300
 
 
@@ -187,23 +187,23 @@ def grid(spark, lines):
 
 
 def test_grids(spark, rows):
-    mortality = grid(spark, [",0,100000,,,37,97193.66,,,74,71177.55", ",1,99382.28,,,38,97058.84,,,75,69174.83"])
+    mortality = grid(spark, [",0,100000,,,40,9.5321070000000006E4,,,80,55210.4", ",1,99510.5,,,41,95111.9,,,81,52001.25"])
     got = dict(rows(grids.mortality_rows(mortality).drop("workbook")))
-    assert sorted(got) == [0, 1, 37, 38, 74, 75] and got[37] == 97193660000
+    assert sorted(got) == [0, 1, 40, 41, 80, 81] and got[40] == 95321070000
     single = grid(spark, ["Interest at 4.2 Percent", "60,1.5,.5,.5,,,,", "x", "Interest at 5.0 Percent,,,", "61,1,2,3,62,4,5,6"])
     assert rows(grids.single_life_rows(single)) == [(420, 60, 1500000, 500000, 500000), (500, 61, 1000000, 2000000, 3000000), (500, 62, 4000000, 5000000, 6000000)]
 
 
 def test_actuarial_update(spark, tmp_path):
-    cells = {"mortality-table-2010cm": grid(spark, [",0,100,,,1,80,,,2,0"])}
+    cells = {"mortality-table-2010cm": grid(spark, [",0,200,,,1,150,,,2,0"])}
     done = updates.update_actuarial(spark, str(tmp_path), cells)
     assert all(p.changed for p in done.values()) and len(done) == 3
     store = ShardStore.of(spark, str(tmp_path), dataset("life-expectancy-by-age"))
-    assert tuple(store.read().filter("age = 0").first())[1:] == (800000, 1300000)
+    assert tuple(store.read().filter("age = 0").first())[1:] == (750000, 1250000)
     table_d = ShardStore.of(spark, str(tmp_path), dataset("actuarial-table-d"))
     assert lookup.factor(table_d, 100, term_years=2).first()["unitrust_remainder_factor_scaled_1e6"] == 980100
     assert not any(p.changed for p in updates.update_actuarial(spark, str(tmp_path), cells).values())
-    twice = {"mortality-table-2010cm": grid(spark, [",0,100,,,0,80,,,2,0"])}
+    twice = {"mortality-table-2010cm": grid(spark, [",0,200,,,0,150,,,2,0"])}
     with pytest.raises(ContractError, match="duplicate_record"):
         updates.update_actuarial(spark, str(tmp_path), twice)
 
@@ -220,8 +220,8 @@ def test_table_d_is_exact(spark):
 
 def test_import_tables(spark, tmp_path, rows):
     source = "2015 VBT Relative Risk Tables"
-    def table(risk, rate=69):
-        return (f"2015_vbt_relative_risk_tables__2015_male_non_smoker_rr{risk}_anb.json", source, "t", 3252, {"18": {"1": rate, "2": 72}}, {"18": 69, "19": 64})
+    def table(risk, rate=41):
+        return (f"2015_vbt_relative_risk_tables__2015_male_non_smoker_rr{risk}_anb.json", source, "t", 9001, {"18": {"1": rate, "2": 45}}, {"18": 41, "19": 38})
 
     schema = "file_name string, source string, table string, table_identity bigint, select_rates map<string,map<string,bigint>>, ultimate_rates map<string,bigint>"
     raw = spark.createDataFrame([table(100), table(50)], schema)
@@ -229,24 +229,24 @@ def test_import_tables(spark, tmp_path, rows):
     assert all(p.changed for p in done.values())
     stores = updates.table_stores(spark, str(tmp_path))
     name = "2015_vbt_relative_risk_tables__2015_male_non_smoker_rr100_anb"
-    assert lookup.select_rate(stores["select"], name, 18, 2).first()["rate"] == 72
-    assert lookup.ultimate_rate(stores["ultimate"], name, 19).first()["rate"] == 64
+    assert lookup.select_rate(stores["select"], name, 18, 2).first()["rate"] == 45
+    assert lookup.ultimate_rate(stores["ultimate"], name, 19).first()["rate"] == 38
     for bad, expected in ((raw, 68), (spark.createDataFrame([table(100, 100001)], schema), 1), (spark.createDataFrame([table("x")], schema), 1)):
         with pytest.raises(ContractError, match="invalid"):
             updates.import_tables(spark, str(tmp_path / "n"), bad, expected=expected)
 
 
 def test_legacy_shapes(spark, land, rows):
-    old = {"valuation_month": "2014-10", "applicable_federal_midterm_120_percent_basis_points": 222, "section_7520_rate_basis_points": 222, "revenue_ruling": "Rev. Rul. 2014-26"}
-    new = {"effective_month": "2014-09", "midterm_afr_120_basis_points": 221, "section_7520_rate_basis_points": 220}
+    old = {"valuation_month": "2019-04", "applicable_federal_midterm_120_percent_basis_points": 305, "section_7520_rate_basis_points": 300, "revenue_ruling": "Rev. Rul. 2019-8"}
+    new = {"effective_month": "2019-03", "midterm_afr_120_basis_points": 311, "section_7520_rate_basis_points": 320}
     raw = shards.read_raw_records(spark, land("m.json", json.dumps([old, new])))
     records, problems = migrate.migrate_monthly(raw)
-    assert rows(records) == [("2014-09", 221, 220), ("2014-10", 222, 222)] and problems.count() == 0
+    assert rows(records) == [("2019-03", 311, 320), ("2019-04", 305, 300)] and problems.count() == 0
     extra = shards.read_raw_records(spark, land("n.json", json.dumps([{**new, "x": 1}])))
     assert [r["rule"] for r in migrate.migrate_monthly(extra)[1].collect()] == ["keys"]
     repeated = shards.read_raw_records(spark, land("r.json", '[{"a": 1, "a": 2}]'))
     assert repeated.first()["repeated_key"]
-    sofr = {"date": "2018-04-02", "rate_type": "SOFR", "rate_basis_points": 180, "percentiles_basis_points": {"1": -5, "25": 177, "75": 189, "99": 225}, "volume_billions": 849,
+    sofr = {"date": "2019-05-06", "rate_type": "SOFR", "rate_basis_points": 241, "percentiles_basis_points": {"1": -5, "25": 240, "75": 248, "99": 271}, "volume_billions": 933,
             **{m: None for m in feeds.AVERAGED}, "revision_indicator": None, "footnote_id": None}
     wide, found = migrate.migrate_overnight(shards.read_raw_records(spark, land("s.json", json.dumps([sofr]))), "sofr")
     assert found.count() == 0 and wide.first()["percentile_1_basis_points"] == -5
@@ -254,17 +254,17 @@ def test_legacy_shapes(spark, land, rows):
         bad = shards.read_raw_records(spark, land(f"b-{field}.json", json.dumps([{**sofr, field: value}])))
         assert migrate.migrate_overnight(bad, "sofr")[1].count() == 1
     from tabulary.functions.records import TENOR_KEYS
-    curve = [{"date": "2026-06-10", "par_yields_basis_points": {k: i for i, k in enumerate(TENOR_KEYS)}}, {"date": "2026-06-11", "par_yields_basis_points": [None] * 14},
-             {"date": "2026-06-12", "par_yields_basis_points": [1]}]
+    curve = [{"date": "2031-03-02", "par_yields_basis_points": {k: i for i, k in enumerate(TENOR_KEYS)}}, {"date": "2031-03-03", "par_yields_basis_points": [None] * 14},
+             {"date": "2031-03-04", "par_yields_basis_points": [1]}]
     good, wrong = migrate.migrate_curve(shards.read_raw_records(spark, land("c.json", json.dumps(curve))))
     assert [r["rule"] for r in wrong.collect()] == ["tenors"]
-    assert good.filter("date = '2026-06-10'").first()["par_yields_basis_points"] == list(range(14))
+    assert good.filter("date = '2031-03-02'").first()["par_yields_basis_points"] == list(range(14))
 
 
 def test_shard_readers(spark, land, tmp_path, rows):
     data = dataset("federal-funds")
-    land("ff/by-year/2000-fed-funds.json", json.dumps([{"date": "2000-07-03", "rate_basis_points": 703}, {"date": "2000-07-04", "rate_basis_points": None}]))
-    land("ff/by-year/2001.json", json.dumps([{"date": "2001-01-02", "rate_basis_points": 667}]))
+    land("ff/by-year/2000-fed-funds.json", json.dumps([{"date": "2000-03-03", "rate_basis_points": 411}, {"date": "2000-03-06", "rate_basis_points": None}]))
+    land("ff/by-year/2001.json", json.dumps([{"date": "2001-02-02", "rate_basis_points": 398}]))
     folder = str(tmp_path / "landing/ff")
     assert len(rows(shards.read_year_shards(spark, folder, data))) == 3
     land("ff/by-year/2002.json", json.dumps([{"date": "2001-01-03", "rate_basis_points": 1}]))
@@ -273,28 +273,10 @@ def test_shard_readers(spark, land, tmp_path, rows):
     assert shards.read_single(spark, folder + "/none.json", data).count() == 0
     land("d/by-interest-rate/00020-basis-points.json", json.dumps([{"term_years": 1, "unitrust_remainder_factor_scaled_1e6": 998000}]))
     assert rows(shards.read_rate_shards(spark, str(tmp_path / "landing/d"), dataset("actuarial-table-d"))) == [(20, 1, 998000)]
-    record = {"schema_id": "s", "schema_version": 1, "dataset_id": "federal-funds", "record_key": "2000-07-03", "record": {"date": "2000-07-03", "rate_basis_points": 703}}
-    land("api/2000-07-03.json", json.dumps(record))
+    record = {"schema_id": "s", "schema_version": 1, "dataset_id": "federal-funds", "record_key": "2000-03-03", "record": {"date": "2000-03-03", "rate_basis_points": 411}}
+    land("api/2000-03-03.json", json.dumps(record))
     got = shards.read_lookups(spark, str(tmp_path / "landing/api"), data).first()
-    assert (str(got["date"]), got["rate_basis_points"]) == ("2000-07-03", 703)
-
-
-def field(number, payload):
-    if isinstance(payload, int):
-        out, value = bytes([number << 3]), payload & (1 << 64) - 1
-        while value >= 128:
-            out, value = out + bytes([value & 127 | 128]), value >> 7
-        return out + bytes([value])
-    return bytes([number << 3 | 2, len(payload)]) + payload
-
-
-def test_wire_shards(spark):
-    sofr = field(2, field(7, 849) + field(1, b"2018-04-02") + field(3, -5)) + field(1, b"id.v1")
-    curve = field(1, b"id.v1") + field(2, field(1, b"2026-06-10") + field(2, field(1, 1) + field(2, 369)) + field(2, field(1, 0)) + field(2, field(1, 1)))
-    df = spark.createDataFrame([("a", bytearray(sofr)), ("b", bytearray(curve))], "path string, content binary")
-    row = wire.decode_shards(df.filter("path = 'a'"), "sofr").first()
-    assert (row["schema_id"], row["date"], row["rate_basis_points"], row["percentile_1_basis_points"], row["volume_billions"]) == ("id.v1", "2018-04-02", None, -5, 849)
-    assert wire.decode_shards(df.filter("path = 'b'"), "treasury-yield-curve").first()["par_yields_basis_points"] == [369, None, 0]
+    assert (str(got["date"]), got["rate_basis_points"]) == ("2000-03-03", 411)
 
 
 def entry(path, **changes):
@@ -330,13 +312,13 @@ def test_stream(spark, land, tmp_path, rows):
         return [r[1] for r in rows(store.read())]
 
     land("s/1.csv", OVERNIGHT)
-    assert run() == [703, None, 652]
+    assert run() == [251, None, 247]
     version = max(line["version"] for line in store.lines().values())
     land("s/2.csv", OVERNIGHT)
-    assert run() == [703, None, 652]
+    assert run() == [251, None, 247]
     assert max(line["version"] for line in store.lines().values()) == version
-    land("s/3.csv", OVERNIGHT.replace("07/04/2000,EFFR,,", "07/04/2000,EFFR,6.99,"))
-    assert run() == [703, 699, 652]
+    land("s/3.csv", OVERNIGHT.replace("02/07/2005,EFFR,,", "02/07/2005,EFFR,2.49,"))
+    assert run() == [251, 249, 247]
 
 
 def test_registry():

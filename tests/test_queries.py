@@ -11,7 +11,7 @@ from tabulary.queries.catalog import QUERIES
 
 FOLDER = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
 OPERATORS = (
-    [f"SRC-{n}" for n in (1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, "14a", "14b", "14c", "14d", "14e", "14f", 15, 16, 17)]
+    [f"SRC-{n}" for n in (1, 2, 3, 4, 5, 6, 7, 8, 10, 11, 12, 13, "14a", "14b", "14c", "14d", "14e", "14f", 15, 16, 17)]
     + [f"SNK-{n}" for n in range(1, 10)] + [f"PRJ-{n}" for n in range(1, 34)] + [f"FLT-{n}" for n in range(1, 16)]
     + [f"JN-{n}" for n in range(1, 14)] + [f"AGG-{n}" for n in range(12)] + [f"WIN-{n}" for n in range(1, 7)]
     + [f"SRT-{n}" for n in range(1, 5)] + [f"SET-{n}" for n in range(1, 4)] + ["GEN-1", "GEN-2"]
