@@ -25,6 +25,7 @@ FIT_NEGATIVE = 8_000
 TERMS = 4_096
 LEAST_CHI2 = 25.0
 LEAST_DOCUMENTS = 4
+LEAST_LIFT = 8.0
 NEIGHBOURS = 10
 BLOCK = 64
 PRIOR_WEIGHT = 0.1
@@ -156,9 +157,10 @@ def label_sample(labels: DataFrame) -> DataFrame:
 
 
 def choose_terms(docs: DataFrame, sample: DataFrame) -> list[str]:
-    """Terms that go with the label: chi-square of at least LEAST_CHI2 on the toxic side, the TERMS strongest.
+    """Terms that go with the label: LEAST_LIFT times as frequent in toxic texts and a chi-square of at least LEAST_CHI2.
 
-    The bound is far beyond what chance gives over millions of terms, so that clean texts share hardly any term.
+    The TERMS strongest are taken. The bounds are far beyond what chance gives over millions of terms, so that clean
+    texts share hardly any term; copies of a text count once.
     """
 
     def work(rows: Iterable[tuple]) -> Iterator[tuple]:
@@ -168,14 +170,16 @@ def choose_terms(docs: DataFrame, sample: DataFrame) -> list[str]:
                 inside.setdefault(term, [0, 0])[y] += 1
         yield from ((term, *n) for term, n in inside.items())
 
-    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id").select("text", "y")
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id")
+    texts = texts.groupBy(F.md5(F.col("text").cast("binary")).alias("copy")).agg(F.first("text").alias("text"), F.max("y").alias("y")).select("text", "y")
     sizes = {r["y"]: r["count"] for r in texts.groupBy("y").count().collect()}
     n0, n1 = float(sizes.get(0, 0)), float(sizes.get(1, 0))
     summed = map_rows(texts, work, "term string, without long, with long").groupBy("term").agg(F.sum("without").alias("a"), F.sum("with").alias("b"))
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     lift = b * (n0 - a) - a * (n1 - b)
     chi2 = (n0 + n1) * lift * lift / (F.greatest(F.lit(n0 * n1), F.lit(1.0)) * (a + b) * F.greatest(n0 + n1 - a - b, F.lit(1.0)))
-    found = summed.where((F.col("b") >= LEAST_DOCUMENTS) & (lift > 0)).withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2)
+    frequent = (F.col("b") >= LEAST_DOCUMENTS) & (lift > 0) & (b * n0 >= LEAST_LIFT * (a + 0.5) * n1)
+    found = summed.where(frequent).withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2)
     return [r["term"] for r in found.orderBy(F.desc("chi2"), "term").limit(TERMS).collect()]
 
 
