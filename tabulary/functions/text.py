@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+import json
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -128,30 +129,47 @@ def subject_title(subject: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    """HTML character references, each replaced once, left to right."""
-    rare = F.from_json(
-        F.lit("{" + ",".join(f'"{name}":"\\u{code:04x}"' for name, code in sorted(name2codepoint.items())) + "}"),
-        "map<string,string>",
-    )
+    """HTML character references, each replaced once, left to right, as HTML 5 resolves them in text.
 
-    def one(piece: Column) -> Column:
-        name = F.regexp_extract(piece, "^&(#?[A-Za-z0-9]+);", 1)
-        decimal = F.regexp_extract(name, "^#([0-9]{1,7})$", 1).try_cast("int")
-        hexadecimal = F.conv(F.regexp_extract(name, "^#[xX]([0-9a-fA-F]{1,6})$", 1), 16, 10).try_cast("int")
-        code = F.coalesce(decimal, hexadecimal)
-        point = F.when(
-            code.between(1, 1114111) & ~code.between(55296, 57343),
-            F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"),
+    Named ones need their semicolon only where HTML 5 asks for it; of names that run into text the longest counts.
+    """
+    closed = F.from_json(F.lit(json.dumps({n: v for n, v in html5.items() if n.endswith(";")})), "map<string,string>")
+    bare = {n: v for n, v in html5.items() if not n.endswith(";")}
+    open_names = F.from_json(F.lit(json.dumps(bare)), "map<string,string>")
+    any_bare = "^&(" + "|".join(sorted(bare, key=lambda n: (-len(n), n))) + ")"
+    # References to these control codes mean the characters of the Windows code page.
+    windows = F.array(*[F.lit(bytes([i]).decode("cp1252", "ignore") or chr(i)) for i in range(128, 160)])
+
+    def number(digits: Column, base: int, width: int) -> Column:
+        short = F.ltrim(digits, F.lit("0"))
+        value = F.conv(F.when(short == "", F.lit("0")).otherwise(short), base, 10).try_cast("int")
+        return F.when(digits != "", F.when(F.length(short) <= width, value).otherwise(F.lit(0x110000)))
+
+    def character(code: Column) -> Column:
+        no_text = (
+            code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127)
+            | code.between(0xFDD0, 0xFDEF) | (F.pmod(code, F.lit(0x10000)) >= 0xFFFE)
         )
-        plain = (
-            F.when(name == "amp", F.lit("&")).when(name == "lt", F.lit("<"))
-            .when(name == "gt", F.lit(">")).when(name == "quot", F.lit('"'))
-            .when(name == "apos", F.lit("'")).when(name == "nbsp", F.lit("\u00a0"))
-            .when(name.startswith("#"), point)
-            .otherwise(F.try_element_at(rare, name))
+        return (
+            F.when((code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF), F.lit("\ufffd"))
+            .when(code.between(128, 159), F.get(windows, code - 128))
+            .when(no_text, F.lit(""))
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        )
+
+    def one(piece: Column) -> Column:
+        numeric = F.regexp_extract(piece, "^&#(?:[0-9]+|[xX][0-9a-fA-F]+);?", 0)
+        code = F.coalesce(
+            number(F.regexp_extract(numeric, "^&#([0-9]+)", 1), 10, 7), number(F.regexp_extract(numeric, "^&#[xX]([0-9a-fA-F]+)", 1), 16, 6))
+        name = F.regexp_extract(piece, r"^&([^\t\n\f <&#;]{1,32};)", 1)
+        known = F.try_element_at(closed, name)
+        prefix = F.regexp_extract(piece, any_bare, 1)
+        return (
+            F.when(numeric != "", F.concat(character(code), F.substr(piece, F.length(numeric) + 1)))
+            .when(known.isNotNull(), F.concat(known, F.substr(piece, F.length(name) + 2)))
+            .when(prefix != "", F.concat(F.try_element_at(open_names, prefix), F.substr(piece, F.length(prefix) + 2)))
+            .otherwise(piece)
         )
-        rest = F.substr(piece, F.length(name) + 3)
-        return F.when((name != "") & plain.isNotNull(), F.concat(plain, rest)).otherwise(piece)
 
     pieces = F.split(text, "(?=&)")
     return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(pieces, one), "")).otherwise(text)

@@ -15,6 +15,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
+from urllib.parse import unquote
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -64,13 +65,45 @@ class ShardStore:
 
     # Reading
 
+    def versions(self) -> list[int]:
+        """Published versions, oldest first, by the names of their manifest folders."""
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest/version=*/_SUCCESS")
+        found = where.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(where) or []
+        return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+
     def lines(self) -> dict[str, Row]:
         """Newest manifest by shard. As many lines as shards: years, percentages or tables."""
-        if not path_exists(self.spark, f"{self.root}/manifest/version=*/_SUCCESS"):
+        versions = self.versions()
+        if not versions:
             return {}
-        every = self.spark.read.schema(f"{MANIFEST}, version bigint").parquet(f"{self.root}/manifest")
-        newest = every.agg(F.max("version")).first()[0]
-        return {row["shard"]: row for row in every.filter(F.col("version") == newest).collect()}
+        newest = self.spark.read.schema(MANIFEST).parquet(f"{self.root}/manifest/version={versions[-1]}")
+        return {row["shard"]: row for row in newest.withColumn("version", F.lit(versions[-1]).cast("bigint")).collect()}
+
+    def remove_stale(self, keep: int) -> list[str]:
+        """Delete what none of the newest ``keep`` manifests lists: older manifests and data folders; their paths.
+
+        Call it when no reader uses an older version any more.
+        """
+        if keep < 1:
+            raise ValueError("at least one version stays")
+        versions = self.versions()
+        old, recent = versions[:-keep], versions[-keep:]
+        if not old:
+            return []
+        manifests = self.spark.read.schema(MANIFEST).parquet(*[f"{self.root}/manifest/version={v}" for v in recent])
+        listed = {(r["written"], r["shard"]) for r in manifests.select("written", "shard").distinct().collect()}
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        system = path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        stored = system.globStatus(path(f"{self.root}/data/version=*/shard=*")) or []
+        stale = [f"{self.root}/manifest/version={v}" for v in old]
+        for found in stored:
+            folder = found.getPath()
+            version, shard = int(folder.getParent().getName().split("=")[1]), folder.getName().split("=", 1)[1]
+            if version <= recent[-1] and (version, unquote(shard)) not in listed:
+                stale.append(f"{self.root}/data/version={version}/shard={shard}")
+        for name in stale:
+            system.delete(path(name), True)
+        return stale
 
     def manifest(self) -> DataFrame:
         rows = [tuple(row)[:7] for row in self.lines().values()]

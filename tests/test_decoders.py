@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import html
 from decimal import ROUND_HALF_EVEN, ROUND_HALF_UP, Decimal, InvalidOperation, localcontext
 from urllib.parse import urljoin
 
@@ -145,3 +146,12 @@ def test_numbers_of_any_length_decode_exactly(spark):
             even = int(x.scaleb(4).to_integral_value(rounding=ROUND_HALF_EVEN))
             assert r.rate == (even if abs(even) < 2**31 else None), r.c
             assert r.factor == r.c
+
+
+def test_character_references_follow_html5(spark):
+    cells = [
+        "a &amp; &#39;x&#x41; &copy; &foo; &amp;lt;", "&lbrack;&lpar;&percnt;&ApplyFunction;", "&amp x &notit; &notin; &not", "&copy2 &ampamp", "&#0; &#xD800; &#x110000; &#99999999999;",
+        "&#128;&#150;&#x9d;", "&#1;&#xFFFE;&#11;x", "&", "&&amp;&", "&#; &#x; &# 1", "&fjlig; &NotEqualTilde;", "&AMP;&AMP &LT&gt", "plain", "&#0000000065; &#13;",
+    ]
+    df = spark.createDataFrame([(c,) for c in cells], "c string").select("c", text.unescape(F.col("c")).alias("t"))
+    assert {r.c: r.t for r in df.collect()} == {c: html.unescape(c) for c in cells}

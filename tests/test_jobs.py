@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -88,6 +89,23 @@ def test_overnight_update_and_lookup(spark, land, tmp_path):
         feeds.read_overnight(spark, land("f.csv", OVERNIGHT.replace("02/04/2005,EFFR", "02/04/2005,OBFR")))
 
 
+def test_stale_versions_go_and_a_taken_version_is_refused(spark, tmp_path, rows):
+    store = ShardStore.of(spark, str(tmp_path), dataset("federal-funds"))
+    def days(*pairs):
+        return spark.createDataFrame(pairs, "day string, rate_basis_points int").selectExpr("CAST(day AS DATE) AS date", "rate_basis_points")
+
+    store.publish(days(("2001-01-05", 1), ("2002-01-04", 2)))
+    store.publish(days(("2001-01-05", 1), ("2002-01-04", 3)))
+    store.publish(days(("2002-01-04", 4)))
+    assert store.versions() == [1, 2, 3] and store.remove_stale(3) == []
+    removed = [p.removeprefix(f"{tmp_path}/") for p in store.remove_stale(1)]
+    assert [p.rsplit("/data/")[-1] for p in removed if "/data/" in p] == ["version=1/shard=2001", "version=1/shard=2002", "version=2/shard=2002"]
+    assert store.versions() == [3] and [r[1] for r in rows(store.read())] == [4]
+    (Path(store.root) / "manifest/version=4").mkdir()
+    with pytest.raises(ContractError, match="another run"):
+        store.publish(days(("2002-01-04", 5)))
+
+
 def test_secured_update_is_a_no_op_when_repeated(spark, land, tmp_path, rows):
     path, root = land("s.csv", MIXED), str(tmp_path / "store")
     assert updates.update_secured(spark, root, path) == updates.RunMetrics(2, 0, 2, True)
