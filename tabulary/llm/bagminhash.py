@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tabulary.session import scratch_path
 
-from .common import BATCH_ROWS
+from .common import BATCH_ROWS, broadcast_below
 from .shingles import mixed, overlap, shingles
 
 POSITIONS = 128
@@ -201,7 +201,7 @@ def links(texts: DataFrame) -> DataFrame:
     """Edges (node, leader) that connect exactly the texts (node, text) whose similarity chains reach SIMILARITY."""
     signed = sign(texts).dropDuplicates(["node"])
     members = kept(crowded(signed.select(F.explode("keys").alias("key"), "node"), ["key"]), "buckets")
-    wanted = members.select("node").distinct()
+    wanted = broadcast_below(kept(members.select("node").distinct(), "nodes"))
     sets = kept(sets_of(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])), "shingles")
     pairs, found, tried = kept(to_leaders(members), "pairs"), [], []
     for turn in range(ROUNDS + 1):
@@ -217,7 +217,7 @@ def links(texts: DataFrame) -> DataFrame:
         both = again.unionByName(small_ones(compared)).distinct()
         pairs = kept(both.join(reduce(DataFrame.unionByName, tried), ["node", "leader"], "left_anti"), "pairs")
         needed = pairs.select("node").unionByName(pairs.select(F.col("leader").alias("node"))).distinct()
-        sets = kept(sets.join(needed, "node", "left_semi"), "shingles")
+        sets = kept(sets.join(broadcast_below(kept(needed, "nodes")), "node", "left_semi"), "shingles")
     return reduce(DataFrame.unionByName, found) if found else pairs
 
 
@@ -286,14 +286,19 @@ def keep_one(docs: DataFrame) -> DataFrame:
     named = _named(docs)
     labels = components(links(named.select("node", "text")))
     rows = named.select("doc_id", "node").groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("n")).join(labels, "node", "left")
-    best = rows.groupBy(F.coalesce("component", "node").alias("component")).agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node", "n")).alias("best"))
-    keepers = kept(best.select(F.col("best.doc_id").alias("keep_id"), F.col("best.node").alias("keep_node"), F.col("best.n").alias("keep_n")), "keepers")
-    bare = F.coalesce(F.trim(F.translate(F.col("text"), "\t\n\v\f\r", "     ")), F.lit("")) == ""
-    full = docs.where(~bare)
-    joined = full.join(keepers, node_of(full["text"]).eqNullSafe(keepers["keep_node"]) & full["doc_id"].eqNullSafe(keepers["keep_id"]))
-    once = joined.where("keep_n = 1").select(*[full[c] for c in docs.columns])
-    if not keepers.where("keep_n > 1").isEmpty():
-        repeated = joined.where("keep_n > 1").dropDuplicates(["keep_id", "keep_node"]).select(*[full[c] for c in docs.columns])
-        once = once.unionByName(repeated)
-    return once.unionByName(docs.where(bare))
+    group = F.coalesce("component", "node").alias("component")
+    rows = rows.select("doc_id", "node", "n", group)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")
+    best = rows.groupBy("component").agg(F.min(order).alias("best"))
+    chosen = kept(rows.join(best, "component").withColumn("stays", order == F.col("best")).where("not stays or n > 1"), "losers")
+    losers = broadcast_below(chosen.select(F.col("doc_id").alias("lost_id"), F.col("node").alias("lost_node")))
+
+    def lost(df: DataFrame, other: DataFrame) -> Column:
+        return F.coalesce(node_of(df["text"]), F.lit("").cast("binary")).eqNullSafe(other["lost_node"]) & df["doc_id"].eqNullSafe(other["lost_id"])
+
+    once = docs.join(losers, lost(docs, losers), "left_anti")
+    repeated = chosen.where("stays").select(F.col("doc_id").alias("lost_id"), F.col("node").alias("lost_node"))
+    if not repeated.isEmpty():
+        again = docs.join(broadcast_below(repeated), lost(docs, repeated), "left_semi")
+        once = once.unionByName(again.withColumn("lost_node", node_of(F.col("text"))).dropDuplicates(["doc_id", "lost_node"]).drop("lost_node"))
+    return once

@@ -11,6 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DataType
 
 BATCH_ROWS = 500
+BROADCAST_ROWS = 500_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +37,14 @@ def map_rows(df: DataFrame, work: Callable[[Iterable[tuple]], Iterator[tuple]],
     return df.mapInArrow(run, schema)
 
 
+def broadcast_below(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table with a broadcast hint if it has at most ``rows`` rows; beyond that Spark shuffles both sides.
+
+    For tables of a few narrow columns, so that the bound on rows bounds the bytes.
+    """
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def fraction(column: Column) -> Column:
     """A uniform number in [0, 1) that depends on the value alone, for samples that every run repeats."""
     return F.pmod(F.xxhash64(column.cast("string"), F.lit("sample")), F.lit(1 << 40)) / F.lit(float(1 << 40))

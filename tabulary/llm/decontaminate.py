@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bagminhash import kept
+from .common import BROADCAST_ROWS, broadcast_below
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -76,6 +77,25 @@ def similarity(a: Column, b: Column) -> Column:
     return common.cast("double") / (F.size(a) + F.size(b) - common)
 
 
+def windows_at_items(named: DataFrame, anchors: DataFrame) -> DataFrame:
+    """doc_id, text_md5, item_key and window (hashes) for every item shingle in a text (doc_id, text_md5, text).
+
+    The window begins at that shingle, or earlier where the text would end first. With few anchors they are
+    broadcast and the text's hashes travel no further than the task; with many, hits are found first and meet their texts again.
+    """
+    hashed = with_shingles(named, "hashes")
+    if anchors.count() <= BROADCAST_ROWS:
+        placed = hashed.select("doc_id", "text_md5", "hashes", F.posexplode_outer("hashes").alias("at", "hash"))
+        met = placed.join(F.broadcast(anchors), "hash")
+    else:
+        placed = hashed.select("text_md5", F.posexplode_outer("hashes").alias("at", "hash"))
+        hits = placed.join(anchors, "hash").select("text_md5", "item_key", "size", "at").distinct()
+        met = hashed.join(hits, "text_md5")
+    last = F.greatest(F.lit(0), F.size("hashes") - F.col("size"))
+    window = F.slice("hashes", F.least("at", last) + 1, F.col("size"))
+    return met.select("doc_id", "text_md5", "item_key", window.alias("window"))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Items that a text holds: some window of the item's size has a similarity of SIMILARITY or more with it.
 
@@ -85,21 +105,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     items = kept(with_shingles(benchmark.select("item_id", "text"), "item"), "item_shingles").where(F.size("item") > 0).distinct()
     items = kept(with_fingerprint(items, "item", "item_bits").withColumn("item_key", F.xxhash64("item_id", "item")), "items")
-    anchors = kept(items.select("item_key", F.explode(F.array_distinct("item")).alias("hash")), "anchors")
+    anchors = items.select("item_key", F.size("item").alias("size"), F.explode(F.array_distinct("item")).alias("hash"))
     named = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "text")
-    placed = with_shingles(named.select("text_md5", "text"), "hashes").select("text_md5", F.posexplode_outer("hashes").alias("at", "hash"))
-    hits = placed.join(anchors, "hash").groupBy("text_md5", "item_key").agg(F.collect_set("at").alias("places"))
-    hits = kept(hits.join(items, "item_key").where(F.size("places") >= SIMILARITY * F.size("item")), "hits")
-    texts = named.join(hits.select("text_md5").distinct(), "text_md5", "left_semi")
-    hashed = with_shingles(texts, "hashes").join(hits, "text_md5")
-    last = F.greatest(F.lit(0), F.size("hashes") - F.size("item"))
-    starts = F.array_distinct(F.transform("places", lambda p: F.least(p, last)))
-    windows = hashed.select("doc_id", "text_md5", "item_id", "item_key", "item", "hashes", F.explode_outer(starts).alias("start"))
-    windows = windows.select(
-        "doc_id", "text_md5", "item_id", "item_key", "item", "start", F.slice("hashes", F.col("start") + 1, F.size("item")).alias("window"))
+    windows = windows_at_items(named, kept(anchors, "anchors"))
     printed = with_fingerprint(windows, "window", "bits").withColumn("block", F.explode(blocks(F.col("bits"))))
-    index = items.select("item_key", "item_bits", F.explode(blocks(F.col("item_bits"))).alias("item_block"))
-    joined = printed.join(index.withColumnRenamed("item_block", "block"), ["item_key", "block"])
+    index = items.select("item_key", "item_id", "item", "item_bits", F.explode(blocks(F.col("item_bits"))).alias("block"))
+    joined = printed.join(broadcast_below(kept(index, "index"), BROADCAST_ROWS // 10), ["item_key", "block"])
     apart = F.col("bits").bitwiseXOR(F.col("item_bits"))
     first = F.coalesce(*[F.when(block(apart, *b) == 0, F.lit(i)) for i, b in enumerate(BLOCKS)])
     close = joined.where((F.bit_count(apart) <= RADIUS) & (F.col("block.number") == first))
@@ -111,4 +122,4 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows whose text holds no item, with all their columns; rows with a null text stay."""
     leaks = kept(find_leaks(docs, benchmark).select(F.col("text_md5").alias("leak_md5")).distinct(), "leaks")
     key = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
-    return docs.join(leaks, key == F.col("leak_md5"), "left_anti")
+    return docs.join(broadcast_below(leaks), key == F.col("leak_md5"), "left_anti")
