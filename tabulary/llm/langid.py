@@ -20,7 +20,6 @@ from .common import fold, fraction, map_rows
 
 ORDER = 3
 FIT_DOCUMENTS = 2_000
-FIT_BYTES = 20_000
 CONTEXTS = 8_192
 LEAST_SEEN = 4
 CHUNK = 1 << 20
@@ -30,7 +29,7 @@ _LETTER = re.compile(r"[^\W\d_]")
 
 @dataclass
 class Model:
-    """languages; code of each byte (0: never seen, and before a text); context number by the last three codes; prices."""
+    """languages; code of each byte (0: before a text, 1: never seen); context number by the last three codes; prices."""
 
     languages: list[str]
     codes: np.ndarray
@@ -65,9 +64,10 @@ def build(languages: list[str], grams: np.ndarray, counts: np.ndarray) -> Model:
     for byte in range(ORDER + 1):
         seen[(grams >> np.uint32(8 * byte)) & np.uint32(255)] = True
     seen[0] = False
-    codes = np.zeros(256, dtype=np.int64)
-    codes[seen] = np.arange(1, seen.sum() + 1)
-    size = int(seen.sum()) + 1
+    codes = np.ones(256, dtype=np.int64)
+    codes[0] = 0
+    codes[seen] = np.arange(2, seen.sum() + 2)
+    size = int(seen.sum()) + 2
     parts = [codes[(grams >> np.uint32(8 * (ORDER - i))) & np.uint32(255)] for i in range(ORDER + 1)]
     symbol, found = parts[ORDER], []
     for order in range(1, ORDER + 1):
@@ -107,8 +107,8 @@ def _prices(shorter: np.ndarray, n: np.ndarray) -> np.ndarray:
 def train(docs: DataFrame) -> Model | None:
     """Count byte strings of labelled documents and build the trees; None if no row has both text and language.
 
-    Learns from documents outside fold 2 of 4. Bounds: about FIT_DOCUMENTS documents for each language, chosen
-    by their ids, and of each of them the first FIT_BYTES bytes; scoring has no such bound.
+    Learns from documents outside fold 2 of 4. Bound: about FIT_DOCUMENTS documents for each language, chosen
+    by their ids, with their whole texts; scoring has no such bound.
     """
     rows = docs.select("doc_id", "text", "lang").where((fold(F.col("doc_id"), 4) != 2) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
@@ -121,7 +121,7 @@ def train(docs: DataFrame) -> Model | None:
     def work(batch: Iterable[tuple]) -> Iterator[tuple]:
         texts: dict[str, list[bytes]] = {}
         for text, lang in batch:
-            texts.setdefault(lang, []).append(b"\0" * ORDER + text[:FIT_BYTES].encode("utf-8")[:FIT_BYTES])
+            texts.setdefault(lang, []).append(b"\0" * ORDER + text.encode("utf-8"))
         for lang, parts in texts.items():
             raw = np.frombuffer(b"".join(parts), dtype=np.uint8).astype(np.uint32)
             if len(raw) <= ORDER:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import boosting
+from .bagminhash import kept
 from .common import fold, fraction, map_rows
 
 FIT_POSITIVE = 4_000
@@ -217,10 +218,10 @@ def fit(rows: DataFrame, sample: DataFrame, terms: list[str]) -> Model:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
-    """The model and the vectors of all documents it was made from (kept in Spark's storage)."""
-    sample = label_sample(labels).persist()
+    """The model and the vectors of all documents it was made from, as a written table."""
+    sample = kept(label_sample(labels), "labels")
     terms = choose_terms(docs, sample)
-    rows = vectors(docs, {t: i for i, t in enumerate(terms)}).persist()
+    rows = kept(vectors(docs, {t: i for i, t in enumerate(terms)}), "vectors")
     return fit(rows, sample, terms), rows
 
 
