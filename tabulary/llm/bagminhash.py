@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tabulary.session import scratch_path
 
 from .common import BATCH_ROWS, broadcast_below
-from .shingles import mixed, overlap, shingles
+from .shingles import mixed, overlap, portions, shingles
 
 POSITIONS = 128
 BAND_ROWS = 4
@@ -91,11 +91,17 @@ def _batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def _portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start, stop in portions(batch.column(1)):
+            yield batch.slice(start, stop - start)
+
+
 def sign(texts: DataFrame) -> DataFrame:
     """node, size (number of shingles) and band keys of texts (node, text); texts without shingles are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             values, ends = shingles(batch.column(1))
             full = np.diff(ends, prepend=0) > 0
             keys = bands(signatures(values, ends)[full])
@@ -110,7 +116,7 @@ def sets_of(texts: DataFrame) -> DataFrame:
     """node and its sorted shingle hashes as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _portions(batches):
             values, ends = shingles(batch.column(1))
             parts = [values[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(parts, pa.binary())], names=["node", "shingles"])

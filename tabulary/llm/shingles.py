@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 WORDS = 5
+PORTION_BYTES = 1_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BACK = np.uint64(pow(int(_STEP), -1, 1 << 64))
 _SPACE = np.zeros(256, dtype=bool)
@@ -29,6 +33,17 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
+def portions(texts: pa.StringArray, limit: int = PORTION_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of at most ``limit`` bytes of text each, or of one row, so that memory follows the longest text."""
+    sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)))
+    start = 0
+    while start < len(sizes):
+        before = sizes[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(sizes, before + limit, side="right")))
+        yield start, stop
+        start = stop
+
+
 def shingles(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of all texts, sorted within each text, and where each text's part ends.
 
