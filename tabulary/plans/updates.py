@@ -130,16 +130,20 @@ def update_monthly(spark: SparkSession, root: str, page_rows: DataFrame, url: st
     checks.assert_clean(
         checks.all_violations(missing, feeds.feed_violations(decoded, ["source_url", "effective_month"]))
     )
-    match = ["effective_month", "midterm_afr_120_basis_points", "section_7520_rate_basis_points", "revenue_ruling"]
+    figures = ["effective_month", "midterm_afr_120_basis_points", "section_7520_rate_basis_points"]
+    match = [*figures, "revenue_ruling", "source_url"]
     rows = decoded.drop("bad_fields")
     if with_history:
         rows = rows.unionByName(seeds.monthly_1996(spark))
     fixed = apply_corrections(
         rows, seeds.known_rate_corrections(spark), match, "section_7520_rate_basis_points", "corrected"
     )
+    stored, store = seeds.stored_rate_corrections(spark), ShardStore.of(spark, root, data)
+    rows = fixed.select(*data.columns)
+    touched = set(store.shards_of(rows)) | (set(store.shards_of(stored)) & set(store.lines()))
     return merge_and_publish(
-        ShardStore.of(spark, root, data), fixed.select(*data.columns),
-        lambda h, s: tolerant_merge(h, s, list(data.keys), data.values),
+        store, rows, lambda h, s: tolerant_merge(h, s, list(data.keys), data.values), sorted(touched),
+        adjust=lambda h, _: apply_corrections(h, stored, figures, "section_7520_rate_basis_points", "corrected"),
     )
 
 

@@ -16,8 +16,10 @@ from ..functions.numbers import MAX_BASIS_POINTS, MAX_COUNT
 from ..functions.records import FAMILIES, TENOR_KEYS
 from ..functions.urls import procedure_document_allowed, rate_page_allowed
 from ..operators import checks
+from ..operators.joins import apply_corrections
 from ..registry import dataset
 from .feeds import AVERAGED, OBSERVED, WIDE_VALUES
+from .seeds import stored_rate_corrections
 
 PROCEDURE = r"^Rev\. Proc\. [0-9]{4}-[0-9]{1,3}$"
 RULING = r"^Rev\. Rul\.? ([0-9]{4}|[0-9]{2})-[0-9]{1,3}$"
@@ -141,7 +143,10 @@ def migrate_monthly(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
         "ruling": ((ruling != "") & ~ruling.rlike(RULING), CODE),
         "source url": (url.isNotNull() & ~rate_page_allowed(url), CODE),
     }
-    return records.select(*data.columns), checks.violations(records, ["json"], rules)
+    figures = ["effective_month", "midterm_afr_120_basis_points", "section_7520_rate_basis_points"]
+    right = apply_corrections(
+        records.select(*data.columns), stored_rate_corrections(raw.sparkSession), figures, "section_7520_rate_basis_points", "corrected")
+    return right, checks.violations(records, ["json"], rules)
 
 
 # The feed's code for each overnight rate.

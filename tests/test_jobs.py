@@ -154,14 +154,25 @@ PAGE = """<script>x</script><table><tr><th>Valuation month<th>120% of applicable
 
 
 def test_monthly_page_with_correction(spark, tmp_path, rows):
-    page = spark.createDataFrame([("u", PAGE)], "url string, html string")
+    page = spark.createDataFrame([(seeds.PRIOR_YEARS_PAGE, PAGE)], "url string, html string")
     root = str(tmp_path / "store")
     assert updates.update_monthly(spark, root, page, "url", "html", with_history=True) == updates.RunMetrics(14, 0, 14, True)
     store = ShardStore.of(spark, root, dataset("section-7520-rates"))
     assert tuple(lookup.by_month(store, "2014-10").first()) == ("2014-10", 222, 220)
     assert tuple(lookup.by_month(store, "2019-03").first()) == ("2019-03", 311, 320)
-    with pytest.raises(ContractError, match="html_table_not_found"):
-        updates.update_monthly(spark, root, page.withColumn("html", F.lit("<p>none")), "url", "html")
+    elsewhere = page.withColumn("url", F.lit("u"))
+    other = str(tmp_path / "other")
+    updates.update_monthly(spark, other, elsewhere, "url", "html")
+    stored = ShardStore.of(spark, other, dataset("section-7520-rates"))
+    assert tuple(lookup.by_month(stored, "2014-10").first()) == ("2014-10", 222, 222)
+    march = page.withColumn("html", F.regexp_replace("html", "<tr><td>October.*?14-26", ""))
+    updates.update_monthly(spark, other, march, "url", "html")
+    assert tuple(lookup.by_month(stored, "2014-10").first()) == ("2014-10", 222, 220)
+    header = F.regexp_replace("html", "<tr><td>.*</table>", "</table>")
+    for html in (F.lit("<p>none"), header):
+        bad = page.unionByName(page.select(F.lit("v").alias("url"), html.alias("html")))
+        with pytest.raises(ContractError, match="html_table_not_found"):
+            updates.update_monthly(spark, root, bad, "url", "html")
 
 
 def ruling_text(lead="TABLE 1\n", month="Applicable Federal Rates (AFR) for May 1997"):
