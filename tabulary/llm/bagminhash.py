@@ -153,17 +153,20 @@ def most_frequent(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     return counts.groupBy(*keys).agg(F.max(F.struct("times", "rank", value))[value].alias(value))
 
 
-def to_leaders(members: DataFrame) -> DataFrame:
+def to_leaders(members: DataFrame, families: bool) -> DataFrame:
     """Pairs (node, leader) from members (key..., node, n).
 
-    A node ranks by the sizes of its buckets and the highest-ranked member leads a bucket at first. A node then
-    follows whoever leads most of its buckets, and a bucket's leader is the one that most of its members follow:
-    so all buckets of a family of near copies get one leader, whether it is in the bucket or not.
+    A node ranks by the sizes of its buckets and the highest-ranked member leads a bucket at first. With
+    ``families``, a node then follows whoever leads most of its buckets, and a bucket's leader is the one that most of
+    its members follow: so all buckets of a family of near copies get one leader, whether it is in the bucket or not.
     """
     keys = [c for c in members.columns if c not in ("node", "n")]
     ranks = members.groupBy("node").agg(F.sum("n").alias("rank"))
     ranked = members.select(*keys, "node").join(ranks, "node")
     first = ranked.groupBy(*keys).agg(F.max(F.struct("rank", "node")).alias("first"))
+    if not families:
+        pairs = ranked.select(*keys, "node").join(first.select(*keys, F.col("first.node").alias("leader")), keys)
+        return pairs.where(F.col("node") != F.col("leader")).select("node", "leader").distinct()
     led = ranked.select(*keys, "node").join(first, keys).select(*keys, "node", F.col("first.node").alias("leader"), F.col("first.rank").alias("rank"))
     followed = most_frequent(led, ["node"], "leader")
     chosen = most_frequent(led.select(*keys, "node", "rank").join(followed, "node"), keys, "leader")
@@ -209,7 +212,7 @@ def links(texts: DataFrame) -> DataFrame:
     members = kept(crowded(signed.select(F.explode("keys").alias("key"), "node"), ["key"]), "buckets")
     wanted = broadcast_below(kept(members.select("node").distinct(), "nodes"))
     sets = kept(sets_of(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])), "shingles")
-    pairs, found, tried = kept(to_leaders(members), "pairs"), [], []
+    pairs, found, tried = kept(to_leaders(members, families=True), "pairs"), [], []
     for turn in range(ROUNDS + 1):
         if pairs.isEmpty():
             break
@@ -219,7 +222,7 @@ def links(texts: DataFrame) -> DataFrame:
             break
         tried += [pairs, pairs.select(F.col("leader").alias("node"), F.col("node").alias("leader"))]
         groups = kept(regroup(compared), "groups")
-        again = to_leaders(groups.drop("linked")) if turn < ROUNDS - 1 else everyone(groups)
+        again = to_leaders(groups.drop("linked"), families=False) if turn < ROUNDS - 1 else everyone(groups)
         both = again.unionByName(small_ones(compared)).distinct()
         pairs = kept(both.join(reduce(DataFrame.unionByName, tried), ["node", "leader"], "left_anti"), "pairs")
         needed = pairs.select("node").unionByName(pairs.select(F.col("leader").alias("node"))).distinct()
