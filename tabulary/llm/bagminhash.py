@@ -5,12 +5,13 @@ up to w. Their points come in order of time; each carries a signature position a
 mark lies below w. A position keeps its earliest point, so two signatures agree in a position with the probability
 of the weighted Jaccard similarity; a process ends once its time is past the latest point of the signature.
 
-Bands of the signature form buckets. No bucket is expanded into pairs: its members are compared with a leader, the
-text that leads most of their buckets. Two members that do not both link to their leader can only link with each other if
-they share many shingles that the leader lacks, or if one is small enough. So members meet again, in the buckets of the
-next round, below those of their rarest such shingles that cover more than a fifth of their size; texts that share a
-passage only have enough rare ones of their own and drop out. No link is lost, while a large group of near copies
-costs about one comparison for each member.
+Bands of the signature form buckets. No bucket is expanded into pairs: its members are compared with a leader that is
+not larger than any of them, and all that were ever compared with a leader form its pool. Two members that link, but not
+both with their leader, share many shingles that the leader lacks. So members meet again, in groups below those of
+their rarest such shingles that cover more than a fifth of their size; texts that share a passage only have enough
+rare ones of their own and drop out. A group's leader comes after the pool's in the order of sizes, so the rounds end, and
+they go on until there is nothing new to compare. No link is lost, while a large group of near copies costs about one
+comparison for each member.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ from .shingles import mixed, overlap, portions, shingles
 POSITIONS = 128
 BAND_ROWS = 4
 SIMILARITY = 0.8
-ROUNDS = 5
+FEW = 8
+MOST_FEW = 128
 
 
 def signatures(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -104,12 +106,13 @@ def sign(texts: DataFrame) -> DataFrame:
         for batch in _portions(batches):
             values, ends = shingles(batch.column(1))
             full = np.diff(ends, prepend=0) > 0
+            sizes = pa.array(np.diff(ends, prepend=0)[full].astype(np.int64))
             keys = bands(signatures(values, ends)[full])
             offsets = np.arange(len(keys) + 1, dtype=np.int32) * (POSITIONS // BAND_ROWS)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(full)), lists], names=["node", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(full)), sizes, lists], names=["node", "size", "keys"])
 
-    return _batches(texts).mapInArrow(run, "node binary, keys array<long>")
+    return _batches(texts).mapInArrow(run, "node binary, size long, keys array<long>")
 
 
 def sets_of(texts: DataFrame) -> DataFrame:
@@ -148,55 +151,56 @@ def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def most_frequent(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """For each key the value that occurs most often; of equally frequent ones the highest-ranked."""
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("times"), F.max("rank").alias("rank"))
-    return counts.groupBy(*keys).agg(F.max(F.struct("times", "rank", value))[value].alias(value))
+    """For each key the value that occurs most often; of equally frequent ones the least."""
+    counts = df.groupBy(*keys, value).agg((-F.count(F.lit(1))).alias("times"))
+    return counts.groupBy(*keys).agg(F.min(F.struct("times", value))[value].alias(value))
 
 
 def to_leaders(members: DataFrame, families: bool) -> DataFrame:
-    """Pairs (node, leader) from members (key..., node, n).
+    """Pairs (node, leader) from members (key..., node, size); a leader comes before its nodes by size and node.
 
-    A node ranks by the sizes of its buckets and the highest-ranked member leads a bucket at first. With
-    ``families``, a node then follows whoever leads most of its buckets, and a bucket's leader is the one that most of
-    its members follow: so all buckets of a family of near copies get one leader, whether it is in the bucket or not.
+    The first member by that order leads a bucket. With ``families``, a node follows whoever leads most of its
+    buckets, and a bucket's leader is the one that most of its members follow, unless that one comes after a member: so all
+    buckets of a family of near copies get one leader, whether it is in the bucket or not.
     """
-    keys = [c for c in members.columns if c not in ("node", "n")]
-    ranks = members.groupBy("node").agg(F.sum("n").alias("rank"))
-    ranked = members.select(*keys, "node").join(ranks, "node")
-    first = ranked.groupBy(*keys).agg(F.max(F.struct("rank", "node")).alias("first"))
-    if not families:
-        pairs = ranked.select(*keys, "node").join(first.select(*keys, F.col("first.node").alias("leader")), keys)
-        return pairs.where(F.col("node") != F.col("leader")).select("node", "leader").distinct()
-    led = ranked.select(*keys, "node").join(first, keys).select(*keys, "node", F.col("first.node").alias("leader"), F.col("first.rank").alias("rank"))
-    followed = most_frequent(led, ["node"], "leader")
-    chosen = most_frequent(led.select(*keys, "node", "rank").join(followed, "node"), keys, "leader")
-    return ranked.select(*keys, "node").join(chosen, keys).where(F.col("node") != F.col("leader")).select("node", "leader").distinct()
+    keys = [c for c in members.columns if c not in ("node", "size")]
+    first = members.groupBy(*keys).agg(F.min(F.struct("size", "node")).alias("first"))
+    led = members.join(first, keys)
+    if families:
+        followed = most_frequent(led.select("node", F.col("first").alias("chosen")), ["node"], "chosen")
+        chosen = most_frequent(members.select(*keys, "node").join(followed, "node"), keys, "chosen")
+        led = led.join(chosen, keys).withColumn("first", F.least("first", "chosen"))
+    return led.where(F.col("node") != F.col("first.node")).select("node", F.col("first.node").alias("leader")).distinct()
 
 
 def crowded(members: DataFrame, keys: list[str]) -> DataFrame:
-    """Members of buckets that hold more than one, with the bucket's size n; buckets all linked to a leader are done."""
-    linked = F.min("linked") if "linked" in members.columns else F.lit(False)
-    sizes = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), linked.alias("done")).where((F.col("n") > 1) & ~F.col("done"))
+    """Members of buckets that hold more than one, with the bucket's size n.
+
+    Buckets whose members are all linked to a leader, or were all there in an earlier round, are done.
+    """
+    done = F.min("linked") | ~F.max("fresh") if "linked" in members.columns else F.lit(False)
+    sizes = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), done.alias("done")).where((F.col("n") > 1) & ~F.col("done"))
     return members.join(sizes.drop("done"), keys)
 
 
 def regroup(compared: DataFrame) -> DataFrame:
-    """Members (pool, shingle, node, linked, n) of the next round: below one leader, texts with a shingle that it lacks.
+    """Members (pool, shingle, node, size, linked, fresh, n) of the next round: texts of one pool with a shingle its leader lacks.
 
-    Texts of sizes a and b that link have at least (a + b) / 2.25 in common. With the leader a text shares c, so
-    of the rest, a - c, it must share 0.8 a - c with any partner. Leaving out shingles that weigh less than
-    that in total loses no partner, if all texts leave out by one order: the most frequent shingles of the pool.
+    Texts of sizes a and b that link have at least (a + b) / 2.25 in common. A leader is not larger than either, so
+    one that it does not link with has less than that in common with it, and the two share a shingle that it lacks. With the
+    leader a text shares c, so of the rest, a - c, it must share 0.8 a - c with any partner. Leaving out shingles that weigh
+    less than that in total loses no partner, if all texts leave out by one order: the most frequent shingles of the pool.
     """
     excess = compared.select(
-        F.col("leader").alias("pool"), "node", "linked", "size", (F.col("size") - F.col("common")).alias("all_excess"),
+        F.col("leader").alias("pool"), "node", "linked", "fresh", "size", (F.col("size") - F.col("common")).alias("all_excess"),
         F.explode(F.arrays_zip("novel", "excess")).alias("own"))
-    excess = excess.select("pool", F.col("own.novel").alias("shingle"), "node", "linked", "size", "all_excess", F.col("own.excess").alias("excess"))
+    excess = excess.select("pool", F.col("own.novel").alias("shingle"), "node", "linked", "fresh", "size", "all_excess", F.col("own.excess").alias("excess"))
     rows = crowded(excess, ["pool", "shingle"])
     own = Window.partitionBy("pool", "node")
     before = F.coalesce(F.sum("excess").over(own.orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     alone = F.col("all_excess") - F.sum("excess").over(own)
     chosen = rows.withColumn("before", before + alone).where(F.col("before") <= (1 - SIMILARITY) * F.col("size") + 1e-6)
-    return crowded(chosen.select("pool", "shingle", "node", "linked"), ["pool", "shingle"])
+    return crowded(chosen.select("pool", "shingle", "node", "size", "linked", "fresh"), ["pool", "shingle"])
 
 
 def kept(df: DataFrame, label: str) -> DataFrame:
@@ -207,46 +211,43 @@ def kept(df: DataFrame, label: str) -> DataFrame:
 
 
 def links(texts: DataFrame) -> DataFrame:
-    """Edges (node, leader) that connect exactly the texts (node, text) whose similarity chains reach SIMILARITY."""
+    """Edges (node, leader) that connect exactly the texts (node, text) whose similarity chains reach SIMILARITY.
+
+    A pool keeps its members: whoever is new in it meets all that were compared with its leader in any round. Groups of
+    few members need no leader: their pairs are compared at once. What counts as few doubles each round up to MOST_FEW.
+    """
     signed = sign(texts).dropDuplicates(["node"])
-    members = kept(crowded(signed.select(F.explode("keys").alias("key"), "node"), ["key"]), "buckets")
+    members = kept(crowded(signed.select(F.explode("keys").alias("key"), "node", "size"), ["key"]), "buckets")
     wanted = broadcast_below(kept(members.select("node").distinct(), "nodes"))
-    sets = kept(sets_of(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])), "shingles")
-    pairs, found, tried = kept(to_leaders(members, families=True), "pairs"), [], []
-    for turn in range(ROUNDS + 1):
-        if pairs.isEmpty():
-            break
+    every = kept(sets_of(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])), "shingles")
+    pairs, sets, found, pools = kept(to_leaders(members.drop("n"), families=True), "pairs"), every, [], []
+    few_most = FEW
+    while not pairs.isEmpty():
         compared = kept(compare(pairs, sets), "compared")
         found.append(compared.where("linked").select("node", "leader"))
-        if turn == ROUNDS:
-            break
-        tried += [pairs, pairs.select(F.col("leader").alias("node"), F.col("node").alias("leader"))]
-        groups = kept(regroup(compared), "groups")
-        again = to_leaders(groups.drop("linked"), families=False) if turn < ROUNDS - 1 else everyone(groups)
-        both = again.unionByName(small_ones(compared)).distinct()
-        pairs = kept(both.join(reduce(DataFrame.unionByName, tried), ["node", "leader"], "left_anti"), "pairs")
-        needed = pairs.select("node").unionByName(pairs.select(F.col("leader").alias("node"))).distinct()
-        sets = kept(sets.join(broadcast_below(kept(needed, "nodes")), "node", "left_semi"), "shingles")
+        rows = compared.withColumn("fresh", F.lit(True))
+        if pools:
+            open_ = broadcast_below(kept(compared.select("leader").distinct(), "leaders"))
+            rows = rows.unionByName(reduce(DataFrame.unionByName, pools).join(open_, "leader", "left_semi").withColumn("fresh", F.lit(False)))
+        pools.append(compared)
+        groups = kept(regroup(rows), "groups")
+        again = to_leaders(groups.where(F.col("n") > few_most).select("pool", "shingle", "node", "size"), families=False)
+        tried = reduce(DataFrame.unionByName, pools).select("node", "leader")
+        pairs = kept(again.join(tried, ["node", "leader"], "left_anti"), "pairs")
+        few = kept(everyone(groups.where(F.col("n") <= few_most)), "few")
+        both = pairs.unionByName(few)
+        few_most = min(2 * few_most, MOST_FEW)
+        needed = both.select("node").unionByName(both.select(F.col("leader").alias("node"))).distinct()
+        sets = kept(every.join(broadcast_below(kept(needed, "nodes")), "node", "left_semi"), "shingles")
+        found.append(kept(compare(few, sets).where("linked").select("node", "leader"), "links"))
     return reduce(DataFrame.unionByName, found) if found else pairs
 
 
-def small_ones(compared: DataFrame) -> DataFrame:
-    """Pairs below one leader that may link without a common shingle that the leader lacks.
-
-    Then they have at most as much in common as either has with the leader, so their sizes are at most 2.25 times that.
-    """
-    reach = (2.25 * F.col("common") - F.col("size")).alias("reach")
-    left = compared.where(~F.col("linked")).select("leader", "node", "size", reach).where("reach >= 1")
-    right = compared.where("size < leader_size").select("leader", F.col("node").alias("b"), F.col("size").alias("b_size"), reach.alias("b_reach"))
-    joined = left.join(right, "leader").where("node != b and b_size <= reach and size <= b_reach")
-    return joined.select("node", F.col("b").alias("leader"))
-
-
 def everyone(groups: DataFrame) -> DataFrame:
-    """What is left after the rounds, for groups that no leader splits: the pairs not both linked."""
-    other = groups.select("pool", "shingle", F.col("node").alias("b"), F.col("linked").alias("b_linked"))
-    joined = groups.join(other, ["pool", "shingle"]).where("node < b and not (linked and b_linked)")
-    return joined.select("node", F.col("b").alias("leader")).distinct()
+    """All pairs of groups of few members, but those both linked or both there before."""
+    other = groups.select("pool", "shingle", *(F.col(c).alias(f"b_{c}") for c in ("node", "linked", "fresh")))
+    joined = groups.join(other, ["pool", "shingle"]).where("node < b_node and not (linked and b_linked) and (fresh or b_fresh)")
+    return joined.select("node", F.col("b_node").alias("leader")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -106,6 +106,20 @@ def test_classes_are_those_of_all_pairs(spark):
     assert left.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty()
 
 
+def test_no_link_of_drifting_families_is_lost(spark):
+    rows, want = [], []
+    for seed in range(60):
+        draw = random.Random(seed)
+        words = [f"f{seed}w{i}" for i in range(draw.randint(40, 90))]
+        family = [words]
+        for _ in range(60):
+            family.append(edited(draw, draw.choice(family[-12:]), draw.choice((1, 1, 2))))
+        own = [(100 * seed + i, " ".join(w)) for i, w in enumerate(family)]
+        rows, want = rows + own, want + brute_classes(own)
+    got = bagminhash.near_duplicates(documents(spark, rows)).collect()
+    assert sorted(tuple(r) for r in got) == sorted(want)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert bagminhash.near_duplicates(documents(spark, [])).count() == 0
     assert bagminhash.keep_one(documents(spark, [])).count() == 0
