@@ -26,7 +26,6 @@ FIT_NEGATIVE = 8_000
 TERMS = 4_096
 LEAST_CHI2 = 25.0
 LEAST_DOCUMENTS = 4
-LEAST_LIFT = 8.0
 NEIGHBOURS = 10
 BLOCK = 64
 PRIOR_WEIGHT = 0.1
@@ -158,10 +157,10 @@ def label_sample(labels: DataFrame) -> DataFrame:
 
 
 def choose_terms(docs: DataFrame, sample: DataFrame) -> list[str]:
-    """Terms that go with the label: LEAST_LIFT times as frequent in toxic texts and a chi-square of at least LEAST_CHI2.
+    """Terms that go with the label: more frequent in toxic texts and a chi-square of at least LEAST_CHI2.
 
-    The TERMS strongest are taken. The bounds are far beyond what chance gives over millions of terms, so that clean
-    texts share hardly any term; copies of a text count once.
+    The TERMS strongest are taken, however often clean texts quote them. The bound is far beyond what chance gives over
+    millions of terms; copies of a text count once.
     """
 
     def work(rows: Iterable[tuple]) -> Iterator[tuple]:
@@ -179,7 +178,7 @@ def choose_terms(docs: DataFrame, sample: DataFrame) -> list[str]:
     a, b = F.col("a").cast("double"), F.col("b").cast("double")
     lift = b * (n0 - a) - a * (n1 - b)
     chi2 = (n0 + n1) * lift * lift / (F.greatest(F.lit(n0 * n1), F.lit(1.0)) * (a + b) * F.greatest(n0 + n1 - a - b, F.lit(1.0)))
-    frequent = (F.col("b") >= LEAST_DOCUMENTS) & (lift > 0) & (b * n0 >= LEAST_LIFT * (a + 0.5) * n1)
+    frequent = (F.col("b") >= LEAST_DOCUMENTS) & (lift > 0)
     found = summed.where(frequent).withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2)
     return [r["term"] for r in found.orderBy(F.desc("chi2"), "term").limit(TERMS).collect()]
 

@@ -138,6 +138,14 @@ def test_toxicity_is_right_on_held_out_rows(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in out if not r.predicted)
 
 
+def test_toxic_words_that_clean_texts_quote_are_terms(spark):
+    rows, marks = toxic_case(random.Random(8))
+    quoted = [(i, text + " vurm" if i % 5 == 0 or i % 4 == 1 else text) for i, text in rows]
+    sample = toxicity.label_sample(labels(spark, "toxic", marks))
+    terms = toxicity.choose_terms(documents(spark, quoted), sample)
+    assert {"vurm", "blaxer", "blaxeten"} <= set(terms) and not set(terms) & set(sum(WORDS.values(), []))
+
+
 def test_without_labels_everything_is_undecided(spark):
     out = toxicity.score_toxicity(documents(spark, AWKWARD), labels(spark, "toxic", [])).collect()
     assert {(r.score, r.predicted) for r in out} == {(0.5, 0)}
