@@ -28,7 +28,7 @@ _ASSIGN_NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]++")
 _HEX = re.compile(r"[0-9a-f]{16,}+")
 _SIGN = re.compile(r":=|=>|[:=]")
-_OPERAND = re.compile(r"""\s{0,8}(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|([A-Za-z_$][\w.$-]*+(?=\s|[;,)}+]|$))|([^\s"',;(){}\[\]<>]+))""")
+_OPERAND = re.compile(r"""\s*+(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|([A-Za-z_$][\w.$-]*+(?=\s|[;,)}+]|$))|([^\s"',;(){}\[\]<>]+))""")
 _JOIN = re.compile(r"[ \t]*\+")
 _NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-$")
 _WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+|[0-9]+")

@@ -97,6 +97,12 @@ def test_literals_reach_sensitive_names_through_constants():
     assert secrets.all_spans("note: this is prose = fine", []) == []
 
 
+def test_operands_may_stand_far_behind_their_sign():
+    for blanks in (1, 8, 9, 40):
+        (name, operands), *_ = secrets.assignments(f'signing ={" " * blanks}"x9Kq2LmZp7"')
+        assert (name, [o[:2] for o in operands]) == ("signing", [("literal", "x9Kq2LmZp7")])
+
+
 def test_secrets_of_awkward_rows(spark):
     docs = documents(spark, [*AWKWARD, (8, 'token = "abcdefabcdefabcd" and AKIAABCDEFGHIJKLMN')])
     rows = secrets.find_secrets(docs, ("doc_id", "text", "lang")).collect()
