@@ -68,3 +68,90 @@ SELECT doc_id, doc_id, CAST(1 AS BIGINT) FROM documents WHERE text IS NULL
 UNION ALL
 SELECT doc_id, doc_id, CAST(1 AS BIGINT) FROM named WHERE len(list_filter(w, lambda x: x <> '')) = 0
 """
+
+COLLOCATIONS = r"""
+WITH pieces AS (
+  SELECT COALESCE(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+split AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM split GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM split, (SELECT unnest(range(1, 5)) AS k))),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS HUGEINT) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30),
+long AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM long),
+scored AS (
+  SELECT c.lang, c.k, c.phrase, c.a, c.cut, h.a AS l, t.a AS r, (2000000 * c.a) // (h.a + t.a) AS score
+  FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = array_to_string(list_slice(c.w, 1, c.cut), ' ')
+  JOIN f t ON t.lang = c.lang AND t.phrase = array_to_string(list_slice(c.w, c.cut + 1, c.k), ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_phrases AS (
+  SELECT lang, a, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase
+  FROM (SELECT lang, a, w, k, m, unnest(range(1, k - m + 2)) AS i FROM long, (SELECT unnest(range(2, 4)) AS m) WHERE m < k)),
+covers AS (SELECT lang, phrase, max(a) AS longer FROM inner_phrases GROUP BY ALL),
+kept AS (
+  SELECT s.* FROM lowest s LEFT JOIN covers c ON c.lang = s.lang AND c.phrase = s.phrase
+  WHERE c.longer IS NULL OR 100 * c.longer < 80 * s.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+  CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+_CRC_TABLE = "(SELECT list(c ORDER BY i) FROM (SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) AS c FROM (SELECT unnest(range(256)) AS i)))"
+
+
+def _crc32(blob: str) -> str:
+    """The unsigned crc32 of an expression of type BLOB, byte by byte with the table ``crc.t``."""
+    octets = f"list_transform(regexp_extract_all(hex({blob}), '..'), lambda x: CAST('0x' || x AS BIGINT))"
+    return f"xor(list_reduce({octets}, lambda c, b: xor(c // 256, crc.t[xor(c % 256, b) + 1]), 4294967295), 4294967295)"
+
+
+SHARDS = f"""
+WITH RECURSIVE crc AS (SELECT {_CRC_TABLE} AS t),
+docs AS (
+  SELECT doc_id, COALESCE(text, '') AS text, md5(COALESCE(text, '')) AS key, octet_length(encode(COALESCE(text, ''))) + 1 AS size FROM documents),
+grouped AS (SELECT key, CAST(sum(size) AS BIGINT) AS size FROM docs GROUP BY key),
+by_size AS (
+  SELECT key, size, row_number() OVER (ORDER BY size DESC, key) AS nth,
+    sum(size) OVER (ORDER BY size DESC, key) - size AS before, sum(size) OVER () AS total FROM grouped),
+own AS (
+  SELECT key, CAST(nth - 1 AS INTEGER) AS shard FROM by_size
+  WHERE nth < 16 AND nth <= (SELECT COALESCE(min(nth) - 1, 15) FROM by_size WHERE size * (17 - nth) <= total - before)),
+left_over AS (SELECT 16 - count(*) AS shards FROM own),
+ranked AS (
+  SELECT key, size, CAST(sum(size) OVER (ORDER BY key) AS BIGINT) AS finish FROM grouped WHERE key NOT IN (SELECT key FROM own)),
+all_ends AS (SELECT list(finish ORDER BY finish) AS ends, max(finish) AS total, max(size) AS largest, count(*) AS n FROM ranked),
+search(low, high) AS (
+  SELECT greatest(largest, -(-total // shards)), total FROM all_ends, left_over
+  UNION ALL
+  SELECT CASE WHEN fits THEN low ELSE middle + 1 END, CASE WHEN fits THEN middle ELSE high END
+  FROM (
+    SELECT low, high, (low + high) // 2 AS middle,
+      list_reduce(range(shards), lambda place, k: COALESCE(list_max(list_filter(ends, lambda e: e <= place + (low + high) // 2)), 0), CAST(0 AS BIGINT)) >= total AS fits
+    FROM search, all_ends, left_over WHERE low < high)),
+capacity AS (SELECT low AS c FROM search WHERE low = high),
+least(k, place) AS (
+  SELECT CAST(shards AS BIGINT), total FROM all_ends, left_over
+  UNION ALL
+  SELECT k - 1, CASE WHEN place <= c THEN 0 ELSE list_min(list_filter(ends, lambda e: e >= place - c)) END
+  FROM least, all_ends, capacity WHERE k > 1),
+cuts(k, place) AS (
+  SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT)
+  UNION ALL
+  SELECT cuts.k + 1, greatest(least.place, COALESCE(list_max(list_filter(ends, lambda e: e <= least(total * (cuts.k + 1) // shards, cuts.place + c))), 0))
+  FROM cuts JOIN least ON least.k = cuts.k + 1, all_ends, capacity, left_over),
+placed AS (
+  SELECT key, shard FROM own
+  UNION ALL
+  SELECT key, CAST((16 - shards) + (SELECT count(*) FROM cuts WHERE k >= 1 AND k < shards AND place <= finish - size) AS INTEGER) FROM ranked, left_over),
+folded AS (
+  SELECT doc_id, d.key, size, shard, {_crc32("encode(text)")} AS text_crc32,
+    {_crc32("encode(COALESCE(CAST(doc_id AS VARCHAR), '') || ':' || d.key)")} % 1024 AS fold
+  FROM docs d JOIN placed USING (key), crc)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY fold, key, doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM folded
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bagminhash, bpe, chat, decontaminate, langid, oracles, pii, quality, secrets, toxicity
+from . import ann, bagminhash, bpe, chat, collocations, decontaminate, langid, oracles, pii, quality, runs, secrets, sharding, toxicity
 from .common import table
 
 
@@ -53,6 +53,18 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_documents(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(table(spark, folder, "documents"))
+
+
+def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.find_runs(table(spark, folder, "documents"), stretched=True).drop("collapsed")
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_nearest": op2_nearest,
@@ -64,9 +76,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
+    "op11_sharding": op11_sharding,
+    "op12_runs": op12_runs,
+    "op13_collocations": op13_collocations,
 }
 ORACLE_SQL: dict[str, str] = {
     "op4_decontaminate": oracles.LEAKS,
     "op5_chat": oracles.CHAT,
     "op6_near_duplicates": oracles.NEAR_DUPLICATES,
+    "op11_sharding": oracles.SHARDS,
+    "op13_collocations": oracles.COLLOCATIONS,
 }

@@ -36,7 +36,7 @@ def test_query_agrees_with_sql(spark, duck, name):
 
 def test_one_query_for_each_operator():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries()
 
 
