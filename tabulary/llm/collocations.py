@@ -14,12 +14,14 @@ also undoes any collision of hashes.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabulary.session import scratch_path
@@ -125,18 +127,27 @@ def _portions(batches: Iterator[pa.RecordBatch], seeds: dict[str, int]) -> Itera
             yield made()
 
 
-def scan(segment: DataFrame, tables: dict[int, np.ndarray], step: int) -> DataFrame:
+def shared(spark: SparkSession, tables: dict[int, np.ndarray]) -> Broadcast:
+    """The tables as compressed bytes for all tasks: what is sent follows the slots in use, and 4 MB a table bound it."""
+    return spark.sparkContext.broadcast({k: zlib.compress(t.tobytes(), 1) for k, t in tables.items()})
+
+
+def _opened(sent: Broadcast) -> dict[int, np.ndarray]:
+    return {k: np.frombuffer(zlib.decompress(t), dtype=np.uint8) for k, t in sent.value.items()}
+
+
+def scan(segment: DataFrame, sent: Broadcast, step: int) -> DataFrame:
     """Partial counts (k, since, h, n) of the phrases that are active in this step; since is the step they became active."""
-    shared = segment.sparkSession.sparkContext.broadcast(tables)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = _opened(sent)
         for words, _ in _portions(batches, {}):
             below = None
             for k, hashes, whole in words.phrases():
                 if k == 1:
                     since, active = np.zeros(len(hashes), dtype=np.int64), np.full(len(hashes), step < SEGMENTS)
                 else:
-                    noted = noted_at(shared.value[k - 1], below)
+                    noted = noted_at(tables[k - 1], below)
                     since = np.maximum(noted[:-1], noted[1:]).astype(np.int64) + 1
                     active = whole & (since <= step) & (step < since + SEGMENTS)
                 below = hashes
@@ -177,9 +188,11 @@ def frequent(segments: list[DataFrame]) -> list[DataFrame]:
     tables = {k: np.full(1 << SLOT_BITS, NEVER, dtype=np.uint8) for k in range(1, LONGEST)}
     open_, done, step, last = None, [], 0, 0
     while step <= last + SEGMENTS - 1:
-        rows = scan(segments[step % SEGMENTS], tables, step)
+        sent = shared(segments[0].sparkSession, tables)
+        rows = scan(segments[step % SEGMENTS], sent, step)
         both = rows if open_ is None else rows.unionByName(open_)
         counts = kept(both.groupBy("k", "since", "h").agg(F.sum("n").alias("n")), f"step{step}")
+        sent.destroy()
         reached = counts.where(F.col("n") >= THRESHOLD)
         if note(reached.where(F.col("k") < LONGEST), tables, step):
             last = step + 1
@@ -190,25 +203,25 @@ def frequent(segments: list[DataFrame]) -> list[DataFrame]:
     return done
 
 
-def spell(segments: DataFrame, tables: dict[int, np.ndarray]) -> DataFrame:
+def spell(texts: DataFrame, sent: Broadcast) -> DataFrame:
     """lang, k, phrase and partial count of the phrases in the tables; k = 0 stands for the number of all words."""
-    shared = segments.sparkSession.sparkContext.broadcast(tables)
     schema = pa.schema([("lang", pa.string()), ("k", pa.int8()), ("phrase", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tables = _opened(sent)
         for words, names in _portions(batches, {}):
             langs = pa.array(names, pa.string())
             sizes = np.bincount(words.lang, minlength=len(names)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([langs, pa.array(np.zeros(len(names), np.int8)), pa.array([""] * len(names)), pa.array(sizes)], schema=schema)
             for k, hashes, whole in words.phrases():
-                at = np.flatnonzero(whole & (noted_at(shared.value[k], hashes) != NEVER))
+                at = np.flatnonzero(whole & (noted_at(tables[k], hashes) != NEVER))
                 _, first, count = np.unique(hashes[at], return_index=True, return_counts=True)
                 if len(first):
                     first = at[first]
                     columns = [langs.take(pa.array(words.lang[first])), pa.array(np.full(len(first), k, np.int8)), words.spelled(first, k), pa.array(count)]
                     yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    return segments.mapInArrow(run, "lang string, k byte, phrase string, n long").groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(run, "lang string, k byte, phrase string, n long").groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
 
 def phrase_counts(docs: DataFrame) -> DataFrame:
@@ -223,8 +236,11 @@ def phrase_counts(docs: DataFrame) -> DataFrame:
     segments = [whole.where(F.col("segment") == i).select("lang", "text") for i in range(SEGMENTS)]
     tables = {k: np.full(1 << SLOT_BITS, NEVER, dtype=np.uint8) for k in range(1, LONGEST + 1)}
     note(reduce(DataFrame.unionByName, frequent(segments)), tables, 0)
-    counts = spell(whole.select("lang", "text"), tables)
-    return kept(counts.where((F.col("k") == 0) | (F.col("n") >= THRESHOLD)), "phrases")
+    sent = shared(spark, tables)
+    counts = spell(whole.select("lang", "text"), sent)
+    written = kept(counts.where((F.col("k") == 0) | (F.col("n") >= THRESHOLD)), "phrases")
+    sent.destroy()
+    return written
 
 
 def _wide(column: Column) -> Column:
