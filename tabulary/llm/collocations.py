@@ -8,8 +8,8 @@ than one pass, in place of one pass for each length.
 
 Which phrases are noted is kept as a table of fixed size, by hash: the step after which a slot was first noted. Two
 phrases in one slot can make a phrase active that need not be, never the reverse, so nothing is lost. Scans
-count 64-bit hashes; the phrases that reach the threshold are at last spelled out and counted as strings, which
-also undoes any collision of hashes.
+count 64-bit hashes; the phrases of several words that reach the threshold are at last spelled out and counted as strings,
+which undoes any collision of their hashes.
 """
 
 from __future__ import annotations
@@ -31,9 +31,10 @@ from .shingles import mixed
 
 LONGEST = 4
 THRESHOLD = 30
-SEGMENTS = 4
+SEGMENTS = 3
 SLOT_BITS = 22
 NEVER = 255
+TAG = 256
 PORTION_BYTES = 4_000_000
 BATCH_ROWS = 500
 BEST = 2_000
@@ -63,16 +64,24 @@ class Words:
         self.end = gaps
         self.start = np.concatenate([[0], gaps[:-1] + 1]) if len(gaps) else gaps
         place = np.flatnonzero(after)
-        self.piece = np.cumsum(kind == 2)[place - 1] if len(place) else place
-        ends = np.cumsum([len(p) + 1 for p in parts])
-        self.lang = np.array(langs, dtype=np.int64)[np.searchsorted(ends, place, side="right")] if len(place) else place
-        sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
-        sizes = self.end - self.start
-        offset = np.arange(len(self.data)) - np.repeat(self.start, sizes + 1)
-        longest = int(sizes.max()) + 1 if len(sizes) else 1
-        powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(longest, _STEP)]))
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * powers[offset], out=sums[1:])
-        self.hash = mixed(sums[self.end] - sums[self.start] + seeds[self.lang]) if len(sizes) else np.zeros(0, dtype=np.uint64)
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[place - 1] if len(place) else place
+        before = np.searchsorted(place, np.cumsum([len(p) + 1 for p in parts]))
+        self.lang = np.repeat(np.array(langs, dtype=np.int64), np.diff(before, prepend=0))
+        self.hash = self._hashes() + seeds[self.lang] if len(gaps) else np.zeros(0, dtype=np.uint64)
+        self.hash = mixed(self.hash)
+
+    def _hashes(self) -> np.ndarray:
+        """A hash of each word's bytes, taken in up to eight at a time."""
+        padded = np.concatenate([self.data, np.zeros(8, dtype=np.uint8)])
+        eights = np.ndarray(shape=(len(self.data),), dtype="<u8", buffer=padded, strides=(1,))
+        size = self.end - self.start
+        total, left, place, at = size.astype(np.uint64), size, self.start, np.arange(len(size))
+        while len(at):
+            used = np.uint64(8) * (np.uint64(8) - np.minimum(left, 8).astype(np.uint64))
+            total[at] = mixed(total[at] * _STEP + (eights[place] << used))
+            more = left > 8
+            at, place, left = at[more], place[more] + 8, left[more] - 8
+        return total
 
     def phrases(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For each length the hashes of all runs of so many words, and which of them lie within one piece."""
@@ -93,6 +102,26 @@ class Words:
         return pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(self.data[at])).cast(pa.string())
 
 
+def _changes(ordered: np.ndarray) -> np.ndarray:
+    new = np.ones(len(ordered), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return np.flatnonzero(new)
+
+
+def counted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes and how often each occurs."""
+    ordered = np.sort(hashes)
+    at = _changes(ordered)
+    return ordered[at], np.diff(at, append=len(ordered))
+
+
+def located(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One place of each distinct hash and how often it occurs."""
+    order = np.argsort(hashes)
+    at = _changes(hashes[order])
+    return order[at], np.diff(at, append=len(order))
+
+
 def noted_at(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """The step after which each hash was noted at the earliest, NEVER if it was not; each has two slots."""
     mask, bits = np.uint64(len(table) - 1), np.uint64(len(table).bit_length() - 1)
@@ -137,7 +166,7 @@ def _opened(sent: Broadcast) -> dict[int, np.ndarray]:
 
 
 def scan(segment: DataFrame, sent: Broadcast, step: int) -> DataFrame:
-    """Partial counts (k, since, h, n) of the phrases that are active in this step; since is the step they became active."""
+    """Partial counts (tag, h, n) of the phrases that are active in this step; the tag is length times TAG plus the step since when."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _opened(sent)
@@ -145,19 +174,19 @@ def scan(segment: DataFrame, sent: Broadcast, step: int) -> DataFrame:
             below = None
             for k, hashes, whole in words.phrases():
                 if k == 1:
-                    since, active = np.zeros(len(hashes), dtype=np.int64), np.full(len(hashes), step < SEGMENTS)
+                    groups = [(0, hashes)] if step < SEGMENTS else []
                 else:
                     noted = noted_at(tables[k - 1], below)
-                    since = np.maximum(noted[:-1], noted[1:]).astype(np.int64) + 1
-                    active = whole & (since <= step) & (step < since + SEGMENTS)
+                    since = np.where(whole, np.maximum(noted[:-1], noted[1:]), NEVER)
+                    groups = [(s + 1, hashes[since == s]) for s in range(max(0, step - SEGMENTS), step)]
                 below = hashes
-                value, first, count = np.unique(hashes[active], return_index=True, return_counts=True)
-                if len(value):
-                    since = since[active][first]
-                    columns = [np.full(len(value), k, dtype=np.int8), since.astype(np.int16), value.view(np.int64), count]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k", "since", "h", "n"])
+                for begun, active in groups:
+                    value, count = counted(active)
+                    if len(value):
+                        tag = np.full(len(value), k * TAG + begun, dtype=np.int16)
+                        yield pa.RecordBatch.from_arrays([pa.array(tag), pa.array(value.view(np.int64)), pa.array(count.astype(np.int32))], names=["tag", "h", "n"])
 
-    return segment.mapInArrow(run, "k byte, since short, h long, n long")
+    return segment.mapInArrow(run, "tag short, h long, n int")
 
 
 def note(counts: DataFrame, tables: dict[int, np.ndarray], step: int) -> bool:
@@ -184,27 +213,27 @@ def note(counts: DataFrame, tables: dict[int, np.ndarray], step: int) -> bool:
 
 
 def frequent(segments: list[DataFrame]) -> list[DataFrame]:
-    """Dynamic counting over the segments: frames (k, h, n) of all phrases that reach THRESHOLD, and possibly a few more."""
+    """Dynamic counting over the segments: frames (k, h, n) of all phrases that reach THRESHOLD."""
     tables = {k: np.full(1 << SLOT_BITS, NEVER, dtype=np.uint8) for k in range(1, LONGEST)}
     open_, done, step, last = None, [], 0, 0
     while step <= last + SEGMENTS - 1:
         sent = shared(segments[0].sparkSession, tables)
         rows = scan(segments[step % SEGMENTS], sent, step)
         both = rows if open_ is None else rows.unionByName(open_)
-        counts = kept(both.groupBy("k", "since", "h").agg(F.sum("n").alias("n")), f"step{step}")
+        counts = kept(both.groupBy("h").agg(F.max("tag").alias("tag"), F.sum("n").alias("n")), f"step{step}")
         sent.destroy()
-        reached = counts.where(F.col("n") >= THRESHOLD)
+        reached = counts.where(F.col("n") >= THRESHOLD).withColumn("k", F.floor(F.col("tag") / TAG).cast("byte"))
         if note(reached.where(F.col("k") < LONGEST), tables, step):
             last = step + 1
-        ended = F.col("since") + SEGMENTS - 1 <= step
-        done.append(reached.where(ended).select("k", "h"))
+        ended = F.col("tag") % TAG + SEGMENTS - 1 <= step
+        done.append(reached.where(ended).select("k", "h", "n"))
         open_ = counts.where(~ended)
         step += 1
     return done
 
 
 def spell(texts: DataFrame, sent: Broadcast) -> DataFrame:
-    """lang, k, phrase and partial count of the phrases in the tables; k = 0 stands for the number of all words."""
+    """lang, k, phrase and count of the phrases of several words in the tables; k = 0 stands for the number of all words."""
     schema = pa.schema([("lang", pa.string()), ("k", pa.int8()), ("phrase", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,8 +243,10 @@ def spell(texts: DataFrame, sent: Broadcast) -> DataFrame:
             sizes = np.bincount(words.lang, minlength=len(names)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([langs, pa.array(np.zeros(len(names), np.int8)), pa.array([""] * len(names)), pa.array(sizes)], schema=schema)
             for k, hashes, whole in words.phrases():
+                if k == 1:
+                    continue
                 at = np.flatnonzero(whole & (noted_at(tables[k], hashes) != NEVER))
-                _, first, count = np.unique(hashes[at], return_index=True, return_counts=True)
+                first, count = located(hashes[at])
                 if len(first):
                     first = at[first]
                     columns = [langs.take(pa.array(words.lang[first])), pa.array(np.full(len(first), k, np.int8)), words.spelled(first, k), pa.array(count)]
@@ -224,8 +255,23 @@ def spell(texts: DataFrame, sent: Broadcast) -> DataFrame:
     return texts.mapInArrow(run, "lang string, k byte, phrase string, n long").groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
 
+def hashed(words: DataFrame) -> DataFrame:
+    """lang, phrase and h, the scan's hash, of single words (lang, phrase)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, names in _portions(batches, {}):
+            langs = pa.array(names, pa.string()).take(pa.array(part.lang))
+            columns = [langs, part.spelled(np.arange(len(part.hash)), 1), pa.array(part.hash.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "h"])
+
+    return words.select("lang", "phrase").mapInArrow(run, "lang string, phrase string, h long")
+
+
 def phrase_counts(docs: DataFrame) -> DataFrame:
-    """lang, k, phrase, n: how often each phrase of 1 to LONGEST words occurs, of those that do THRESHOLD times; k = 0 for all words."""
+    """lang, k, phrase, n: how often each phrase of 2 to LONGEST words occurs, of those that do THRESHOLD times.
+
+    With k = 1 the words of these phrases, with k = 0 (and an empty phrase) all words of a language.
+    """
     spark = docs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     rows = docs.where("text is not null").select(
@@ -234,13 +280,16 @@ def phrase_counts(docs: DataFrame) -> DataFrame:
     rows.write.partitionBy("segment").parquet(path)
     whole = spark.read.schema("lang string, text string, segment int").parquet(path)
     segments = [whole.where(F.col("segment") == i).select("lang", "text") for i in range(SEGMENTS)]
-    tables = {k: np.full(1 << SLOT_BITS, NEVER, dtype=np.uint8) for k in range(1, LONGEST + 1)}
-    note(reduce(DataFrame.unionByName, frequent(segments)), tables, 0)
+    tables = {k: np.full(1 << SLOT_BITS, NEVER, dtype=np.uint8) for k in range(2, LONGEST + 1)}
+    found = reduce(DataFrame.unionByName, frequent(segments))
+    note(found.where("k > 1"), tables, 0)
     sent = shared(spark, tables)
     counts = spell(whole.select("lang", "text"), sent)
-    written = kept(counts.where((F.col("k") == 0) | (F.col("n") >= THRESHOLD)), "phrases")
+    long = kept(counts.where((F.col("k") == 0) | (F.col("n") >= THRESHOLD)), "phrases")
     sent.destroy()
-    return written
+    words = long.where("k > 1").select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
+    single = hashed(words).join(found.where("k = 1").select("k", "h", "n"), "h").select("lang", "k", "phrase", "n")
+    return long.unionByName(kept(single, "words"))
 
 
 def _wide(column: Column) -> Column:
