@@ -35,7 +35,7 @@ SEGMENTS = 3
 SLOT_BITS = 22
 NEVER = 255
 TAG = 256
-PORTION_BYTES = 4_000_000
+PORTION_BYTES = 6_000_000
 BATCH_ROWS = 500
 BEST = 2_000
 SCALE = 2_000_000
@@ -48,32 +48,30 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 class Words:
-    """The words of some texts: a buffer with one blank after each word, where words begin and end in it, hashes that
-    depend on the language too, and the piece each lies in."""
+    """The words of some texts: where they begin and end in the texts' bytes, hashes that depend on the language too, and the
+    piece each lies in."""
 
     def __init__(self, texts: list[str], langs: list[int], seeds: np.ndarray):
         parts = [t.encode().lower() for t in texts]
         raw = np.frombuffer(b"\n".join(parts) + b"\n", dtype=np.uint8)
         kind = _KIND[raw]
         inside = kind == 0
-        after = np.zeros(len(raw), dtype=bool)
-        after[1:] = inside[:-1] & ~inside[1:]
-        keep = inside | after
-        self.data = np.where(inside, raw, 32)[keep]
-        gaps = np.flatnonzero(self.data == 32)
-        self.end = gaps
-        self.start = np.concatenate([[0], gaps[:-1] + 1]) if len(gaps) else gaps
-        place = np.flatnonzero(after)
-        self.piece = np.cumsum(kind == 2, dtype=np.int32)[place - 1] if len(place) else place
-        before = np.searchsorted(place, np.cumsum([len(p) + 1 for p in parts]))
+        after = inside[:-1] > inside[1:]
+        self.raw, self.inside = raw, inside
+        self.end = np.flatnonzero(after) + 1
+        self.start = np.flatnonzero(inside[1:] > inside[:-1]) + 1
+        if inside[0]:
+            self.start = np.concatenate([[0], self.start])
+        self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.start]
+        before = np.searchsorted(self.start, np.cumsum([len(p) + 1 for p in parts]))
         self.lang = np.repeat(np.array(langs, dtype=np.int64), np.diff(before, prepend=0))
-        self.hash = self._hashes() + seeds[self.lang] if len(gaps) else np.zeros(0, dtype=np.uint64)
-        self.hash = mixed(self.hash)
+        self.hash = mixed(self._hashes() + seeds[self.lang])
+        self.text = None
 
     def _hashes(self) -> np.ndarray:
         """A hash of each word's bytes, taken in up to eight at a time."""
-        padded = np.concatenate([self.data, np.zeros(8, dtype=np.uint8)])
-        eights = np.ndarray(shape=(len(self.data),), dtype="<u8", buffer=padded, strides=(1,))
+        padded = np.concatenate([self.raw, np.zeros(8, dtype=np.uint8)])
+        eights = np.ndarray(shape=(len(self.raw),), dtype="<u8", buffer=padded, strides=(1,))
         size = self.end - self.start
         total, left, place, at = size.astype(np.uint64), size, self.start, np.arange(len(size))
         while len(at):
@@ -95,11 +93,16 @@ class Words:
 
     def spelled(self, first: np.ndarray, k: int) -> pa.Array:
         """The phrases of k words that begin with the given words."""
-        begin, end = self.start[first], self.end[first + k - 1]
-        size = end - begin
+        if self.text is None:
+            keep = self.inside.copy()
+            keep[self.end] = True
+            self.text = np.where(self.inside, self.raw, 32)[keep]
+            self.place = np.concatenate([[0], np.cumsum(self.end - self.start + 1)])
+        begin = self.place[first]
+        size = self.place[first + k] - 1 - begin
         offsets = np.concatenate([[0], np.cumsum(size)])
         at = np.arange(offsets[-1]) + np.repeat(begin - offsets[:-1], size)
-        return pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(self.data[at])).cast(pa.string())
+        return pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(self.text[at])).cast(pa.string())
 
 
 def _changes(ordered: np.ndarray) -> np.ndarray:
@@ -220,12 +223,13 @@ def frequent(segments: list[DataFrame]) -> list[DataFrame]:
         sent = shared(segments[0].sparkSession, tables)
         rows = scan(segments[step % SEGMENTS], sent, step)
         both = rows if open_ is None else rows.unionByName(open_)
-        counts = kept(both.groupBy("h").agg(F.max("tag").alias("tag"), F.sum("n").alias("n")), f"step{step}")
+        ended, many = F.col("tag") % TAG + SEGMENTS - 1 <= step, F.col("n") >= THRESHOLD
+        counts = both.groupBy("h").agg(F.max("tag").alias("tag"), F.sum("n").alias("n"))
+        counts = kept(counts.where(many | ~ended), f"step{step}")
         sent.destroy()
-        reached = counts.where(F.col("n") >= THRESHOLD).withColumn("k", F.floor(F.col("tag") / TAG).cast("byte"))
+        reached = counts.where(many).withColumn("k", F.floor(F.col("tag") / TAG).cast("byte"))
         if note(reached.where(F.col("k") < LONGEST), tables, step):
             last = step + 1
-        ended = F.col("tag") % TAG + SEGMENTS - 1 <= step
         done.append(reached.where(ended).select("k", "h", "n"))
         open_ = counts.where(~ended)
         step += 1
