@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import ContractError
-from ..operators.aggregates import file_digests
+from ..operators.aggregates import digest, file_digests
 from ..operators.joins import reference_gaps, row_differences
 
 FILE_MANIFEST = "file string, bytes bigint, sha256 string"
@@ -57,3 +57,22 @@ def manifest_gaps(manifest: DataFrame, present: DataFrame, key: str) -> DataFram
 def published_differences(lookups: DataFrame, canonical: DataFrame) -> DataFrame:
     """Lookup records that are not canonical records, or the reverse."""
     return row_differences(lookups.select(*canonical.columns), canonical)
+
+
+def bucketed_differences(published: DataFrame, canonical: DataFrame, keys: list[str], buckets: int = 256) -> DataFrame:
+    """Rows on one side only, with ``side``; only rows of buckets whose digests differ are compared.
+
+    Both sides are reduced to one digest per bucket of keys, so equal tables cost one pass and no row is joined.
+    """
+    bucket = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int").alias("bucket")
+    sides = [df.select(bucket, *canonical.columns) for df in (published, canonical)]
+    digests = [digest(df, ["bucket"]).select("bucket", F.struct("record_count", "digest_xor", "digest_sum").alias(name)) for df, name in zip(sides, ("p", "c"), strict=True)]
+    differing = digests[0].join(digests[1], "bucket", "full_outer").where(~F.col("p").eqNullSafe(F.col("c"))).select("bucket")
+    # At most ``buckets`` rows.
+    some = [df.join(F.broadcast(differing), "bucket", "left_semi").drop("bucket") for df in sides]
+    return row_differences(*some)
+
+
+def dangling_paths(named: DataFrame, present: DataFrame) -> DataFrame:
+    """path named by an envelope, manifest or index that is not there."""
+    return named.select("path").distinct().join(present.select("path"), "path", "left_anti")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import decode, filters, merges, ordered, published, readers, relations
+from . import decode, filters, layout, merges, ordered, published, readers, relations
 
 QUERIES = {
     name: query
-    for module in (decode, filters, merges, relations, ordered, readers, published)
+    for module in (decode, filters, merges, relations, ordered, readers, published, layout)
     for name, query in module.QUERIES.items()
 }

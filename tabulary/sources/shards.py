@@ -63,73 +63,120 @@ def read_raw_records(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+CANONICAL_RECORD_END = "\n  }"
+
+
+def read_record_pieces(spark: SparkSession, path: str) -> DataFrame:
+    """(file_name, json) of every record of canonical JSON arrays; json is null for what is not exactly one record.
+
+    In a canonical file (two blanks of indentation) a line that closes a record is the only one to begin with two blanks and a
+    brace. Files are read as text with that as the line end, so a large one is cut into records by position and read by
+    several tasks, and each record is parsed on its own: a repeated key or any other layout leaves json null, and so does
+    a file that does not end with the array's one closing bracket.
+    """
+    pieces = spark.read.option("lineSep", CANONICAL_RECORD_END).text(path).select("value", F.col("_metadata.file_name").alias("file_name"))
+    body = F.regexp_replace("value", r"^[\s\[,]+", "")
+    whole = F.concat(body, F.lit("\n}"))
+    sound = F.startswith(body, F.lit("{\n    ")) & ~checks.has_repeated_json_key(whole)
+    # What follows the last record, or all of an empty array.
+    closing = F.trim(F.translate("value", "\n\r[", "  ")) == "]"
+    unclosed = pieces.groupBy("file_name").agg(F.count(F.when(closing, 1)).alias("closings")).where("closings != 1")
+    records = pieces.where(~closing).select("file_name", F.when(sound, whole).alias("json"))
+    return records.unionByName(unclosed.select("file_name", F.lit(None).cast("string").alias("json")))
+
+
+def read_canonical_records(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """Records of canonical JSON arrays with their file_name, and the violations of layout and keys."""
+    pieces = read_record_pieces(spark, path)
+    names = schema.fieldNames()
+    rules = {
+        "record layout": (F.col("json").isNull(), "invalid_json"),
+        "record keys": (F.col("json").isNotNull() & checks.key_set_differs(F.col("json"), [names]), "invalid_json"),
+    }
+    read = _read_schema(schema)
+    rows = pieces.where("json is not null").select("file_name", F.from_json("json", read).alias("r")).select("file_name", "r.*")
+    return rows.select("file_name", *_typed(schema)), checks.violations(pieces, ["file_name"], rules)
+
+
 def year_of_file(name: Column) -> Column:
     """``2016-series.json`` or ``2016.json``; '' when the name has no year."""
     return F.regexp_extract(name, r"^([0-9]{4})(?:-[a-z0-9-]+)?\.json$", 1)
 
 
-def read_year_shards(spark: SparkSession, folder: str, data: Dataset, legacy: str | None = None) -> DataFrame:
-    """All year shards, or the legacy single file when there are none.
-
-    Every record's key must start with the year in its file name.
-    """
-    shards = f"{folder}/by-year/*.json"
-    if not path_exists(spark, shards):
-        if legacy is None or not path_exists(spark, legacy):
-            return empty(spark, data.schema)
-        return read_json_records(spark, legacy, data.schema).select(*data.columns)
-    rows = read_json_records(spark, shards, data.schema)
+def year_shard_rows(spark: SparkSession, path: str, data: Dataset) -> tuple[DataFrame, DataFrame]:
+    """Records of year shards and their violations: each key must start with the year in its file name."""
+    rows, broken = read_canonical_records(spark, path, data.schema)
     key = F.col(data.keys[0]).cast("string")
     year = year_of_file(F.col("file_name"))
     rules = {
         "shard year": (~F.coalesce(F.substring(key, 1, 4) == year, F.lit(False)), "invalid_json"),
         **checks.schema_rules(data.schema),
     }
-    checks.assert_clean(checks.violations(rows, ["file_name", *data.keys], rules))
-    return rows.select(*data.columns)
+    return rows.select(*data.columns), checks.all_violations(broken, checks.violations(rows, ["file_name", *data.keys], rules))
+
+
+def read_year_shards(spark: SparkSession, folder: str, data: Dataset, legacy: str | None = None) -> DataFrame:
+    """All year shards, or the legacy single file when there are none."""
+    shards = f"{folder}/by-year/*.json"
+    if not path_exists(spark, shards):
+        return empty(spark, data.schema) if legacy is None else read_single(spark, legacy, data)
+    rows, broken = year_shard_rows(spark, shards, data)
+    checks.assert_clean(broken)
+    return rows
+
+
+def single_rows(spark: SparkSession, path: str, data: Dataset) -> tuple[DataFrame, DataFrame]:
+    rows, broken = read_canonical_records(spark, path, data.schema)
+    return rows.select(*data.columns), checks.all_violations(broken, checks.violations(rows, list(data.keys), checks.schema_rules(data.schema)))
 
 
 def read_single(spark: SparkSession, path: str, data: Dataset) -> DataFrame:
     """One file with the whole history; a missing file is an empty history."""
     if not path_exists(spark, path):
         return empty(spark, data.schema)
-    rows = read_json_records(spark, path, data.schema)
-    checks.assert_clean(checks.violations(rows, list(data.keys), checks.schema_rules(data.schema)))
-    return rows.select(*data.columns)
+    rows, broken = single_rows(spark, path, data)
+    checks.assert_clean(broken)
+    return rows
 
 
 def rate_of_file(name: Column) -> Column:
     return F.regexp_extract(name, r"^([0-9]{5})-basis-points\.json$", 1).try_cast("int")
 
 
-def read_rate_shards(spark: SparkSession, folder: str, data: Dataset) -> DataFrame:
-    """Factor shards; the rate is only in the file name."""
+def rate_shard_rows(spark: SparkSession, path: str, data: Dataset) -> tuple[DataFrame, DataFrame]:
+    """Records of factor shards and their violations; the rate is only in the file name."""
     stored = T.StructType([f for f in data.schema.fields if f.name != data.rate_column])
-    rows = read_json_records(spark, f"{folder}/by-interest-rate/*.json", stored).withColumn(
-        data.rate_column, rate_of_file(F.col("file_name"))
-    )
-    checks.assert_clean(
-        checks.violations(rows, ["file_name"], {"rate in name": (F.col(data.rate_column).isNull(), "invalid_json")})
+    rows, broken = read_canonical_records(spark, path, stored)
+    rows = rows.withColumn(data.rate_column, rate_of_file(F.col("file_name")))
+    rules = {"rate in name": (F.col(data.rate_column).isNull(), "invalid_json"), **checks.schema_rules(stored)}
+    return rows.select(*data.columns), checks.all_violations(broken, checks.violations(rows, ["file_name"], rules))
+
+
+def read_rate_shards(spark: SparkSession, folder: str, data: Dataset) -> DataFrame:
+    rows, broken = rate_shard_rows(spark, f"{folder}/by-interest-rate/*.json", data)
+    checks.assert_clean(broken)
+    return rows
+
+
+def table_shard_rows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Nested mortality tables, one per file, and their violations."""
+    rows = read_json_records(spark, path, TABLE_SCHEMA)
+    return rows.select(*TABLE_SCHEMA.fieldNames()), checks.all_violations(
+        checks.violations(rows, ["file_name"], table_rules()),
+        checks.violations(
+            rows, ["file_name"],
+            {"file name": (~F.col("file_name").eqNullSafe(F.concat("table_id", F.lit(".json"))), "invalid_json")},
+        ),
+        duplicate_keys(rows, ["table_id"]).select(
+            F.lit("repeated table").alias("rule"), F.col("table_id").alias("key"), F.lit("invalid_json").alias("code")
+        ),
     )
-    return rows.select(*data.columns)
 
 
 def read_table_shards(spark: SparkSession, folder: str) -> DataFrame:
-    """Nested mortality tables, one per file, checked."""
-    rows = read_json_records(spark, f"{folder}/by-table/*.json", TABLE_SCHEMA)
-    checks.assert_clean(
-        checks.all_violations(
-            checks.violations(rows, ["file_name"], table_rules()),
-            checks.violations(
-                rows, ["file_name"],
-                {"file name": (F.col("file_name") != F.concat("table_id", F.lit(".json")), "invalid_json")},
-            ),
-            duplicate_keys(rows, ["table_id"]).select(
-                F.lit("repeated table").alias("rule"), F.col("table_id").alias("key"), F.lit("invalid_json").alias("code")
-            ),
-        )
-    )
-    return rows.select(*TABLE_SCHEMA.fieldNames())
+    rows, broken = table_shard_rows(spark, f"{folder}/by-table/*.json")
+    checks.assert_clean(broken)
+    return rows
 
 
 def table_rules() -> dict[str, tuple[Column, str]]:

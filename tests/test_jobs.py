@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import datetime
+import hashlib
 import json
 from pathlib import Path
 
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabulary.errors import ContractError
 from tabulary.operators.generate import term_unitrust_table
-from tabulary.plans import lookup, updates
+from tabulary.plans import artifacts, lookup, updates
 from tabulary.plans.store import ShardStore
 from tabulary.registry import DATASETS, dataset
 from tabulary.sources import documents, feeds, grids, migrate, rulings, seeds, shards
@@ -290,17 +292,31 @@ def test_legacy_shapes(spark, land, rows):
     assert good.filter("date = '2031-03-02'").first()["par_yields_basis_points"] == list(range(14))
 
 
+def canonical(records):
+    return json.dumps(records, indent=2, ensure_ascii=False) + "\n"
+
+
 def test_shard_readers(spark, land, tmp_path, rows):
     data = dataset("federal-funds")
-    land("ff/by-year/2000-fed-funds.json", json.dumps([{"date": "2000-03-03", "rate_basis_points": 411}, {"date": "2000-03-06", "rate_basis_points": None}]))
-    land("ff/by-year/2001.json", json.dumps([{"date": "2001-02-02", "rate_basis_points": 398}]))
+    land("ff/by-year/2000-fed-funds.json", canonical([{"date": "2000-03-03", "rate_basis_points": 411}, {"date": "2000-03-06", "rate_basis_points": None}]))
+    land("ff/by-year/2001.json", canonical([{"date": "2001-02-02", "rate_basis_points": 398}]))
+    land("ff/by-year/2003.json", canonical([]))
     folder = str(tmp_path / "landing/ff")
     assert len(rows(shards.read_year_shards(spark, folder, data))) == 3
-    land("ff/by-year/2002.json", json.dumps([{"date": "2001-01-03", "rate_basis_points": 1}]))
-    with pytest.raises(ContractError, match="invalid_json"):
-        shards.read_year_shards(spark, folder, data)
+    for name, text, rule in (
+        ("2002", canonical([{"date": "2001-01-03", "rate_basis_points": 1}]), "shard year"),
+        ("2004", json.dumps([{"date": "2004-01-03", "rate_basis_points": 1}]), "record layout"),
+        ("2005", '[\n  {\n    "date": "2005-01-03",\n    "date": "2005-01-04",\n    "rate_basis_points": 1\n  }\n]\n', "record layout"),
+        ("2006", canonical([{"date": "2006-01-03"}]), "record keys"),
+        ("2007", canonical([{"date": "2007-01-03", "rate_basis_points": 1}])[:-8], "record layout"),
+        ("2008", canonical([{"date": "2008-01-03", "rate_basis_points": 1}]) * 2, "record layout"),
+    ):
+        found = shards.year_shard_rows(spark, land(f"bad-{name}/by-year/{name}.json", text), data)[1]
+        assert rule in [r["rule"] for r in found.collect()]
+        with pytest.raises(ContractError, match="invalid"):
+            shards.read_year_shards(spark, str(tmp_path / f"landing/bad-{name}"), data)
     assert shards.read_single(spark, folder + "/none.json", data).count() == 0
-    land("d/by-interest-rate/00020-basis-points.json", json.dumps([{"term_years": 1, "unitrust_remainder_factor_scaled_1e6": 998000}]))
+    land("d/by-interest-rate/00020-basis-points.json", canonical([{"term_years": 1, "unitrust_remainder_factor_scaled_1e6": 998000}]))
     assert rows(shards.read_rate_shards(spark, str(tmp_path / "landing/d"), dataset("actuarial-table-d"))) == [(20, 1, 998000)]
     record = {"schema_id": "s", "schema_version": 1, "dataset_id": "federal-funds", "record_key": "2000-03-03", "record": {"date": "2000-03-03", "rate_basis_points": 411}}
     land("api/2000-03-03.json", json.dumps(record))
@@ -308,6 +324,46 @@ def test_shard_readers(spark, land, tmp_path, rows):
     assert (str(got["date"]), got["rate_basis_points"]) == ("2000-03-03", 411)
 
 
+def test_large_shard_is_read_by_several_tasks(spark, land):
+    days = [{"date": str(datetime.date(2000, 1, 1) + datetime.timedelta(days=i % 366)), "rate_basis_points": i} for i in range(20_000)]
+    path = land("big/by-year/2000-fed-funds.json", canonical(days))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        found, broken = shards.year_shard_rows(spark, path, dataset("federal-funds"))
+        assert found.rdd.getNumPartitions() > 4
+        assert found.count() == 20_000 and found.agg({"rate_basis_points": "sum"}).first()[0] == sum(range(20_000)) and broken.isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_published_layout(spark, tmp_path):
+    root = str(tmp_path / "root")
+    rows = lambda *days: spark.createDataFrame([(datetime.date.fromisoformat(d), r) for d, r in days], dataset("federal-funds").schema)
+    first = {r["path"]: r for r in artifacts.publish(spark, root, {"federal-funds": rows(("2001-02-03", 5), ("2000-01-02", None), ("2000-01-01", 7))}).collect()}
+    assert all(r["changed"] for r in first.values())
+    text = (tmp_path / "root/fed-funds/by-year/2000-fed-funds.json").read_text()
+    assert text == canonical([{"date": "2000-01-01", "rate_basis_points": 7}, {"date": "2000-01-02", "rate_basis_points": None}])
+    for path, r in first.items():
+        content = (tmp_path / "root" / path).read_bytes()
+        assert (len(content), hashlib.sha256(content).hexdigest()) == (r["bytes"], r["sha256"])
+        assert json.loads(content) is not None
+    manifest = json.loads((tmp_path / "root/fed-funds/manifest.json").read_text())
+    assert [(y["path"], y["shard"], y["record_count"], y["first_key"]) for y in manifest["years"]] == [
+        ("by-year/2000-fed-funds.json", "2000", 2, "2000-01-01"), ("by-year/2001-fed-funds.json", "2001", 1, "2001-02-03")]
+    api = json.loads((tmp_path / "root/api/v1/index.json").read_text())["datasets"][0]
+    assert api["latest"]["record_key"] == "2001-02-03" and api["lookup"] == {"file_count": 3, "first_key": "2000-01-01", "last_key": "2001-02-03"}
+    again = artifacts.publish(spark, root, {"federal-funds": rows(("2000-01-01", 8), ("2000-01-02", None))})
+    assert {r["path"]: r["changed"] for r in again.where("not contains(path, 'index')").collect()} == {
+        "fed-funds/by-year/2000-fed-funds.json": True, "fed-funds/manifest.json": True, "api/v1/datasets/federal-funds/latest.json": True,
+        "api/v1/datasets/federal-funds/by-date/2000-01-01.json": True, "api/v1/datasets/federal-funds/by-date/2000-01-02.json": False}
+    left = {str(p.relative_to(tmp_path / "root")) for p in (tmp_path / "root").rglob("*.json")}
+    assert left == {r["path"] for r in again.collect()}
+    with pytest.raises(ContractError, match="duplicate_key"):
+        artifacts.publish(spark, root, {"federal-funds": rows(("2000-01-01", 8), ("2000-01-01", 9))})
+    empty = artifacts.publish(spark, str(tmp_path / "empty"), {"federal-funds": rows()}).collect()
+    assert sorted(r["path"] for r in empty) == ["api/v1/index.json", "fed-funds/manifest.json", "index.json"]
+
+
 def entry(path, **changes):
     return {"year": "1998", "periods": ["1998-08"], "subjects": ["afr"], "path": path, "source_url": "https://www.irs.gov/pub/irs-drop/rr-1.pdf", "title": "Rev. Rul. 98-36",
             "retrieved_date": "2026-01-05", "bytes": 3, "sha256": "0" * 64, **changes}
