@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 import uuid
 from collections.abc import Iterator
 from functools import reduce
@@ -29,6 +28,7 @@ from ..errors import ContractError
 from ..functions.records import record_key
 from ..registry import DATASETS, Dataset
 from ..session import scratch_path
+from ..sources.files import files_below, opened, remove_paths
 from . import lookup
 
 API = "api/v1"
@@ -90,11 +90,6 @@ def latest_file(df: DataFrame, data: Dataset) -> DataFrame:
 # Files, in tasks
 
 
-def _opened(root: str) -> tuple[fs.FileSystem, str]:
-    local = re.sub(r"^file:/+", "/", root)
-    return (fs.LocalFileSystem(), local) if "://" not in local else fs.FileSystem.from_uri(local)
-
-
 class _File:
     """One file being written: canonical JSON, digested on the way."""
 
@@ -149,7 +144,7 @@ def stage(rows: DataFrame, root: str, run: str) -> DataFrame:
     names = [c.split()[0] for c in ENTRY.split(", ")] + ["staged"]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, base = _opened(root)
+        system, base = opened(root)
         folder, file, done = f"{base}/{STAGING}/{run}", None, []
         system.create_dir(folder, recursive=True)
         for batch in batches:
@@ -176,7 +171,7 @@ def move(staged: DataFrame, root: str, run: str) -> DataFrame:
     names = [c.split()[0] for c in ENTRY.split(", ")] + ["changed"]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, base = _opened(root)
+        system, base = opened(root)
         for batch in batches:
             out = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -205,33 +200,11 @@ def write_files(rows: DataFrame, root: str) -> DataFrame:
     return spark.read.parquet(paths[1])
 
 
-def files_below(spark: SparkSession, root: str) -> DataFrame:
-    """path of every JSON file below a root; the listing runs as a scan and no content is read."""
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", True).load(root)
-    base = re.sub(r"^file:/+", "/", root.rstrip("/")) + "/"
-    return found.select(F.substring_index("path", base, -1).alias("path"))
-
-
 def unlisted(spark: SparkSession, root: str, entries: DataFrame, below: str = "") -> DataFrame:
     """path of the files below a folder of the root that no entry names."""
     return files_below(spark, root).where(F.startswith("path", F.lit(below))).join(entries.select("path"), "path", "left_anti")
 
 
-def remove_files(paths: DataFrame, root: str) -> DataFrame:
-    """Delete files (path below root) in tasks; the paths, as a written table. A file that is gone already counts as deleted."""
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, base = _opened(root)
-        for batch in batches:
-            for path in batch.column(0).to_pylist():
-                if system.get_file_info(f"{base}/{path}").type == fs.FileType.File:
-                    system.delete_file(f"{base}/{path}")
-            yield batch
-
-    spark, out = paths.sparkSession, scratch_path(paths.sparkSession, "removed")
-    paths.select("path").mapInArrow(work, "path string").write.parquet(out)
-    return spark.read.parquet(out)
-
-
 # Manifests and indexes, as data
 
 _LISTS = {"by_year": "years", "by_rate": "shards", "by_table": "tables", "single": "records"}
@@ -307,5 +280,5 @@ def publish(spark: SparkSession, root: str, sets: dict[str, DataFrame]) -> DataF
     manifests = write_files(union([manifest_rows(records.where(F.col("dataset_id") == n), d) for n, d in data.items()]), root)
     indexes = write_files(index_rows(records, manifests, lookups, list(data)), root)
     everything = union([entries, manifests, indexes])
-    remove_files(unlisted(spark, root, everything), root)
+    remove_paths(unlisted(spark, root, everything), root)
     return everything

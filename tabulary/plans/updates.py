@@ -21,7 +21,7 @@ from ..operators.merge import MergeResult, enriching_merge, strict_merge, tolera
 from ..operators.windows import life_expectancy
 from ..registry import DATASETS, TABLE_SCHEMA, Dataset, dataset
 from ..sources import feeds, grids, pages, prose, rulings, seeds, shards
-from .store import Published, ShardStore
+from .store import Published, ShardStore, commit_together
 
 # Fixed value: how many mortality tables the published set has.
 TABLE_COUNT = 68
@@ -40,15 +40,20 @@ class RunMetrics:
 
 
 def merge_and_publish(
-    store: ShardStore, source: DataFrame, merge, touched: list[str] | None = None, adjust=None
+    store: ShardStore, source: DataFrame, merge, touched: list[str] | None = None, adjust=None,
+    batch: tuple[str, int] | None = None,
 ) -> RunMetrics:
-    """Merge a feed into the touched shards; nothing is written unless it is clean."""
+    """Merge a feed into the touched shards; nothing is written unless it is clean.
+
+    A run that another one overtakes on the same shards is refused, because its merge is out of date.
+    """
     source = source.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        lines = store.lines()
+        base = store.version()
+        lines = store.lines(base)
         total = sum(line["record_count"] for line in lines.values())
         touched = store.shards_of(source) if touched is None else touched
-        history = store.read(touched)
+        history = store.read(touched, lines)
         if adjust is not None:
             history = adjust(history, source)
         result: MergeResult = merge(history, source)
@@ -58,7 +63,7 @@ def merge_and_publish(
             records = result.checked()
             counts = result.metrics().first()
             before = sum(line["record_count"] for name, line in lines.items() if name in touched)
-            published: Published = store.publish(records, touched)
+            published: Published = store.publish(records, touched, base, batch)
             return RunMetrics(
                 counts["source"], total, total - before + counts["final"], published.changed
             )
@@ -246,17 +251,20 @@ HEADER_SCHEMA = T.StructType([f for f in TABLE_SCHEMA.fields if not f.name.endsw
 
 
 def table_stores(spark: SparkSession, root: str) -> dict[str, ShardStore]:
-    """Mortality tables as headers and two long tables, sharded by table."""
+    """Mortality tables as headers and two long tables, sharded by table; the three change together."""
     folder, shard = f"{root}/{dataset('valuation-basic-table-2015').folder}", F.col("table_id")
+    kinds = {
+        "tables": (HEADER_SCHEMA, ["table_id"]), "select": (SELECT_SCHEMA, ["table_id", "issue_age", "duration"]),
+        "ultimate": (ULTIMATE_SCHEMA, ["table_id", "attained_age"]),
+    }
     return {
-        "tables": ShardStore(spark, f"{folder}/tables", HEADER_SCHEMA, ["table_id"], shard),
-        "select": ShardStore(spark, f"{folder}/select", SELECT_SCHEMA, ["table_id", "issue_age", "duration"], shard),
-        "ultimate": ShardStore(spark, f"{folder}/ultimate", ULTIMATE_SCHEMA, ["table_id", "attained_age"], shard),
+        name: ShardStore(spark, f"{folder}/{name}", schema, keys, shard, f"{folder}/commits", name)
+        for name, (schema, keys) in kinds.items()
     }
 
 
 def import_tables(spark: SparkSession, root: str, raw: DataFrame, expected: int = TABLE_COUNT) -> dict[str, Published]:
-    """Import mortality tables; all are checked before anything is written."""
+    """Import mortality tables: all are checked before anything is written, and one commit switches all three stores."""
     tables = shards.normalise_tables(raw).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         checks.assert_clean(
@@ -270,11 +278,13 @@ def import_tables(spark: SparkSession, root: str, raw: DataFrame, expected: int
             )
         )
         stores = table_stores(spark, root)
-        return {
-            "tables": stores["tables"].publish(tables.select(*HEADER_SCHEMA.fieldNames())),
-            "select": stores["select"].publish(shards.select_rate_rows(tables)),
-            "ultimate": stores["ultimate"].publish(shards.ultimate_rate_rows(tables)),
+        rows = {
+            "tables": tables.select(*HEADER_SCHEMA.fieldNames()), "select": shards.select_rate_rows(tables),
+            "ultimate": shards.ultimate_rate_rows(tables),
         }
+        base = stores["tables"].version()
+        prepared = [(store, store.prepare(rows[name], None, base)) for name, store in stores.items()]
+        return dict(zip(stores, commit_together(prepared, base), strict=True))
     finally:
         tables.unpersist()
 

@@ -8,6 +8,7 @@ from ..plans import artifacts, verify
 from ..registry import dataset
 from ..session import scratch_path
 from ..sources import shards
+from ..sources.files import files_below, remove_paths
 from .common import ABSENT, ORDER_DAY, Query, shown, table
 
 _U1 = "adjusted_payout_rate_basis_points"
@@ -38,7 +39,7 @@ def published_layout(spark, folder):
     wrong = verify.file_differences(entries.select(F.col("path").alias("file"), "bytes", "sha256"), present)
     named = spark.read.schema("canonical_record_path string, canonical_record_paths array<string>, canonical_manifest_path string").option("multiLine", True).json(f"{root}/api/v1/datasets/*/*/*.json")
     paths = named.select(F.explode(F.array_compact(F.concat(F.array("canonical_record_path", "canonical_manifest_path"), F.coalesce("canonical_record_paths", F.array())))).alias("path"))
-    lost = verify.dangling_paths(paths, artifacts.files_below(spark, root))
+    lost = verify.dangling_paths(paths, files_below(spark, root))
     problems = [
         df.agg(F.lit("").alias("dataset_id"), F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("files"), F.lit(0).alias("record_count"), F.lit(0).alias("written_again"))
         for kind, df in (("wrong files", wrong), ("dangling paths", lost))
@@ -143,7 +144,7 @@ def layout_differences(spark, folder):
     changed = ends.select(F.col("first.date").alias("date"), (F.col("first.rate_basis_points") + 1).alias("rate_basis_points"))
     surplus = ends.select(F.date_add("last", 30).alias("date"), F.lit(1).alias("rate_basis_points"))
     artifacts.write_files(artifacts.lookup_files(changed.unionByName(surplus), data), root)
-    artifacts.remove_files(ends.select(F.concat(F.lit(f"api/v1/datasets/{data.name}/by-date/"), F.col("last").cast("string"), F.lit(".json")).alias("path")), root)
+    remove_paths(ends.select(F.concat(F.lit(f"api/v1/datasets/{data.name}/by-date/"), F.col("last").cast("string"), F.lit(".json")).alias("path")), root)
     served = shards.read_lookups(spark, f"{root}/api/v1/datasets/{data.name}/by-date/*.json", data).select(*data.columns)
     return shown(verify.bucketed_differences(served, shards.read_year_shards(spark, f"{root}/{data.folder}", data), list(data.keys)))
 
@@ -160,7 +161,7 @@ def cleaned_layout(spark, folder):
     days = _sets(spark, folder)["federal-funds"]
     artifacts.publish(spark, root, {data.name: days})
     artifacts.publish(spark, root, {data.name: days.where("date < DATE'1997-01-01'")})
-    left = artifacts.files_below(spark, root)
+    left = files_below(spark, root)
     place = F.regexp_replace("path", "[^/]*$", "")
     return shown(left.groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("files"), F.max(F.substring_index("path", "/", -1)).alias("last_file")))
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 from tabulary.errors import ContractError
 from tabulary.operators.generate import term_unitrust_table
 from tabulary.plans import artifacts, lookup, updates
-from tabulary.plans.store import ShardStore
+from tabulary.plans.store import ShardStore, commit_together
 from tabulary.registry import DATASETS, dataset
-from tabulary.sources import documents, feeds, grids, migrate, rulings, seeds, shards
+from tabulary.sources import documents, feeds, files, grids, migrate, rulings, seeds, shards
 from tabulary.streaming.feed import stream_feed
 
 CURVE = """Date,1 Mo,1.5 Month,2 Mo,3 Mo,4 Mo,6 Mo,1 Yr,2 Yr,3 Yr,5 Yr,7 Yr,10 Yr,20 Yr,30 Yr
@@ -91,21 +91,44 @@ def test_overnight_update_and_lookup(spark, land, tmp_path):
         feeds.read_overnight(spark, land("f.csv", OVERNIGHT.replace("02/04/2005,EFFR", "02/04/2005,OBFR")))
 
 
-def test_stale_versions_go_and_a_taken_version_is_refused(spark, tmp_path, rows):
+def _days(spark, *pairs):
+    return spark.createDataFrame(pairs, "day string, rate_basis_points int").selectExpr("CAST(day AS DATE) AS date", "rate_basis_points")
+
+
+def test_stale_versions_go(spark, tmp_path, rows):
     store = ShardStore.of(spark, str(tmp_path), dataset("federal-funds"))
-    def days(*pairs):
-        return spark.createDataFrame(pairs, "day string, rate_basis_points int").selectExpr("CAST(day AS DATE) AS date", "rate_basis_points")
-
-    store.publish(days(("2001-01-05", 1), ("2002-01-04", 2)))
-    store.publish(days(("2001-01-05", 1), ("2002-01-04", 3)))
-    store.publish(days(("2002-01-04", 4)))
-    assert store.versions() == [1, 2, 3] and store.remove_stale(3) == []
-    removed = [p.removeprefix(f"{tmp_path}/") for p in store.remove_stale(1)]
-    assert [p.rsplit("/data/")[-1] for p in removed if "/data/" in p] == ["version=1/shard=2001", "version=1/shard=2002", "version=2/shard=2002"]
+    runs = []
+    for days in ((("2001-01-05", 1), ("2002-01-04", 2)), (("2001-01-05", 1), ("2002-01-04", 3)), (("2002-01-04", 4),)):
+        store.publish(_days(spark, *days))
+        runs.append({line["written"] for line in store.lines().values()})
+    assert store.versions() == [1, 2, 3] and store.remove_stale(3).count() == 0
+    gone = sorted(r["path"].rsplit("/shard=")[-1] for r in store.remove_stale(1).where("path like 'data/%'").collect())
+    assert gone == ["2001", "2002", "2002"]
     assert store.versions() == [3] and [r[1] for r in rows(store.read())] == [4]
-    (Path(store.root) / "manifest/version=4").mkdir()
-    with pytest.raises(ContractError, match="another run"):
-        store.publish(days(("2002-01-04", 5)))
+    assert {p.parent.name for p in Path(store.root).glob("data/run=*/shard=*")} == {f"run={r}" for r in runs[-1]}
+
+
+def test_of_two_writers_one_is_refused(spark, tmp_path, rows):
+    store = ShardStore.of(spark, str(tmp_path), dataset("federal-funds"))
+    base = store.publish(_days(spark, ("2001-01-05", 1), ("2002-01-04", 2))).version
+    first = store.prepare(_days(spark, ("2001-01-05", 5)), ["2001"], base)
+    second = store.prepare(_days(spark, ("2001-01-05", 6)), ["2001"], base)
+    other = store.prepare(_days(spark, ("2002-01-04", 7)), ["2002"], base)
+    assert commit_together([(store, first)], base)[0].version == 2
+    with pytest.raises(ContractError, match="conflicting_version"):
+        commit_together([(store, second)], base)
+    assert commit_together([(store, other)], base)[0].version == 3
+    assert [r[1] for r in rows(store.read())] == [5, 7] and [r[1] for r in rows(store.read(lines=store.lines(1)))] == [1, 2]
+
+
+def test_of_writers_of_one_commit_one_takes_the_name(spark, tmp_path):
+    import concurrent.futures
+
+    path = str(tmp_path / "commits/00000001.json")
+    with concurrent.futures.ThreadPoolExecutor(4) as pool:
+        taken = list(pool.map(lambda i: files.create_once(spark, path, f"writer {i}"), range(4)))
+    assert sum(taken) == 1 and files.read_small(spark, path) == f"writer {taken.index(True)}"
+    assert not files.create_once(spark, path, "late") and [p.name for p in (tmp_path / "commits").glob("*.draft")] == []
 
 
 def test_secured_update_is_a_no_op_when_repeated(spark, land, tmp_path, rows):
