@@ -5,35 +5,32 @@ up to w. Their points come in order of time; each carries a signature position a
 mark lies below w. A position keeps its earliest point, so two signatures agree in a position with the probability
 of the weighted Jaccard similarity; a process ends once its time is past the latest point of the signature.
 
-Bands of the signature form buckets. No bucket is expanded into pairs: its members are compared with a leader that is
-not larger than any of them, and all that were ever compared with a leader form its pool. Two members that link, but not
-both with their leader, share many shingles that the leader lacks. So members meet again, in groups below those of
-their rarest such shingles that cover more than a fifth of their size; texts that share a passage only have enough
-rare ones of their own and drop out. A group's leader comes after the pool's in the order of sizes, so the rounds end, and
-they go on until there is nothing new to compare. No link is lost, while a large group of near copies costs about one
-comparison for each member.
+Bands of the signature form buckets, whose members are compared until each bucket lies in one class. Only classes are
+wanted, so every round contracts what it has linked, and a bucket or group inside one class is done. First each bucket's
+members meet a leader, which joins families of near copies at about one comparison a member. Members of buckets that are then
+still open (mostly texts that share a passage) meet only in groups below a rare shingle: of two texts that link, the rarest
+fifth of either's shingles hold a common one. Groups again meet leaders, twice as many each round, so a group of g members
+is done after at most log2(g) + 1 rounds, and no link between two classes is lost.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulary.session import scratch_path
 
 from .common import BATCH_ROWS, broadcast_below
-from .shingles import mixed, overlap, portions, shingles
+from .shingles import mixed, portions, shared, shingles
 
 POSITIONS = 128
 BAND_ROWS = 4
 SIMILARITY = 0.8
-FEW = 8
-MOST_FEW = 128
+BUCKET_ROUNDS = 2
 
 
 def signatures(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -127,27 +124,21 @@ def sets_of(texts: DataFrame) -> DataFrame:
     return _batches(texts).mapInArrow(run, "node binary, shingles binary")
 
 
-def compare(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """For pairs (node, leader): sizes, common count, and which shingles node has more often than leader by how much."""
+def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs (node, leader) whose multiset similarity reaches SIMILARITY."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes, leaders, own, other = (c.to_pylist() for c in batch.columns)
-            rows = []
-            for node, leader, x, y in zip(nodes, leaders, own, other, strict=True):
+            own, other = (c.to_pylist() for c in batch.columns[2:])
+            keep = []
+            for x, y in zip(own, other, strict=True):
                 a, b = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                common, novel, excess = overlap(a, b)
-                rows.append((node, leader, len(a), len(b), common, novel.view(np.int64), excess))
-            columns = list(zip(*rows, strict=True)) or [()] * 7
-            kinds = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            names = ["node", "leader", "size", "leader_size", "common", "novel", "excess"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+                common = shared(a, b) if min(len(a), len(b)) >= SIMILARITY * max(len(a), len(b)) else 0
+                keep.append(common >= SIMILARITY * (len(a) + len(b) - common))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(sets, "node").join(sets.select(F.col("node").alias("leader"), F.col("shingles").alias("other")), "leader")
-    schema = "node binary, leader binary, size long, leader_size long, common long, novel array<long>, excess array<long>"
-    done = _batches(joined.select("node", "leader", "shingles", "other")).mapInArrow(run, schema)
-    similar = F.col("common") >= SIMILARITY * (F.col("size") + F.col("leader_size") - F.col("common"))
-    return done.withColumn("linked", similar)
+    return _batches(joined.select("node", "leader", "shingles", "other")).mapInArrow(run, "node binary, leader binary")
 
 
 def most_frequent(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -174,33 +165,43 @@ def to_leaders(members: DataFrame, families: bool) -> DataFrame:
 
 
 def crowded(members: DataFrame, keys: list[str]) -> DataFrame:
-    """Members of buckets that hold more than one, with the bucket's size n.
+    """Members of buckets that hold more than one."""
+    sizes = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return members.join(sizes, keys)
 
-    Buckets whose members are all linked to a leader, or were all there in an earlier round, are done.
-    """
-    done = F.min("linked") | ~F.max("fresh") if "linked" in members.columns else F.lit(False)
-    sizes = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), done.alias("done")).where((F.col("n") > 1) & ~F.col("done"))
-    return members.join(sizes.drop("done"), keys)
+
+def still_open(members: DataFrame, labels: DataFrame, keys: list[str]) -> DataFrame:
+    """Members, with their present component, of buckets that hold more than one component."""
+    now = members.drop("component").join(labels, "node")
+    several = now.groupBy(*keys).agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b").select(*keys)
+    return now.join(several, keys)
 
 
-def regroup(compared: DataFrame) -> DataFrame:
-    """Members (pool, shingle, node, size, linked, fresh, n) of the next round: texts of one pool with a shingle its leader lacks.
+def rare_groups(sets: DataFrame) -> DataFrame:
+    """Members (shingle, node, size) of groups of texts below their rarest shingles, for texts (node, shingles).
 
-    Texts of sizes a and b that link have at least (a + b) / 2.25 in common. A leader is not larger than either, so
-    one that it does not link with has less than that in common with it, and the two share a shingle that it lacks. With the
-    leader a text shares c, so of the rest, a - c, it must share 0.8 a - c with any partner. Leaving out shingles that weigh
-    less than that in total loses no partner, if all texts leave out by one order: the most frequent shingles of the pool.
+    The occurrences of a shingle count as different ones. Texts of sizes a and b that link have 0.8 (a + b) / 1.8 in common, no
+    less than 0.8 a, so among the rarest a / 5 + 1 of the one and b / 5 + 1 of the other, by an order that all texts share,
+    there is a common one. Shingles of one text only come first and form no group.
     """
-    excess = compared.select(
-        F.col("leader").alias("pool"), "node", "linked", "fresh", "size", (F.col("size") - F.col("common")).alias("all_excess"),
-        F.explode(F.arrays_zip("novel", "excess")).alias("own"))
-    excess = excess.select("pool", F.col("own.novel").alias("shingle"), "node", "linked", "fresh", "size", "all_excess", F.col("own.excess").alias("excess"))
-    rows = crowded(excess, ["pool", "shingle"])
-    own = Window.partitionBy("pool", "node")
-    before = F.coalesce(F.sum("excess").over(own.orderBy("n", "shingle").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    alone = F.col("all_excess") - F.sum("excess").over(own)
-    chosen = rows.withColumn("before", before + alone).where(F.col("before") <= (1 - SIMILARITY) * F.col("size") + 1e-6)
-    return crowded(chosen.select("pool", "shingle", "node", "size", "linked", "fresh"), ["pool", "shingle"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                values = np.frombuffer(data, dtype=np.uint64)
+                nth = np.arange(len(values)) - np.searchsorted(values, values)
+                tokens = mixed(values + nth.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+                columns = [pa.array([node] * len(tokens), pa.binary()), pa.array(tokens), pa.array(np.full(len(tokens), len(tokens)))]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "shingle", "size"])
+
+    tokens = kept(_batches(sets.select("node", "shingles")).mapInArrow(run, "node binary, shingle long, size long"), "tokens")
+    often = kept(tokens.groupBy("shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "often")
+    placed = tokens.join(often, "shingle")
+    alone = F.col("size") - F.size("many")
+    many = placed.groupBy("node", "size").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("many"))
+    room = F.floor((1 - SIMILARITY) * F.col("size") + 1e-6) + 1 - alone
+    chosen = many.where(room > 0).select("node", "size", F.explode(F.slice(F.col("many.shingle"), F.lit(1), F.least(room, F.size("many")).cast("int"))).alias("shingle"))
+    return crowded(chosen, ["shingle"])
 
 
 def kept(df: DataFrame, label: str) -> DataFrame:
@@ -210,44 +211,60 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def links(texts: DataFrame) -> DataFrame:
-    """Edges (node, leader) that connect exactly the texts (node, text) whose similarity chains reach SIMILARITY.
+def to_some(members: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs (node, leader) of each group's members with up to ``salts`` leaders of other components, and the members without these leaders.
 
-    A pool keeps its members: whoever is new in it meets all that were compared with its leader in any round. Groups of
-    few members need no leader: their pairs are compared at once. What counts as few doubles each round up to MOST_FEW.
+    Members (shingle, node, size, component); the first of each salt by size and node leads.
     """
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("node", "shingle"), F.lit(salts)))
+    leaders = salted.groupBy("shingle", "salt").agg(F.min(F.struct("size", "node", "component")).alias("first")).select("shingle", "first.*")
+    others = leaders.select("shingle", *(F.col(c).alias(f"b_{c}") for c in ("node", "size", "component")))
+    alike = F.least("size", "b_size") >= SIMILARITY * F.greatest("size", "b_size") - 1e-6
+    met = members.join(others, "shingle").where(F.col("component") != F.col("b_component")).where(alike)
+    pairs = met.select(F.greatest("node", "b_node").alias("node"), F.least("node", "b_node").alias("leader")).distinct()
+    return pairs, members.join(leaders.select("shingle", "node"), ["shingle", "node"], "left_anti")
+
+
+def relabel(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """Labels (node, component) after the links (node, leader); only components that meet are worked on."""
+    ends = [labels.select(F.col("node").alias(n), F.col("component").alias(c)) for n, c in (("node", "a"), ("leader", "b"))]
+    met = kept(edges.join(ends[0], "node").join(ends[1], "leader").where("a != b").select(F.col("a").alias("node"), F.col("b").alias("leader")).distinct(), "met")
+    if met.isEmpty():
+        return labels
+    joined = components(met).select(F.col("node").alias("component"), F.col("component").alias("new"))
+    new = labels.join(broadcast_below(joined), "component", "left").select("node", F.coalesce("new", "component").alias("component"))
+    return kept(new, "labels")
+
+
+def classes_of(texts: DataFrame) -> DataFrame:
+    """node and component of the texts (node, text) that share a bucket with another: chains of texts that reach SIMILARITY."""
+    spark = texts.sparkSession
     signed = sign(texts).dropDuplicates(["node"])
     members = kept(crowded(signed.select(F.explode("keys").alias("key"), "node", "size"), ["key"]), "buckets")
-    wanted = broadcast_below(kept(members.select("node").distinct(), "nodes"))
-    every = kept(sets_of(texts.join(wanted, "node", "left_semi").dropDuplicates(["node"])), "shingles")
-    pairs, sets, found, pools = kept(to_leaders(members.drop("n"), families=True), "pairs"), every, [], []
-    few_most = FEW
-    while not pairs.isEmpty():
-        compared = kept(compare(pairs, sets), "compared")
-        found.append(compared.where("linked").select("node", "leader"))
-        rows = compared.withColumn("fresh", F.lit(True))
-        if pools:
-            open_ = broadcast_below(kept(compared.select("leader").distinct(), "leaders"))
-            rows = rows.unionByName(reduce(DataFrame.unionByName, pools).join(open_, "leader", "left_semi").withColumn("fresh", F.lit(False)))
-        pools.append(compared)
-        groups = kept(regroup(rows), "groups")
-        again = to_leaders(groups.where(F.col("n") > few_most).select("pool", "shingle", "node", "size"), families=False)
-        tried = reduce(DataFrame.unionByName, pools).select("node", "leader")
-        pairs = kept(again.join(tried, ["node", "leader"], "left_anti"), "pairs")
-        few = kept(everyone(groups.where(F.col("n") <= few_most)), "few")
-        both = pairs.unionByName(few)
-        few_most = min(2 * few_most, MOST_FEW)
-        needed = both.select("node").unionByName(both.select(F.col("leader").alias("node"))).distinct()
-        sets = kept(every.join(broadcast_below(kept(needed, "nodes")), "node", "left_semi"), "shingles")
-        found.append(kept(compare(few, sets).where("linked").select("node", "leader"), "links"))
-    return reduce(DataFrame.unionByName, found) if found else pairs
-
-
-def everyone(groups: DataFrame) -> DataFrame:
-    """All pairs of groups of few members, but those both linked or both there before."""
-    other = groups.select("pool", "shingle", *(F.col(c).alias(f"b_{c}") for c in ("node", "linked", "fresh")))
-    joined = groups.join(other, ["pool", "shingle"]).where("node < b_node and not (linked and b_linked) and (fresh or b_fresh)")
-    return joined.select("node", F.col("b_node").alias("leader")).distinct()
+    labels = kept(members.select("node", F.col("node").alias("component")).distinct(), "labels")
+    sets = kept(sets_of(texts.join(broadcast_below(labels.select("node")), "node", "left_semi").dropDuplicates(["node"])), "shingles")
+    for step in range(BUCKET_ROUNDS):
+        pairs = kept(to_leaders(members.select("key", "node", "size"), families=step == 0), "pairs")
+        labels = relabel(labels, linked(pairs, sets))
+        if step:
+            first = members.groupBy("key").agg(F.min(F.struct("size", "node"))["node"].alias("node"))
+            members = members.join(first, ["key", "node"], "left_anti")
+        members = kept(still_open(members, labels, ["key"]), "buckets")
+    left = kept(members.select("node").distinct(), "nodes")
+    if left.isEmpty():
+        return labels
+    sets = kept(sets.join(broadcast_below(left), "node", "left_semi"), "shingles")
+    groups = kept(still_open(rare_groups(sets), labels, ["shingle"]), "groups")
+    tried, salts = scratch_path(spark, "tried"), 1
+    while not groups.isEmpty():
+        pairs, rest = to_some(groups, salts)
+        if salts > 1:
+            pairs = pairs.join(spark.read.parquet(tried), ["node", "leader"], "left_anti")
+        pairs = kept(pairs, "pairs")
+        pairs.write.mode("append").parquet(tried)
+        labels = relabel(labels, linked(pairs, sets))
+        groups, salts = kept(still_open(rest, labels, ["shingle"]), "groups"), 2 * salts
+    return labels
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -279,7 +296,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     doc_id has the class_id null. Other columns are not looked at.
     """
     named = _named(docs)
-    labels = components(links(named.select("node", "text")))
+    labels = classes_of(named.select("node", "text"))
     rows = named.select("doc_id", "node").join(labels, "node", "left")
     rows = rows.select("doc_id", F.coalesce("component", "node").alias("component"))
     classes = rows.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
@@ -294,7 +311,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows with a null text or without words are all kept.
     """
     named = _named(docs)
-    labels = components(links(named.select("node", "text")))
+    labels = classes_of(named.select("node", "text"))
     rows = named.select("doc_id", "node").groupBy("doc_id", "node").agg(F.count(F.lit(1)).alias("n")).join(labels, "node", "left")
     group = F.coalesce("component", "node").alias("component")
     rows = rows.select("doc_id", "node", "n", group)

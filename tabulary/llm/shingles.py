@@ -89,10 +89,9 @@ def shingles(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
     return value[order], np.cumsum(np.bincount(own, minlength=len(texts)))
 
 
-def overlap(a: np.ndarray, b: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
-    """Size of the multiset intersection of sorted arrays, the values that a has more often than b, and how much more."""
-    va, na = np.unique(a, return_counts=True)
-    at = np.searchsorted(b, va, side="left")
-    nb = np.searchsorted(b, va, side="right") - at
-    more = na > nb
-    return int(np.minimum(na, nb).sum()), va[more], (na - nb)[more]
+def shared(a: np.ndarray, b: np.ndarray) -> int:
+    """Size of the multiset intersection of sorted arrays."""
+    if len(a) > len(b):
+        a, b = b, a
+    nth = np.arange(len(a)) - np.searchsorted(a, a)
+    return int((nth < np.searchsorted(b, a, side="right") - np.searchsorted(b, a)).sum())
