@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from .bagminhash import kept
 
 SHARD_ROWS = 4_096
+ROUNDING = 1e-5
 QUERY_ROWS = 1_024
 DEGREE = 32
 BUILD_BEAM = 64
@@ -124,9 +125,29 @@ def build(unit: np.ndarray) -> tuple[np.ndarray, int]:
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosine of each row of a with the same row of b, in double precision."""
+    a, b = in_range(a), in_range(b)
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
+def in_range(rows: np.ndarray) -> np.ndarray:
+    """Rows of very large or small components times a power of two, which leaves their cosines as they are."""
+    _, size = np.frexp(np.abs(rows).max(axis=1, initial=0.0))
+    return np.ldexp(rows, -np.where(np.abs(size) > 400, size, 0)[:, None])
+
+
+def directions(rows: np.ndarray) -> np.ndarray:
+    """Rows of length one, in single precision."""
+    rows = in_range(rows)
+    return (rows / np.sqrt((rows * rows).sum(axis=1))[:, None]).astype(np.float32)
+
+
+def _distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first place of each distinct row, and the number of each row's distinct row."""
+    whole = np.ascontiguousarray(rows).view(np.dtype((np.void, rows.shape[1] * rows.itemsize))).ravel()
+    _, first, at = np.unique(whole, return_index=True, return_inverse=True)
+    return first, at
+
+
 def usable(embedding: Column) -> Column:
     """Not null, not empty, all components finite and at least one of them not zero."""
     finite = F.forall(embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
@@ -134,23 +155,28 @@ def usable(embedding: Column) -> Column:
 
 
 def make_shards(vectors: DataFrame, shards: int) -> DataFrame:
-    """One row for each (dim, shard): distinct vectors, their edges, and the ids that hold each of them."""
+    """One row for each (dim, shard): directions with their edges, the distinct vectors of each, and the ids that hold each of them."""
 
     def one(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("vec_id", kind="stable")
         matrix = np.stack([np.asarray(v, dtype=np.float64) for v in part["embedding"]])
-        _, first, at = np.unique(matrix.view(np.dtype((np.void, matrix.shape[1] * 8))).ravel(), return_index=True, return_inverse=True)
-        distinct = np.ascontiguousarray(matrix[first])
-        unit = (distinct / np.sqrt((distinct * distinct).sum(axis=1))[:, None]).astype(np.float32)
-        edges, start = build(unit)
-        sort = np.argsort(at, kind="stable")
+        first, at = _distinct(matrix)
+        unit = directions(matrix[first])
+        nodes, node = _distinct(unit)
+        edges, start = build(np.ascontiguousarray(unit[nodes]))
+        # Distinct vectors by node, and ids by distinct vector in that order.
+        order = np.argsort(node, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        sort = np.argsort(place[at], kind="stable")
         return pd.DataFrame([{
-            "dim": part["dim"].iloc[0], "shard": part["shard"].iloc[0], "vectors": distinct.tobytes(), "edges": edges.tobytes(), "start": start,
-            "ids": part["vec_id"].to_numpy(dtype=np.int64)[sort].tobytes(), "ends": np.cumsum(np.bincount(at)).tobytes(),
+            "dim": part["dim"].iloc[0], "shard": part["shard"].iloc[0], "units": unit[nodes].tobytes(), "edges": edges.tobytes(), "start": start,
+            "vectors": matrix[first][order].tobytes(), "nodes": np.cumsum(np.bincount(node)).tobytes(),
+            "ids": part["vec_id"].to_numpy(dtype=np.int64)[sort].tobytes(), "ends": np.cumsum(np.bincount(place[at])).tobytes(),
         }])
 
     dealt = vectors.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    return dealt.groupBy("dim", "shard").applyInPandas(one, "dim int, shard int, vectors binary, edges binary, start int, ids binary, ends binary")
+    return dealt.groupBy("dim", "shard").applyInPandas(one, "dim int, shard int, units binary, edges binary, start int, vectors binary, nodes binary, ids binary, ends binary")
 
 
 def search_shards(index: DataFrame, queries: DataFrame, shards: int, k: int) -> DataFrame:
@@ -162,14 +188,17 @@ def search_shards(index: DataFrame, queries: DataFrame, shards: int, k: int) ->
             row, dim = shard.iloc[0], int(shard["dim"].iloc[0])
             vectors = np.frombuffer(row["vectors"], dtype=np.float64).reshape(-1, dim)
             edges = np.frombuffer(row["edges"], dtype=np.int32).reshape(-1, DEGREE)
-            ids, ends = np.frombuffer(row["ids"], dtype=np.int64), np.frombuffer(row["ends"], dtype=np.int64)
+            ids, ends, nodes = (np.frombuffer(row[n], dtype=np.int64) for n in ("ids", "ends", "nodes"))
+            unit = np.frombuffer(row["units"], dtype=np.float32).reshape(-1, dim)
             exact = np.stack([np.asarray(v, dtype=np.float64) for v in block["embedding"]])
-            unit = (vectors / np.sqrt((vectors * vectors).sum(axis=1))[:, None]).astype(np.float32)
-            asked = (exact / np.sqrt((exact * exact).sum(axis=1))[:, None]).astype(np.float32)
+            asked = directions(exact)
             best, _ = greedy(unit, edges, int(row["start"]), asked, SEARCH_BEAM)
-            best = best[:, :k + 3]
-            for query, vector, near in zip(block["vec_id"].tolist(), exact, best, strict=True):
-                near = near[near >= 0]
+            for query, vector, single, beam in zip(block["vec_id"].tolist(), exact, asked, best, strict=True):
+                beam = beam[beam >= 0]
+                rough = unit[beam] @ single
+                # Whatever lies within rounding of the (k + 1)-th is ranked exactly, with all vectors of its direction.
+                near = beam[rough >= np.sort(rough)[::-1][min(k, len(rough) - 1)] - ROUNDING]
+                near = np.concatenate([np.arange(nodes[v - 1] if v else 0, nodes[v]) for v in near.tolist()])
                 score = cosines(np.broadcast_to(vector, (len(near), dim)), vectors[near])
                 here = [(-s, i) for s, v in zip(score.tolist(), near.tolist(), strict=True)
                         for i in ids[ends[v - 1] if v else 0:ends[v]][:k + 1].tolist() if i != query]

@@ -100,14 +100,15 @@ def _grow(bins, edges, gradient, curvature, depth, leaf, ridge, rate) -> Tree:
     return tree
 
 
-def platt(margin: np.ndarray, y: np.ndarray, steps: int = 50) -> tuple[float, float]:
+def platt(margin: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, steps: int = 50) -> tuple[float, float]:
     """Slope and offset that make 1/(1+exp(-(slope*margin+offset))) a probability (Newton steps, slightly shrunk)."""
+    weight = np.ones(len(y)) if weight is None else weight * len(y) / weight.sum()
     design, w = np.stack([margin, np.ones_like(margin)], axis=1), np.array([1.0, 0.0])
     goal = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / (len(y) - y.sum() + 2))
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        hess = design.T @ (design * (p * (1 - p))[:, None]) + 1e-3 * np.eye(2)
-        step = np.linalg.solve(hess, design.T @ (goal - p) - 1e-3 * (w - [1.0, 0.0]))
+        hess = design.T @ (design * (weight * p * (1 - p))[:, None]) + 1e-3 * np.eye(2)
+        step = np.linalg.solve(hess, design.T @ (weight * (goal - p)) - 1e-3 * (w - [1.0, 0.0]))
         w = w + np.clip(step, -1, 1)
         if np.abs(step).max() < 1e-6:
             break

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StructType
 
 BATCH_ROWS = 500
 BROADCAST_ROWS = 500_000
@@ -18,14 +18,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def map_rows(df: DataFrame, work: Callable[[Iterable[tuple]], Iterator[tuple]], schema: str) -> DataFrame:
+def map_rows(df: DataFrame, work: Callable[[Iterable[tuple]], Iterator[tuple]], schema: str | StructType) -> DataFrame:
     """Pass the rows of each Arrow batch to ``work`` as tuples and collect the tuples it yields.
 
     Batches hold few rows, so that a batch of long texts fits into a Python worker. ``work`` gets one
     iterable per batch and lives as long as the partition, so it can keep caches between batches.
     """
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    fields = list(to_arrow_schema(DataType.fromDDL(schema)))
+    fields = list(to_arrow_schema(DataType.fromDDL(schema) if isinstance(schema, str) else schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -121,5 +121,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows whose text holds no item, with all their columns; rows with a null text stay."""
     leaks = kept(find_leaks(docs, benchmark).select(F.col("text_md5").alias("leak_md5")).distinct(), "leaks")
-    key = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
-    return docs.join(broadcast_below(leaks), key == F.col("leak_md5"), "left_anti")
+    key = F.coalesce(F.md5(docs["text"].cast("binary")), F.lit(""))
+    return docs.join(broadcast_below(leaks), key == leaks["leak_md5"], "left_anti")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -34,7 +35,7 @@ _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _GROUP = re.compile(r"[0-9]+")
 _PLUS = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL_PHONE = re.compile(r"[0-9]{3}(?:\) ?|[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])")
-_SPELLED = re.compile(r"[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]{1,63}(?: ?(?:\[dot\]|\(dot\)| dot |\.) ?[A-Za-z0-9-]{1,63}){1,8}")
+_SPELLED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]++(?: ?(?:\[dot\]|\(dot\)| dot |\.) ?[A-Za-z0-9-]++)+")
 _HINT = re.compile(r"mail|tel|phone|fax|call|card|visa|credit|ip|host|addr", re.IGNORECASE)
 
 Span = tuple[int, int, int]
@@ -93,7 +94,8 @@ def propose(text: str) -> list[Span]:
         groups = [(m.start(), m.end()) for m in _GROUP.finditer(text, run.start(), run.end())]
         for i, (start, _) in enumerate(groups):
             size = 0
-            for low, end in groups[i:]:
+            for j in range(i, len(groups)):
+                low, end = groups[j]
                 size += end - low
                 if size > 19:
                     break
@@ -140,13 +142,39 @@ def features(text: str, span: Span) -> list[float]:
     ]
 
 
-def sure_label(text: str, span: Span, base: list[Span]) -> int | None:
+class Taken:
+    """Spans that do not meet others of their kind, in order, so that one look finds whether another one would."""
+
+    def __init__(self, spans: Iterable[Span]):
+        self.starts: dict[int, list[int]] = {}
+        self.ends: dict[int, list[int]] = {}
+        for span in sorted(spans):
+            self.add(span)
+
+    def add(self, span: Span) -> None:
+        kind, start, end = span
+        at = bisect_left(self.starts.setdefault(kind, []), start)
+        self.starts[kind].insert(at, start)
+        self.ends.setdefault(kind, []).insert(at, end)
+
+    def has(self, span: Span) -> bool:
+        kind, start, end = span
+        at = bisect_left(self.starts.get(kind, []), start)
+        return at < len(self.starts.get(kind, [])) and self.starts[kind][at] == start and self.ends[kind][at] == end
+
+    def meets(self, span: Span) -> bool:
+        kind, start, end = span
+        at = bisect_left(self.starts.get(kind, []), end)
+        return at > 0 and self.ends[kind][at - 1] > start
+
+
+def sure_label(text: str, span: Span, base: Taken) -> int | None:
     """1 and 0 for sure cases, None for unknown ones."""
     kind, start, end = span
-    if span in base:
+    if base.has(span):
         clean = not (text[start - 1:start] if start else "").isalnum() and not text[end:end + 1].isalnum()
         return 1 if clean else None
-    if any(k == kind and s < end and start < e for k, s, e in base):
+    if base.meets(span):
         return 0
     body = text[start:end]
     digits = _digits(body)
@@ -202,8 +230,9 @@ def train(docs: DataFrame) -> Model:
             if not text:
                 continue
             base = base_spans(text)
+            sure = Taken(base)
             for span in sorted({*propose(text), *base}):
-                label = sure_label(text, span, base)
+                label = sure_label(text, span, sure)
                 if label is not None:
                     yield f"{doc_id}:{span}", label, features(text, span)
 
@@ -217,12 +246,12 @@ def train(docs: DataFrame) -> Model:
 
 def select(spans: list[Span], scores: np.ndarray, base: list[Span], least: list[float]) -> list[Span]:
     """Best first, the proposals above their kind's threshold that meet no chosen span of their kind."""
-    taken = list(base)
+    taken, chosen = Taken(base), list(base)
     for i in np.argsort(-scores, kind="stable"):
-        kind, start, end = spans[i]
-        if scores[i] >= least[kind] and not any(k == kind and s < end and start < e for k, s, e in taken):
-            taken.append(spans[i])
-    return sorted(taken)
+        if scores[i] >= least[spans[i][0]] and not taken.meets(spans[i]):
+            taken.add(spans[i])
+            chosen.append(spans[i])
+    return sorted(chosen)
 
 
 def listed(spans: Iterable[Span]) -> str:
@@ -245,8 +274,8 @@ def find_pii(docs: DataFrame, model: Model | None = None) -> DataFrame:
         for (_, text), base in zip(rows, bases, strict=True):
             open_ = []
             if text and fitted.trees:
-                known = set(base)
-                open_ = [s for s in sorted(propose(text)) if s not in known and sure_label(text, s, base) is None]
+                sure = Taken(base)
+                open_ = [s for s in sorted(propose(text)) if not sure.has(s) and sure_label(text, s, sure) is None]
             proposals.append(open_)
         x = [features(text, s) for (_, text), spans in zip(rows, proposals, strict=True) for s in spans]
         scores, at = fitted.scores(np.array(x)) if x else np.zeros(0), 0

@@ -11,10 +11,13 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from .common import map_rows
 
@@ -28,7 +31,10 @@ _ASSIGN_NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]++")
 _HEX = re.compile(r"[0-9a-f]{16,}+")
 _SIGN = re.compile(r":=|=>|[:=]")
-_OPERAND = re.compile(r"""\s*+(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|([A-Za-z_$][\w.$-]*+(?=\s|[;,)}+]|$))|([^\s"',;(){}\[\]<>]+))""")
+_OPERAND = re.compile(r"""\s*+(?:"((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|([A-Za-z_$][\w.$-]*+(?=\s|[;,)}+]|$))|([^\s"',;(){}\[\]<>&?:=]++(?::(?!\s)[^\s"',;(){}\[\]<>&?:=]*+)*+))""")
+_NAME = re.compile(r"[A-Za-z_$][\w.$-]*+")
+_MORE = re.compile(r"""[^\s"',;(){}\[\]<>&?]*+""")
+_PADDING = re.compile(r"""={1,2}+(?=[\s"',;(){}\[\]<>&?]|$)""")
 _JOIN = re.compile(r"[ \t]*\+")
 _NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-$")
 _WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+|[0-9]+")
@@ -56,8 +62,15 @@ def base_spans(text: str) -> list[Span]:
 
 
 def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]]]]:
-    """Every name with its operands (``literal`` or ``name``, value, start, end), in reading order."""
+    """Every name with its operands (``literal`` or ``name``, value, start, end), in reading order.
+
+    A bare operand ends at white space, quotes, brackets, separators, ``&`` and ``?``, and before the sign of another assignment,
+    that is where a name comes before ``=``; other signs in it belong to it and are not read again.
+    """
+    past = 0
     for sign in _SIGN.finditer(text):
+        if sign.start() < past:
+            continue
         end = sign.start()
         while end > 0 and text[end - 1] in " \t":
             end -= 1
@@ -75,8 +88,15 @@ def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, str, int, int]
         while match := _OPERAND.match(text, at):
             group = match.lastindex
             kind = "name" if group == 3 else "literal"
-            operands.append((kind, match[group], match.start(group), match.end(group)))
-            joined = _JOIN.match(text, match.end())
+            begin, end = match.span(group)
+            if group == 4:
+                if padding := _PADDING.match(text, end):
+                    end = padding.end()
+                elif text[end:end + 1] == "=" and not _NAME.fullmatch(text, begin, end):
+                    end = _MORE.match(text, end).end()
+                past = max(past, end)
+            operands.append((kind, text[begin:end], begin, end))
+            joined = _JOIN.match(text, max(end, match.end()))
             if not joined:
                 break
             at = joined.end()
@@ -148,7 +168,12 @@ def listed(spans: Iterable[Span]) -> str:
 
 def all_spans(text: str, base: list[Span]) -> list[Span]:
     """Base spans and the literals that no base span covers, by start and then kind."""
-    added = [(LITERAL, s, e) for s, e, _ in method_spans(text) if not any(a <= s and e <= b for _, a, b in base)]
+    starts, reach = [a for _, a, _ in base], list(accumulate((b for _, _, b in base), max))
+    added = []
+    for s, e, _ in method_spans(text):
+        before = bisect_right(starts, s)
+        if not before or reach[before - 1] < e:
+            added.append((LITERAL, s, e))
     return sorted({*base, *added}, key=lambda s: (s[1], s[0], s[2]))
 
 
@@ -162,24 +187,32 @@ def masked(text: str, spans: list[Span]) -> str:
     return "".join([*out, text[at:]])
 
 
-def find_secrets(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+def find_secrets(docs: DataFrame) -> DataFrame:
     """All secrets of every whole text.
 
     Returns doc_id, n_assign, n_access, n_hex and base_sha256 (of the base spans), spans (all spans by start,
-    then kind; code points, end exclusive), masked (the text without them; null stays null) and the columns named
-    in ``keep``. A null text counts as empty, an empty text has no spans. Every row gives one row, repeated and null
+    then kind; code points, end exclusive) and masked (the text without them; null stays null). A null text counts as empty, an empty text has no spans. Every row gives one row, repeated and null
     doc_ids included; other columns are not looked at.
     """
-    kept = [c for c in keep if c not in ("doc_id", "text")]
-
     def work(rows: Iterable[tuple]) -> Iterator[tuple]:
-        for doc_id, text, *rest in rows:
+        for doc_id, text in rows:
             base = base_spans(text) if text else []
             spans = all_spans(text, base) if text else []
             digest = hashlib.sha256(listed(base).encode()).hexdigest()
-            yield (doc_id, *(sum(k == kind for k, _, _ in base) for kind in range(3)), digest, listed(spans), text and masked(text, spans), *rest)
+            yield doc_id, *(sum(k == kind for k, _, _ in base) for kind in range(3)), digest, listed(spans), text and masked(text, spans)
 
-    types = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, masked string"
-    schema += "".join(f", {c} {types[c]}" for c in kept)
-    return map_rows(docs.select("doc_id", "text", *kept), work, schema)
+    return map_rows(docs.select("doc_id", "text"), work, schema)
+
+
+def mask_secrets(docs: DataFrame) -> DataFrame:
+    """The rows with all their columns and the secrets of their texts masked; a null text stays null, every row stays."""
+    def work(rows: Iterable[tuple]) -> Iterator[tuple]:
+        for text, *rest in rows:
+            yield (masked(text, all_spans(text, base_spans(text))) if text else text, *rest)
+
+    def named(c: str) -> Column:
+        return docs[f"`{c.replace('`', '``')}`"]
+
+    ordered = docs.select("text", *(named(c) for c in docs.columns if c != "text"))
+    return map_rows(ordered, work, ordered.schema).select(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns])

@@ -201,7 +201,10 @@ def fit(rows: DataFrame, sample: DataFrame, terms: list[str]) -> Model:
     total = rows.count()
     each = {r["t"]: r["count"] for r in rows.select(F.explode("terms").alias("t")).groupBy("t").count().collect()}
     idf = np.array([np.log((1 + total) / (1 + each.get(i, 0))) + 1 for i in range(len(terms))])
-    found = rows.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).orderBy("doc_id").toPandas()
+    known = rows.join(F.broadcast(sample), "doc_id")
+    # Of several texts of one doc_id the first by terms and counts, so that the model does not depend on the partitions.
+    known = known.groupBy("doc_id", "y", "weight").agg(F.min(F.struct("terms", "counts")).alias("v"))
+    found = known.select("doc_id", "v.terms", "v.counts", "y", "weight").orderBy("doc_id").toPandas()
     labels, weights = found["y"].to_numpy(dtype=float), found["weight"].to_numpy(dtype=float)
     full = np.array([len(t) > 0 for t in found["terms"]], dtype=bool)
     prior = float((labels @ weights + 0.5) / (weights.sum() + 1))
@@ -212,7 +215,7 @@ def fit(rows: DataFrame, sample: DataFrame, terms: list[str]) -> Model:
     model.index = Index.build(own["doc_id"].tolist(), own["y"].tolist(), own["weight"].tolist(), examples, max(1, len(terms)))
     if len(own) >= 20 and 0 < own["y"].sum() < len(own):
         margins = np.array([model.vote(t, n, d)[0] for t, n, d in zip(own["terms"], own["counts"], own["doc_id"], strict=True)])
-        model.slope, model.offset = boosting.platt(margins, own["y"].to_numpy(dtype=float))
+        model.slope, model.offset = boosting.platt(margins, own["y"].to_numpy(dtype=float), own["weight"].to_numpy(dtype=float))
     return model
 
 
@@ -249,7 +252,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows whose text is not predicted toxic, with all their columns; the fold of a row does not matter here."""
+    """The rows whose text is not predicted toxic, with all their columns; the fold of a row does not matter here.
+
+    A labelled document does not vote for itself. Null and empty texts get the score of texts without terms; repeated rows
+    are kept or go together; an empty table gives none.
+    """
     model, _ = train(docs, labels)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     known: dict = {}
@@ -258,10 +265,9 @@ def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
         fitted = shared.value
         for row in batch:
             found = sorted(counted(row[1], fitted.numbers, known).items())
-            score, _, _ = fitted.score([t for t, _ in found], [n for _, n in found], None)
+            score, _, _ = fitted.score([t for t, _ in found], [n for _, n in found], row[0])
             if score < LEAST_SCORE:
                 yield row
 
-    ordered = docs.select("doc_id", "text", *(c for c in docs.columns if c not in ("doc_id", "text")))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ordered.schema.fields)
-    return map_rows(ordered, work, schema).select(*docs.columns)
+    ordered = docs.select("doc_id", "text", *(docs[f"`{c.replace('`', '``')}`"] for c in docs.columns if c not in ("doc_id", "text")))
+    return map_rows(ordered, work, ordered.schema).select(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns])

@@ -60,3 +60,15 @@ def test_pruning_keeps_diverse_neighbours():
     unit = np.array([[1, 0], [0.999, 0.045], [0.998, 0.063], [0.9, -0.436]], dtype=np.float32)
     kept = ann.prune(unit, np.array([0]), np.array([[1, 2, 3, 3]]), 1.0)[0]
     assert sorted(kept[kept >= 0].tolist()) == [1, 3]
+
+
+def test_scaled_copies_and_extremes_rank_by_exact_cosine_and_id(spark):
+    draw = np.random.default_rng(3)
+    base = draw.normal(size=6)
+    rows = [(i, (base * (i + 1)).tolist()) for i in range(60)] + [(100 + i, draw.normal(size=6).tolist()) for i in range(60)]
+    rows += [(500, (base * 1e200).tolist()), (501, (base * 1e-200).tolist())]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0).collect()
+    vectors = {i: ann.in_range(np.array([v]))[0] for i, v in rows}
+    for query in (0, 50, 100, 150, 500):
+        want = sorted((-ann.cosines(vectors[query][None], v[None])[0], i) for i, v in vectors.items() if i != query)[:5]
+        assert [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == query] == [(i, -s) for s, i in want]

@@ -7,11 +7,15 @@ import duckdb
 import public_tokenizers
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__
 import corpus_pipeline
 from tabulary.llm import bagminhash, decontaminate, queries, secrets, toxicity
 from tabulary.llm.common import table
 
+from .fixtures import AWKWARD, documents
+
 FOLDER = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -69,3 +73,19 @@ def test_stages_do_what_their_operators_decide(spark, tmp_path):
     assert after.where("n_chars != length(text)").isEmpty()
     before, after = seen["bpe"]
     assert ids(after) == ids(before) and public_tokenizers.PATTERN
+
+
+def test_stages_take_awkward_rows_and_clashing_names(spark, tmp_path):
+    """Null, empty and long texts, repeated rows, null ids, and columns named like the operators' own or with blanks."""
+    docs = documents(spark, AWKWARD).withColumn("a b", F.lit(1)).withColumn("leak_md5", F.lit("x")).withColumn("lost_id", F.lit(2))
+    for start in (docs, docs.limit(0)):
+        rows = start
+        for number, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, rows, FOLDER)
+            path = str(tmp_path / f"{name}-{start is docs}-{number}")
+            out.write.parquet(path)
+            rows = spark.read.parquet(path)
+            if name != "bpe":
+                assert rows.columns == docs.columns
+        want = {r[0] for r in AWKWARD} if start is docs else set()
+        assert {r.doc_id for r in rows.collect()} == want

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import re
+import time
 
 import numpy as np
 
@@ -105,10 +106,45 @@ def test_operands_may_stand_far_behind_their_sign():
 
 def test_secrets_of_awkward_rows(spark):
     docs = documents(spark, [*AWKWARD, (8, 'token = "abcdefabcdefabcd" and AKIAABCDEFGHIJKLMN')])
-    rows = secrets.find_secrets(docs, ("doc_id", "text", "lang")).collect()
+    rows = secrets.find_secrets(docs).collect()
     assert len(rows) == len(AWKWARD) + 1
     found = {r.doc_id: r for r in rows}
     assert (found[8].n_assign, found[8].n_hex, found[8].n_access) == (1, 1, 1)
     assert found[8].spans == "assign:0:25,hex:9:25,access:31:49" and found[8].masked == '[SECRET]" and [SECRET]'
-    assert found[1].masked is None and found[2].masked == "" and found[8].lang == "en"
+    assert found[1].masked is None and found[2].masked == ""
     assert secrets.find_secrets(documents(spark, [])).count() == 0
+    hidden = secrets.mask_secrets(docs)
+    assert hidden.columns == docs.columns and {r.doc_id: r.text for r in hidden.collect()}[8] == found[8].masked
+
+
+def test_long_texts_of_signs_and_numbers_take_seconds():
+    begun = time.perf_counter()
+    for text in ("a=b&" * 250_000, "a:b:" * 250_000, "k=1=" * 250_000, "password = x" + "=" * 500_000, "token: 'a " * 100_000):
+        secrets.all_spans(text, secrets.base_spans(text))
+    for text in ("1 " * 150_000, "+1 555 123 4567, " * 60_000, "1.2.3.4." * 120_000, "x" * 1_000_000 + " at y dot com", "a.b at c dot d " * 60_000):
+        base = pii.base_spans(text)
+        spans = pii.propose(text)
+        sure = pii.Taken(base)
+        for span in spans:
+            pii.sure_label(text, span, sure)
+        pii.select(spans, np.ones(len(spans)), base, [0.0] * len(pii.KINDS))
+    assert time.perf_counter() - begun < 60
+
+
+def test_operands_end_before_the_next_assignment():
+    def spans(text):
+        return [text[s:e] for _, s, e in secrets.all_spans(text, [])]
+
+    assert spans("https://h/p?user=bob&token=Zx81kQ0pLm22&x=1") == ["Zx81kQ0pLm22"]
+    assert spans("secret=QWxhZGRpbjpvcGVuIHNlc2FtZQ== next") == ["QWxhZGRpbjpvcGVuIHNlc2FtZQ=="]
+    assert spans("note: password=hunter2XYZ99q") == ["hunter2XYZ99q"]
+    assert spans("auth_token = aB3:xY9:kL0qWe77") == ["aB3:xY9:kL0qWe77"]
+
+
+def test_chosen_spans_never_meet():
+    draw = random.Random(4)
+    for _ in range(50):
+        spans = [(draw.randrange(2), s := draw.randrange(60), s + draw.randint(1, 9)) for _ in range(30)]
+        chosen = pii.select(spans, np.array([draw.random() for _ in spans]), [], [0.3, 0.3])
+        assert all(a[0] != b[0] or a[2] <= b[1] or b[2] <= a[1] for i, a in enumerate(chosen) for b in chosen[:i])
+        assert len(chosen) == len(set(chosen))
