@@ -15,7 +15,7 @@ from tabulary.llm.common import table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted toxic go."""
+    """Documents predicted toxic go; null and empty texts are scored as texts without terms, an empty table stays empty."""
     return toxicity.reject_toxic(docs, table(spark, sf_dir, "labels"))
 
 
@@ -30,14 +30,12 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents stay; secrets in their texts are masked and n_chars follows."""
-    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    masked = secrets.find_secrets(docs, rest).withColumn("text", F.col("masked"))
-    return masked.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """All documents stay, null and empty texts and repeated rows too; secrets in their texts are masked and n_chars follows."""
+    return secrets.mask_secrets(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the texts that are left."""
+    """Token counts and digests of the texts that are left, one row a document; a null text counts as empty."""
     return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
