@@ -239,7 +239,7 @@ def relabel(labels: DataFrame, edges: DataFrame) -> DataFrame:
 def classes_of(texts: DataFrame) -> DataFrame:
     """node and component of the texts (node, text) that share a bucket with another: chains of texts that reach SIMILARITY."""
     spark = texts.sparkSession
-    signed = sign(texts).dropDuplicates(["node"])
+    signed = kept(sign(texts).dropDuplicates(["node"]), "signed")
     members = kept(crowded(signed.select(F.explode("keys").alias("key"), "node", "size"), ["key"]), "buckets")
     labels = kept(members.select("node", F.col("node").alias("component")).distinct(), "labels")
     sets = kept(sets_of(texts.join(broadcast_below(labels.select("node")), "node", "left_semi").dropDuplicates(["node"])), "shingles")
