@@ -9,8 +9,8 @@ Bands of the signature form buckets, whose members are compared until each bucke
 wanted, so every round contracts what it has linked, and a bucket or group inside one class is done. First each bucket's
 members meet a leader, which joins families of near copies at about one comparison a member. Members of buckets that are then
 still open (mostly texts that share a passage) meet only in groups below a rare shingle: of two texts that link, the rarest
-fifth of either's shingles hold a common one. Groups again meet leaders, twice as many each round, so a group of g members
-is done after at most log2(g) + 1 rounds, and no link between two classes is lost.
+fifth of either's shingles hold a common one. Groups again meet leaders, GROWTH times as many each round, so a group of g
+members is done after a few more than log(g) / log(GROWTH) rounds, and no link between two classes is lost.
 """
 
 from __future__ import annotations
@@ -24,13 +24,14 @@ from pyspark.sql import functions as F
 
 from tabulary.session import scratch_path
 
-from .common import BATCH_ROWS, broadcast_below
+from .common import BATCH_ROWS, BROADCAST_ROWS, broadcast_below
 from .shingles import mixed, portions, shared, shingles
 
 POSITIONS = 128
 BAND_ROWS = 4
 SIMILARITY = 0.8
 BUCKET_ROUNDS = 2
+GROWTH = 8
 
 
 def signatures(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -170,9 +171,9 @@ def crowded(members: DataFrame, keys: list[str]) -> DataFrame:
     return members.join(sizes, keys)
 
 
-def still_open(members: DataFrame, labels: DataFrame, keys: list[str]) -> DataFrame:
+def still_open(members: DataFrame, labels: DataFrame, keys: list[str], few: bool) -> DataFrame:
     """Members, with their present component, of buckets that hold more than one component."""
-    now = members.drop("component").join(labels, "node")
+    now = members.drop("component").join(hinted(labels, few), "node")
     several = now.groupBy(*keys).agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b").select(*keys)
     return now.join(several, keys)
 
@@ -225,58 +226,66 @@ def to_some(members: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
     return pairs, members.join(leaders.select("shingle", "node"), ["shingle", "node"], "left_anti")
 
 
-def relabel(labels: DataFrame, edges: DataFrame) -> DataFrame:
-    """Labels (node, component) after the links (node, leader); only components that meet are worked on."""
-    ends = [labels.select(F.col("node").alias(n), F.col("component").alias(c)) for n, c in (("node", "a"), ("leader", "b"))]
+def relabel(labels: DataFrame, edges: DataFrame, few: bool) -> DataFrame:
+    """Labels (node, component) after the links (node, leader); only components that meet are worked on.
+
+    ``few`` says that labels have been counted and have at most BROADCAST_ROWS rows.
+    """
+    ends = [hinted(labels.select(F.col("node").alias(n), F.col("component").alias(c)), few) for n, c in (("node", "a"), ("leader", "b"))]
     met = kept(edges.join(ends[0], "node").join(ends[1], "leader").where("a != b").select(F.col("a").alias("node"), F.col("b").alias("leader")).distinct(), "met")
     if met.isEmpty():
         return labels
-    joined = components(met).select(F.col("node").alias("component"), F.col("component").alias("new"))
-    new = labels.join(broadcast_below(joined), "component", "left").select("node", F.coalesce("new", "component").alias("component"))
+    joined = components(met, few).select(F.col("node").alias("component"), F.col("component").alias("new"))
+    new = labels.join(hinted(joined, few), "component", "left").select("node", F.coalesce("new", "component").alias("component"))
     return kept(new, "labels")
 
 
+def hinted(df: DataFrame, few: bool) -> DataFrame:
+    """The frame, with a broadcast hint if its rows have been counted and are few."""
+    return F.broadcast(df) if few else df
+
+
 def classes_of(texts: DataFrame) -> DataFrame:
     """node and component of the texts (node, text) that share a bucket with another: chains of texts that reach SIMILARITY."""
     spark = texts.sparkSession
     signed = kept(sign(texts).dropDuplicates(["node"]), "signed")
     members = kept(crowded(signed.select(F.explode("keys").alias("key"), "node", "size"), ["key"]), "buckets")
     labels = kept(members.select("node", F.col("node").alias("component")).distinct(), "labels")
-    sets = kept(sets_of(texts.join(broadcast_below(labels.select("node")), "node", "left_semi").dropDuplicates(["node"])), "shingles")
+    few = labels.count() <= BROADCAST_ROWS
+    sets = kept(sets_of(texts.join(hinted(labels.select("node"), few), "node", "left_semi").dropDuplicates(["node"])), "shingles")
     for step in range(BUCKET_ROUNDS):
         pairs = kept(to_leaders(members.select("key", "node", "size"), families=step == 0), "pairs")
-        labels = relabel(labels, linked(pairs, sets))
+        labels = relabel(labels, linked(pairs, sets), few)
         if step:
             first = members.groupBy("key").agg(F.min(F.struct("size", "node"))["node"].alias("node"))
             members = members.join(first, ["key", "node"], "left_anti")
-        members = kept(still_open(members, labels, ["key"]), "buckets")
+        members = kept(still_open(members, labels, ["key"], few), "buckets")
     left = kept(members.select("node").distinct(), "nodes")
     if left.isEmpty():
         return labels
     sets = kept(sets.join(broadcast_below(left), "node", "left_semi"), "shingles")
-    groups = kept(still_open(rare_groups(sets), labels, ["shingle"]), "groups")
-    tried, salts = scratch_path(spark, "tried"), 1
+    groups = kept(still_open(rare_groups(sets), labels, ["shingle"], few), "groups")
+    tried, salts = [], 1
     while not groups.isEmpty():
         pairs, rest = to_some(groups, salts)
-        if salts > 1:
-            pairs = pairs.join(spark.read.parquet(tried), ["node", "leader"], "left_anti")
-        pairs = kept(pairs, "pairs")
-        pairs.write.mode("append").parquet(tried)
-        labels = relabel(labels, linked(pairs, sets))
-        groups, salts = kept(still_open(rest, labels, ["shingle"]), "groups"), 2 * salts
+        if tried:
+            pairs = pairs.join(spark.read.parquet(*tried), ["node", "leader"], "left_anti")
+        tried.append(scratch_path(spark, "pairs"))
+        pairs.write.parquet(tried[-1])
+        labels = relabel(labels, linked(spark.read.parquet(tried[-1]), sets), few)
+        groups, salts = kept(still_open(rest, labels, ["shingle"], few), "groups"), GROWTH * salts
     return labels
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node and component (its smallest node) for all nodes of the edges, by label spreading with pointer jumps."""
-    both = kept(edges.unionByName(edges.select(F.col("leader").alias("node"), F.col("node").alias("leader"))).distinct(), "edges")
+def components(edges: DataFrame, few: bool = False) -> DataFrame:
+    """node and component (its smallest node) for all nodes of the written edges, by label spreading with pointer jumps."""
+    both = edges.unionByName(edges.select(F.col("leader").alias("node"), F.col("node").alias("leader")))
     labels = kept(both.groupBy("node").agg(F.least(F.min("leader"), F.col("node")).alias("component")), "labels")
     while True:
-        near = both.join(labels.select(F.col("node").alias("leader"), "component"), "leader").select("node", "component")
-        least = near.unionByName(labels).groupBy("node").agg(F.min("component").alias("component"))
+        near = both.join(hinted(labels.select(F.col("node").alias("leader"), "component"), few), "leader").select("node", "component", F.lit(None).cast("binary").alias("old"))
+        least = near.unionByName(labels.withColumn("old", F.col("component"))).groupBy("node").agg(F.min("component").alias("component"), F.max("old").alias("old"))
         jump = least.select(F.col("node").alias("component"), F.col("component").alias("far"))
-        new = least.join(jump, "component", "left").select("node", F.least("component", "far").alias("component"))
-        new = kept(new.join(labels.select("node", F.col("component").alias("old")), "node"), "labels")
+        new = kept(least.join(jump, "component", "left").select("node", F.least("component", "far").alias("component"), "old"), "labels")
         labels = new.select("node", "component")
         if new.where("component != old").isEmpty():
             return labels
