@@ -79,35 +79,61 @@ def _over(by: list[str]):
     return Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
 
 
+PART_MEMBERS = 1000
+
+
+def _member_rows(df: DataFrame, url: str, sets: list[str], prefix: str) -> DataFrame:
+    """One row for each member of each set, as (url, set, member); a null member is told apart from every text."""
+    def marked(name: str) -> Column:
+        of_set = F.lit(name).alias("set")
+        return F.transform(F.col(f"{prefix}{name}").cast("array<string>"), lambda m: F.struct(of_set, F.coalesce(F.concat(F.lit("="), m), F.lit("")).alias("member")))
+
+    return df.withColumn("at", F.explode(F.array_distinct(F.concat(*[marked(n) for n in sets])))).select(
+        F.col(url).alias("url"), "at.set", "at.member", *[c for c in df.columns if c != url])
+
+
 def contains_all(
     wanted: DataFrame, registry: DataFrame, url: str, sets: dict[str, tuple[str, str]]
 ) -> DataFrame:
     """Wanted rows for which one registry entry of the url holds all wanted members.
 
-    ``sets`` maps a name to (wanted array, registry array). Equal questions and equal
-    entries are asked once, and an entry meets only the questions whose first member it
-    holds, so a busy url does not pair up whole. A question whose first array is empty
-    meets every entry of its url, since any entry can answer it.
+    ``sets`` maps a name to (wanted array, registry array). Equal questions and equal entries are asked once. A question
+    probes an inverted index with that member of its sets which the fewest entries of the url hold; a member that no entry
+    holds answers it at once. A member held by many entries, or asked for by many questions, is cut into a grid of parts of
+    about PART_MEMBERS each, so a busy url spreads over tasks. A question without members is answered by any entry
+    of its url. Null urls and null arrays, wanted or held, never match; a null member is a member like others.
     """
-    probe_have = next(iter(sets.values()))[1]
+    names = list(sets)
     questions = wanted.select(
         F.col(url).alias("q_url"), *[F.col(w).alias(f"q_{n}") for n, (w, _) in sets.items()]
-    ).distinct()
-    entries = (
-        registry.select(url, *[F.array_sort(F.array_distinct(h)).alias(h) for _, h in sets.values()])
-        .distinct()
-        .select(
-            F.col(url).alias("e_url"), F.explode(F.array_append(F.col(probe_have).cast("array<string>"), F.lit(None).cast("string"))).alias("e_member"),
-            *[F.col(h).alias(f"e_{n}") for n, (_, h) in sets.items()],
-        )
-    )
-    first = next(iter(sets))
-    condition = (F.col("q_url") == F.col("e_url")) & F.try_element_at(F.col(f"q_{first}").cast("array<string>"), F.lit(1)).eqNullSafe(F.col("e_member"))
-    for name in sets:
-        condition = condition & (F.size(F.array_except(F.col(f"q_{name}"), F.col(f"e_{name}"))) == 0)
-    answered = questions.join(entries, condition, "left_semi").select(
-        F.col("q_url").alias(url), *[F.col(f"q_{n}").alias(w) for n, (w, _) in sets.items()]
+    ).dropna().distinct()
+    entries = registry.select(
+        F.col(url).alias("e_url"), *[F.array_sort(F.array_distinct(h)).alias(f"e_{n}") for n, (_, h) in sets.items()]
+    ).dropna().distinct()
+    asked = [f"q_{n}" for n in names]
+    key = ["url", "set", "member"]
+    index = _member_rows(entries, "e_url", names, "e_")
+    held = index.groupBy(*key).agg(F.count(F.lit(1)).alias("entries"))
+    least = F.min_by(F.struct("set", "member", "entries"), F.struct(F.coalesce("entries", F.lit(0)), "set", "member"))
+    probes = (
+        _member_rows(questions, "q_url", names, "q_").join(held, key, "left").groupBy("url", *asked).agg(least.alias("probe"))
+        .where("probe.entries is not null").select("url", "probe.*", *asked)
     )
+    parts = probes.groupBy(*key).agg(
+        F.ceil(F.first("entries") / PART_MEMBERS).cast("int").alias("rows"), F.ceil(F.count(F.lit(1)) / PART_MEMBERS).cast("int").alias("columns"))
+
+    def placed(df: DataFrame, own: str, other: str, by: list[str]) -> DataFrame:
+        spread = df.join(parts, key).withColumn(f"{own}_part", F.pmod(F.xxhash64(*by), F.col(own)))
+        return spread.withColumn(f"{other}_part", F.explode(F.sequence(F.lit(0), F.col(other) - 1))).drop("rows", "columns")
+
+    holding = [F.size(F.array_except(f"q_{n}", f"e_{n}")) == 0 for n in names]
+    left = placed(probes, "columns", "rows", asked).withColumn("rows_part", F.col("rows_part").cast("long")).alias("l")
+    right = placed(index, "rows", "columns", [f"e_{n}" for n in names]).withColumn("columns_part", F.col("columns_part").cast("long")).alias("r")
+    met = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in (*key, "rows_part", "columns_part")]
+    found = left.join(right, [*met, *holding], "left_semi").select(F.col("url").alias("q_url"), *asked)
+    bare = questions.where(" and ".join(f"size({c}) = 0" for c in asked)).join(
+        entries.select(F.col("e_url").alias("q_url")).distinct(), "q_url", "left_semi")
+    answered = found.unionByName(bare).distinct().select(F.col("q_url").alias(url), *[F.col(f"q_{n}").alias(w) for n, (w, _) in sets.items()])
     return wanted.join(answered, [url, *[w for w, _ in sets.values()]], "left_semi").select(*wanted.columns)
 
 

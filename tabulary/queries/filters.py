@@ -8,7 +8,8 @@ from ..functions.decoded import with_decoded
 from ..functions.numbers import percent_basis_points
 from ..operators import checks
 from ..registry import dataset
-from .common import Query, shown, table
+from ..sources import feeds
+from .common import ABSENT, Query, shown, table
 
 
 def blank_rows(spark, folder):
@@ -27,14 +28,19 @@ WHERE trim(a) <> '' OR trim(b, chr(9) || ' ') <> ''"""
 
 
 def observed_rows(spark, folder):
-    """Wanted event types with a value; other types are skipped."""
+    """Purchases and clicks as secured-rate rows of their day and number; those with a rate are observations."""
     ev = table(spark, folder, "events").filter(F.col("event_type").isin("purchase", "click"))
-    rows = ev.select("event_id", "event_type", F.expr("CASE WHEN event_id % 4 <> 0 THEN CAST(round(value * 100) AS BIGINT) END").alias("rate"))
-    return shown(rows.filter(F.col("rate").isNotNull()))
+    figures = {c: F.lit(None).cast("bigint") for c in feeds.WIDE_VALUES}
+    figures["rate_basis_points"] = F.expr("CASE WHEN event_id % 4 <> 0 THEN CAST(round(value * 100) AS BIGINT) END")
+    figures["volume_billions"] = F.col("event_id")
+    figures[feeds.AVERAGED[0]] = F.col("event_id")
+    wide = ev.select(F.to_date("ts").alias("date"), *[v.alias(c) for c, v in figures.items()])
+    return shown(feeds.observations(wide))
 
 
-OBSERVED_SQL = """
-SELECT event_id, event_type, CAST(round(value * 100) AS BIGINT) AS rate FROM events
+OBSERVED_SQL = f"""
+SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, CAST(round(value * 100) AS BIGINT) AS rate_basis_points, {", ".join(f"{ABSENT} AS percentile_{p}_basis_points" for p in (1, 25, 75, 99))},
+       event_id AS volume_billions FROM events
 WHERE event_type IN ('purchase', 'click') AND event_id % 4 <> 0"""
 
 
