@@ -9,7 +9,7 @@ Bands of the signature form buckets, whose members are compared until each bucke
 wanted, so every round contracts what it has linked, and a bucket or group inside one class is done. First each bucket's
 members meet a leader, which joins families of near copies at about one comparison a member. Members of buckets that are then
 still open (mostly texts that share a passage) meet only in groups below a rare shingle: of two texts that link, the rarest
-fifth of either's shingles hold a common one. Groups again meet leaders, GROWTH times as many each round, so a group of g
+fifth of either's shingles hold a common one, from which on both hold as many as a link needs. Groups again meet leaders, GROWTH times as many each round, so a group of g
 members is done after a few more than log(g) / log(GROWTH) rounds, and no link between two classes is lost.
 """
 
@@ -179,11 +179,12 @@ def still_open(members: DataFrame, labels: DataFrame, keys: list[str], few: bool
 
 
 def rare_groups(sets: DataFrame) -> DataFrame:
-    """Members (shingle, node, size) of groups of texts below their rarest shingles, for texts (node, shingles).
+    """Members (shingle, node, size, rest) of groups of texts below their rarest shingles, for texts (node, shingles).
 
     The occurrences of a shingle count as different ones. Texts of sizes a and b that link have 0.8 (a + b) / 1.8 in common, no
     less than 0.8 a, so among the rarest a / 5 + 1 of the one and b / 5 + 1 of the other, by an order that all texts share,
-    there is a common one. Shingles of one text only come first and form no group.
+    there is a common one. Shingles of one text only come first and form no group. ``rest`` is how many shingles of the text
+    come from this one on: two texts have no more than the lesser rest in common if this is the first that they share.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,8 +202,9 @@ def rare_groups(sets: DataFrame) -> DataFrame:
     alone = F.col("size") - F.size("many")
     many = placed.groupBy("node", "size").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("many"))
     room = F.floor((1 - SIMILARITY) * F.col("size") + 1e-6) + 1 - alone
-    chosen = many.where(room > 0).select("node", "size", F.explode(F.slice(F.col("many.shingle"), F.lit(1), F.least(room, F.size("many")).cast("int"))).alias("shingle"))
-    return crowded(chosen, ["shingle"])
+    first = F.slice(F.col("many.shingle"), F.lit(1), F.least(room, F.size("many")).cast("int"))
+    chosen = many.where(room > 0).select("node", "size", F.size("many").alias("most"), F.posexplode(first).alias("place", "shingle"))
+    return crowded(chosen.select("shingle", "node", "size", (F.col("most") - F.col("place")).alias("rest")), ["shingle"])
 
 
 def kept(df: DataFrame, label: str) -> DataFrame:
@@ -215,12 +217,13 @@ def kept(df: DataFrame, label: str) -> DataFrame:
 def to_some(members: DataFrame, salts: int) -> tuple[DataFrame, DataFrame]:
     """Pairs (node, leader) of each group's members with up to ``salts`` leaders of other components, and the members without these leaders.
 
-    Members (shingle, node, size, component); the first of each salt by size and node leads.
+    Members (shingle, node, size, rest, component); the first of each salt by size and node leads. A pair whose rests are less
+    than a link needs is left to the group of the first shingle that both share, where they are enough if it links.
     """
     salted = members.withColumn("salt", F.pmod(F.xxhash64("node", "shingle"), F.lit(salts)))
-    leaders = salted.groupBy("shingle", "salt").agg(F.min(F.struct("size", "node", "component")).alias("first")).select("shingle", "first.*")
-    others = leaders.select("shingle", *(F.col(c).alias(f"b_{c}") for c in ("node", "size", "component")))
-    alike = F.least("size", "b_size") >= SIMILARITY * F.greatest("size", "b_size") - 1e-6
+    leaders = salted.groupBy("shingle", "salt").agg(F.min(F.struct("size", "node", "component", "rest")).alias("first")).select("shingle", "first.*")
+    others = leaders.select("shingle", *(F.col(c).alias(f"b_{c}") for c in ("node", "size", "component", "rest")))
+    alike = (1 + SIMILARITY) * F.least("rest", "b_rest") >= SIMILARITY * (F.col("size") + F.col("b_size")) - 1e-6
     met = members.join(others, "shingle").where(F.col("component") != F.col("b_component")).where(alike)
     pairs = met.select(F.greatest("node", "b_node").alias("node"), F.least("node", "b_node").alias("leader")).distinct()
     return pairs, members.join(leaders.select("shingle", "node"), ["shingle", "node"], "left_anti")
