@@ -1,9 +1,10 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and word beginnings. Those that go with the label in a bounded labelled sample form the
-vocabulary, so that a few telling words are not drowned by the rest of a long text; their document counts are taken
-over all documents. Labelled examples lie in postings by term, in blocks whose largest weight is
-known; blocks that cannot reach the K-th best cosine are passed over. Neighbours vote by cosine.
+Terms are words and word beginnings, all that the texts of a bounded labelled sample hold; their document counts are taken
+over all documents. A term that no labelled text holds meets none of them and is left out of the norm too, which scales all
+cosines of a text alike. Labelled examples lie in postings by term, in blocks whose largest weight is known; blocks that cannot
+reach the K-th best cosine are passed over. The DENSE most frequent terms are kept as rows of a matrix instead, because
+most examples hold them. Neighbours vote by cosine.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ from .common import fold, fraction, map_rows
 
 FIT_POSITIVE = 4_000
 FIT_NEGATIVE = 8_000
-TERMS = 4_096
-LEAST_CHI2 = 25.0
-LEAST_DOCUMENTS = 4
+DENSE = 512
+SEARCH_ROWS = 128
+FIRST_BLOCKS = 4
 NEIGHBOURS = 10
 BLOCK = 64
 PRIOR_WEIGHT = 0.1
@@ -40,7 +41,7 @@ def terms_of(word: str) -> list[str]:
 
 
 def counted(text: str | None, numbers: dict[str, int], known: dict[str, tuple[int, ...]]) -> Counter:
-    """How often each vocabulary term occurs in a text; ``known`` remembers the terms of words."""
+    """How often each numbered term occurs in a text; ``known`` remembers the terms of words."""
     out: Counter = Counter()
     for word, n in Counter(_WORD.findall(text.lower()) if text else ()).items():
         ids = known.get(word)
@@ -53,61 +54,100 @@ def counted(text: str | None, numbers: dict[str, int], known: dict[str, tuple[in
     return out
 
 
+def ranges(start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges, one after the other."""
+    sizes = stop - start
+    return np.repeat(start - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
 @dataclass
 class Index:
-    """Postings by term in blocks of examples: ``start[t, b]`` begins term t's entries of block b, ``most`` bounds them."""
+    """Examples by term. ``row`` gives frequent terms their row of ``dense``, others have postings in entries.
+
+    An entry is a term in a block of examples: ``first[t]`` begins term t's entries, ``block`` and ``most`` are an
+    entry's block and largest weight, ``start`` begins its postings (``example``, ``value``).
+    """
 
     ids: np.ndarray
     labels: np.ndarray
     weights: np.ndarray
+    row: np.ndarray
+    dense: np.ndarray
+    first: np.ndarray
+    block: np.ndarray
+    most: np.ndarray
+    start: np.ndarray
     example: np.ndarray
     value: np.ndarray
-    start: np.ndarray
-    most: np.ndarray
 
     @classmethod
     def build(cls, ids: list[int], labels: list[float], weights: list[float], vectors: list[tuple[np.ndarray, np.ndarray]], terms: int) -> Index:
-        blocks = -(-len(ids) // BLOCK) or 1
-        term = np.concatenate([np.zeros(0, dtype=int), *(t for t, _ in vectors)])
+        term = np.concatenate([np.zeros(0, dtype=np.int64), *(t for t, _ in vectors)]).astype(np.int64)
         example = np.repeat(np.arange(len(ids)), [len(t) for t, _ in vectors])
         value = np.concatenate([np.zeros(0), *(v for _, v in vectors)])
+        often = np.bincount(term, minlength=terms)
+        frequent = np.sort(np.argsort(-often, kind="stable")[:DENSE])
+        row = np.full(terms, -1)
+        row[frequent] = np.arange(len(frequent))
+        dense = np.zeros((len(frequent), len(ids)))
+        full = row[term] >= 0
+        dense[row[term[full]], example[full]] = value[full]
+        term, example, value = term[~full], example[~full], value[~full]
         order = np.lexsort((example, term))
         term, example, value = term[order], example[order], value[order]
-        place = term * blocks + example // BLOCK
-        start = np.searchsorted(place, np.arange(terms * blocks + 1))
-        most = np.zeros(terms * blocks)
-        np.maximum.at(most, place, value)
-        return cls(np.array(ids), np.array(labels), np.array(weights), example, value, start, most.reshape(terms, blocks))
+        begins = np.ones(len(term), dtype=bool)
+        begins[1:] = (term[1:] != term[:-1]) | (example[1:] // BLOCK != example[:-1] // BLOCK)
+        start = np.flatnonzero(begins)
+        most = np.maximum.reduceat(value, start) if len(start) else np.zeros(0)
+        first = np.searchsorted(term[start], np.arange(terms + 1))
+        return cls(np.array(ids), np.array(labels), np.array(weights), row, dense, first, example[start] // BLOCK, most, np.append(start, len(term)), example, value)
 
     def search(self, terms: np.ndarray, values: np.ndarray, own: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """The nearest examples and their cosines, best first and then by number; never the document's own example."""
+        """The nearest examples and their cosines, best first and then by id; never the document's own example."""
+        return next(self.search_many([(terms, values)], [own]))
+
+    def search_many(self, vectors: list[tuple[np.ndarray, np.ndarray]], own: list[int | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The result of ``search`` for each vector; the frequent terms of SEARCH_ROWS vectors in one matrix product."""
+        for at in range(0, len(vectors), SEARCH_ROWS):
+            part = vectors[at:at + SEARCH_ROWS]
+            weights = np.zeros((len(part), len(self.dense)))
+            for i, (terms, values) in enumerate(part):
+                rows = self.row[terms]
+                weights[i, rows[rows >= 0]] = values[rows >= 0]
+            for (terms, values), total, me in zip(part, weights @ self.dense, own[at:at + SEARCH_ROWS], strict=True):
+                rare = self.row[terms] < 0
+                yield self._nearest(terms[rare], values[rare], total, me)
+
+    def _nearest(self, terms: np.ndarray, values: np.ndarray, total: np.ndarray, own: int | None) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.ids):
             return np.zeros(0, dtype=int), np.zeros(0)
-        bound = values @ self.most[terms]
+        if own is not None:
+            total[self.ids == own] = -2 * NEIGHBOURS
+        begin, end = self.first[terms], self.first[terms + 1]
+        entries, weight = ranges(begin, end), np.repeat(values, end - begin)
+        block = self.block[entries]
+        bound = np.maximum.reduceat(total, np.arange(0, len(total), BLOCK))
+        bound += np.bincount(block, weight * self.most[entries], len(bound))
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         best, cosines = np.zeros(0, dtype=int), np.zeros(0)
-        for batch in (order[:4], order[4:]):
+        for batch in (order[:FIRST_BLOCKS], order[FIRST_BLOCKS:]):
             if len(cosines) == NEIGHBOURS:
                 batch = batch[bound[batch] >= cosines[-1] - 1e-9]
             if not len(batch):
                 continue
-            total = np.zeros(len(self.ids))
-            blocks = self.most.shape[1]
-            for t, v in zip(terms.tolist(), values.tolist(), strict=True):
-                if len(batch) > blocks // 4:
-                    spans = [(self.start[t * blocks], self.start[(t + 1) * blocks])]
-                else:
-                    spans = [(self.start[t * blocks + b], self.start[t * blocks + b + 1]) for b in batch.tolist()]
-                for a, b in spans:
-                    total[self.example[a:b]] += v * self.value[a:b]
-            inside = np.zeros(blocks, dtype=bool)
+            inside = np.zeros(len(bound), dtype=bool)
             inside[batch] = True
-            hit = np.flatnonzero((total > 0) & inside[np.arange(len(total)) // BLOCK])
-            if own is not None:
-                hit = hit[self.ids[hit] != own]
-            best, cosines = np.concatenate([best, hit]), np.concatenate([cosines, total[hit]])
-            top = np.lexsort((best, -cosines))[:NEIGHBOURS]
+            mine = inside[block]
+            start, stop = self.start[entries[mine]], self.start[entries[mine] + 1]
+            posting = ranges(start, stop)
+            total += np.bincount(self.example[posting], np.repeat(weight[mine], stop - start) * self.value[posting], len(total))
+            cosine = np.round(total, 12)
+            hit = np.flatnonzero((cosine > 0) & np.repeat(inside, BLOCK)[:len(total)])
+            if len(hit) > NEIGHBOURS:
+                hit = hit[cosine[hit] >= np.partition(cosine[hit], -NEIGHBOURS)[-NEIGHBOURS]]
+            best, cosines = np.concatenate([best, hit]), np.concatenate([cosines, cosine[hit]])
+            top = np.lexsort((self.ids[best], -cosines))[:NEIGHBOURS]
             best, cosines = best[top], cosines[top]
         return best, cosines
 
@@ -122,24 +162,29 @@ class Model:
     slope: float
     offset: float
 
-    def vector(self, terms: list[int], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        t, n = np.array(terms, dtype=int), np.array(counts, dtype=float)
+    def vector(self, terms: Iterable[int], counts: Iterable[int]) -> tuple[np.ndarray, np.ndarray]:
+        t, n = np.asarray(terms, dtype=np.int64), np.asarray(counts, dtype=float)
         v = (1 + np.log(n)) * self.idf[t]
         return t, v / np.sqrt((v * v).sum())
 
-    def vote(self, terms: list[int], counts: list[int], own: int | None) -> tuple[float, np.ndarray, np.ndarray]:
-        """The log odds of the cosine-weighted vote, with the neighbours and their cosines."""
-        best, cosines = self.index.search(*self.vector(terms, counts), own)
-        w = cosines * self.index.weights[best]
-        share = (w @ self.index.labels[best] + PRIOR_WEIGHT * self.prior) / (w.sum() + PRIOR_WEIGHT)
-        share = min(max(share, 1e-6), 1 - 1e-6)
-        return float(np.log(share / (1 - share))), best, cosines
-
-    def score(self, terms: list[int], counts: list[int], own: int | None) -> tuple[float, np.ndarray, np.ndarray]:
-        if not terms:
-            return self.empty_score, np.zeros(0, dtype=int), np.zeros(0)
-        margin, best, cosines = self.vote(terms, counts, own)
-        return float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))), best, cosines
+    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]], own: list[int | None]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """The log odds of the cosine-weighted vote, with the neighbours and their cosines, for each vector."""
+        for best, cosines in self.index.search_many(vectors, own):
+            w = cosines * self.index.weights[best]
+            share = (w @ self.index.labels[best] + PRIOR_WEIGHT * self.prior) / (w.sum() + PRIOR_WEIGHT)
+            share = min(max(share, 1e-6), 1 - 1e-6)
+            yield float(np.log(share / (1 - share))), best, cosines
+
+    def scores(self, rows: list[tuple[Iterable[int], Iterable[int], int | None]]) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        """Score, neighbours and cosines of each row (terms, counts, doc_id)."""
+        full = [r for r in rows if len(r[0])]
+        found = self.votes([self.vector(t, n) for t, n, _ in full], [i for _, _, i in full])
+        for terms, _, _ in rows:
+            if not len(terms):
+                yield self.empty_score, np.zeros(0, dtype=int), np.zeros(0)
+                continue
+            margin, best, cosines = next(found)
+            yield float(1 / (1 + np.exp(-np.clip(self.slope * margin + self.offset, -30, 30)))), best, cosines
 
 
 def label_sample(labels: DataFrame) -> DataFrame:
@@ -156,35 +201,18 @@ def label_sample(labels: DataFrame) -> DataFrame:
     return known.where(fraction(F.col("doc_id")) < share).select("doc_id", "y", (1 / share).alias("weight"))
 
 
-def choose_terms(docs: DataFrame, sample: DataFrame) -> list[str]:
-    """Terms that go with the label: more frequent in toxic texts and a chi-square of at least LEAST_CHI2.
-
-    The TERMS strongest are taken, however often clean texts quote them. The bound is far beyond what chance gives over
-    millions of terms; copies of a text count once.
-    """
+def terms_in(docs: DataFrame, sample: DataFrame) -> list[str]:
+    """All terms of the labelled texts, in order; the bounded sample bounds them."""
 
     def work(rows: Iterable[tuple]) -> Iterator[tuple]:
-        inside: dict[str, list[int]] = {}
-        for text, y in rows:
-            for term in {t for w in set(_WORD.findall(text.lower())) for t in terms_of(w)}:
-                inside.setdefault(term, [0, 0])[y] += 1
-        yield from ((term, *n) for term, n in inside.items())
-
-    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id")
-    texts = texts.groupBy(F.md5(F.col("text").cast("binary")).alias("copy")).agg(F.first("text").alias("text"), F.max("y").alias("y")).select("text", "y")
-    sizes = {r["y"]: r["count"] for r in texts.groupBy("y").count().collect()}
-    n0, n1 = float(sizes.get(0, 0)), float(sizes.get(1, 0))
-    summed = map_rows(texts, work, "term string, without long, with long").groupBy("term").agg(F.sum("without").alias("a"), F.sum("with").alias("b"))
-    a, b = F.col("a").cast("double"), F.col("b").cast("double")
-    lift = b * (n0 - a) - a * (n1 - b)
-    chi2 = (n0 + n1) * lift * lift / (F.greatest(F.lit(n0 * n1), F.lit(1.0)) * (a + b) * F.greatest(n0 + n1 - a - b, F.lit(1.0)))
-    frequent = (F.col("b") >= LEAST_DOCUMENTS) & (lift > 0)
-    found = summed.where(frequent).withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2)
-    return [r["term"] for r in found.orderBy(F.desc("chi2"), "term").limit(TERMS).collect()]
+        yield from ((term,) for term in {t for (text,) in rows for w in set(_WORD.findall(text.lower())) for t in terms_of(w)})
+
+    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(sample), "doc_id").select("text")
+    return sorted(map_rows(texts, work, "term string").distinct().toArrow().column("term").to_pylist())
 
 
 def vectors(docs: DataFrame, numbers: dict[str, int]) -> DataFrame:
-    """doc_id with the numbers and counts of the vocabulary terms in the whole text."""
+    """doc_id with the numbers and counts of the numbered terms in the whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(numbers)
     known: dict = {}
 
@@ -199,30 +227,34 @@ def vectors(docs: DataFrame, numbers: dict[str, int]) -> DataFrame:
 def fit(rows: DataFrame, sample: DataFrame, terms: list[str]) -> Model:
     """IDF over the vectors of all documents, the index over the labelled sample, and the calibration of its votes."""
     total = rows.count()
-    each = {r["t"]: r["count"] for r in rows.select(F.explode("terms").alias("t")).groupBy("t").count().collect()}
-    idf = np.array([np.log((1 + total) / (1 + each.get(i, 0))) + 1 for i in range(len(terms))])
+    each = rows.select(F.explode("terms").alias("t")).groupBy("t").count().toArrow()
+    seen = np.zeros(len(terms))
+    seen[each.column("t").to_numpy()] = each.column("count").to_numpy()
+    idf = np.log((1 + total) / (1 + seen)) + 1
     known = rows.join(F.broadcast(sample), "doc_id")
     # Of several texts of one doc_id the first by terms and counts, so that the model does not depend on the partitions.
     known = known.groupBy("doc_id", "y", "weight").agg(F.min(F.struct("terms", "counts")).alias("v"))
-    found = known.select("doc_id", "v.terms", "v.counts", "y", "weight").orderBy("doc_id").toPandas()
-    labels, weights = found["y"].to_numpy(dtype=float), found["weight"].to_numpy(dtype=float)
-    full = np.array([len(t) > 0 for t in found["terms"]], dtype=bool)
+    found = known.select("doc_id", "v.terms", "v.counts", "y", "weight").orderBy("doc_id").toArrow()
+    ids, labels, weights = found.column("doc_id").to_pylist(), found.column("y").to_numpy().astype(float), found.column("weight").to_numpy().astype(float)
+    held = [(t.values.to_numpy(), n.values.to_numpy()) for t, n in zip(found.column("terms"), found.column("counts"), strict=True)]
+    full = np.array([len(t) > 0 for t, _ in held], dtype=bool)
     prior = float((labels @ weights + 0.5) / (weights.sum() + 1))
     empty = float((labels[~full] @ weights[~full] + 0.5 * prior) / (weights[~full].sum() + 0.5))
     model = Model({t: i for i, t in enumerate(terms)}, idf, Index.build([], [], [], [], max(1, len(terms))), prior, empty, 1.0, 0.0)
-    own = found[full]
-    examples = [model.vector(t, n) for t, n in zip(own["terms"], own["counts"], strict=True)]
-    model.index = Index.build(own["doc_id"].tolist(), own["y"].tolist(), own["weight"].tolist(), examples, max(1, len(terms)))
-    if len(own) >= 20 and 0 < own["y"].sum() < len(own):
-        margins = np.array([model.vote(t, n, d)[0] for t, n, d in zip(own["terms"], own["counts"], own["doc_id"], strict=True)])
-        model.slope, model.offset = boosting.platt(margins, own["y"].to_numpy(dtype=float), own["weight"].to_numpy(dtype=float))
+    # Examples with one most frequent term (mostly of one language) and of like length share blocks, which keeps bounds low.
+    order = sorted(np.flatnonzero(full).tolist(), key=lambda i: (held[i][0][held[i][1].argmax()], len(held[i][0]), i))
+    examples, own, y, w = [model.vector(*held[i]) for i in order], [ids[i] for i in order], labels[order], weights[order]
+    model.index = Index.build(own, y, w, examples, max(1, len(terms)))
+    if len(own) >= 20 and 0 < y.sum() < len(own):
+        margins = np.array([margin for margin, _, _ in model.votes(examples, own)])
+        model.slope, model.offset = boosting.platt(margins, y, w)
     return model
 
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[Model, DataFrame]:
     """The model and the vectors of all documents it was made from, as a written table."""
     sample = kept(label_sample(labels), "labels")
-    terms = choose_terms(docs, sample)
+    terms = terms_in(docs, sample)
     rows = kept(vectors(docs, {t: i for i, t in enumerate(terms)}), "vectors")
     return fit(rows, sample, terms), rows
 
@@ -231,7 +263,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The toxicity of every whole text.
 
     Returns doc_id, held_out (fold 1 of 3), score (probability of label 1), predicted (1 from LEAST_SCORE on) and
-    evidence (the nearest labelled documents with cosine and label). A text without any vocabulary term (null and
+    evidence (the nearest labelled documents with cosine and label). A text without any term of a labelled text (null and
     empty texts among them) gets the share of label 1 among such labelled texts; without labels the score is 0.5.
     Equal cosines go to the smaller doc_id. Every row gives one row, repeated and null doc_ids included; other columns
     are not looked at.
@@ -241,8 +273,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def work(batch: Iterable[tuple]) -> Iterator[tuple]:
         fitted = shared.value
-        for doc_id, held_out, terms, counts in batch:
-            score, best, cosines = fitted.score(terms, counts, doc_id)
+        rows = list(batch)
+        for (doc_id, held_out, _, _), (score, best, cosines) in zip(rows, fitted.scores([(t, n, i) for i, _, t, n in rows]), strict=True):
             evidence = [(int(fitted.index.ids[i]), float(c), int(fitted.index.labels[i])) for i, c in zip(best, cosines, strict=True)]
             yield doc_id, held_out, score, int(score >= LEAST_SCORE), evidence
 
@@ -263,11 +295,10 @@ def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def work(batch: Iterable[tuple]) -> Iterator[tuple]:
         fitted = shared.value
-        for row in batch:
-            found = sorted(counted(row[1], fitted.numbers, known).items())
-            score, _, _ = fitted.score([t for t, _ in found], [n for _, n in found], row[0])
-            if score < LEAST_SCORE:
-                yield row
+        rows = list(batch)
+        found = [sorted(counted(r[1], fitted.numbers, known).items()) for r in rows]
+        scores = fitted.scores([([t for t, _ in f], [n for _, n in f], r[0]) for r, f in zip(rows, found, strict=True)])
+        yield from (row for row, (score, _, _) in zip(rows, scores, strict=True) if score < LEAST_SCORE)
 
     ordered = docs.select("doc_id", "text", *(docs[f"`{c.replace('`', '``')}`"] for c in docs.columns if c not in ("doc_id", "text")))
     return map_rows(ordered, work, ordered.schema).select(*[F.col(f"`{c.replace('`', '``')}`") for c in docs.columns])

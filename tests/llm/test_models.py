@@ -138,12 +138,51 @@ def test_toxicity_is_right_on_held_out_rows(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in out if not r.predicted)
 
 
-def test_toxic_words_that_clean_texts_quote_are_terms(spark):
+def test_every_word_of_a_labelled_text_is_a_term(spark):
     rows, marks = toxic_case(random.Random(8))
-    quoted = [(i, text + " vurm" if i % 5 == 0 or i % 4 == 1 else text) for i, text in rows]
     sample = toxicity.label_sample(labels(spark, "toxic", marks))
-    terms = toxicity.choose_terms(documents(spark, quoted), sample)
-    assert {"vurm", "blaxer", "blaxeten"} <= set(terms) and not set(terms) & set(sum(WORDS.values(), []))
+    terms = toxicity.terms_in(documents(spark, rows), sample)
+    ids = {r.doc_id for r in sample.collect()}
+    words = {w for i, text in rows if i in ids for w in text.lower().split()}
+    assert terms == sorted({t for w in words for t in toxicity.terms_of(w)})
+
+
+def test_toxicity_scores_are_those_of_all_cosines(spark):
+    rows, marks = toxic_case(random.Random(11))
+    marks = [*marks, (500, 0), (500, 0)]
+    rows = [*rows, (500, "the the ship"), (500, "and über"), (501, rows[0][1]), (502, None)]
+    docs, frame = documents(spark, rows), labels(spark, "toxic", marks)
+    model, _ = toxicity.train(docs, frame)
+    bags = [Counter(t for w in (text or "").lower().split() for t in toxicity.terms_of(w)) for _, text in rows]
+    seen = Counter(t for bag in bags for t in bag)
+    sample = {r.doc_id: (r.y, r.weight) for r in toxicity.label_sample(frame).collect()}
+    inside = {t for (i, _), bag in zip(rows, bags) if i in sample for t in bag}
+
+    def vector(bag):
+        v = {t: (1 + np.log(n)) * (np.log((1 + len(rows)) / (1 + seen[t])) + 1) for t, n in bag.items() if t in inside}
+        size = np.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()}
+
+    bagged = [vector(bag) for bag in bags]
+    examples = {i: v for (i, _), v in zip(rows, bagged) if i in sample and i != 500}
+    numbers = {t: n for n, t in enumerate(sorted(inside))}
+    if 500 in sample:
+        pair = [(sorted((numbers[t], c) for t, c in bag.items() if t in numbers), v) for (i, _), bag, v in zip(rows, bags, bagged) if i == 500]
+        examples[500] = min(pair, key=lambda p: ([t for t, _ in p[0]], [c for _, c in p[0]]))[1]
+    got = sorted(((r.doc_id, r.score) for r in toxicity.score_toxicity(docs, frame).collect()))
+    want = []
+    for (i, _), v in zip(rows, bagged):
+        if not v:
+            want.append((i, model.empty_score))
+            continue
+        near = sorted(((-round(sum(x * e.get(t, 0) for t, x in v.items()), 12), j) for j, e in examples.items() if j != i))[:toxicity.NEIGHBOURS]
+        near = [(-c * sample[j][1], sample[j][0]) for c, j in near if c < 0]
+        share = (sum(c * y for c, y in near) + toxicity.PRIOR_WEIGHT * model.prior) / (sum(c for c, _ in near) + toxicity.PRIOR_WEIGHT)
+        share = min(max(share, 1e-6), 1 - 1e-6)
+        want.append((i, 1 / (1 + np.exp(-(model.slope * np.log(share / (1 - share)) + model.offset)))))
+    want.sort()
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert [x for _, x in got] == pytest.approx([x for _, x in want], abs=1e-6)
 
 
 def test_without_labels_everything_is_undecided(spark):
@@ -152,8 +191,10 @@ def test_without_labels_everything_is_undecided(spark):
     assert toxicity.score_toxicity(documents(spark, []), labels(spark, "toxic", [])).count() == 0
 
 
-def test_index_search_is_exact():
+@pytest.mark.parametrize("dense_terms", [0, 20, 50])
+def test_index_search_is_exact(monkeypatch, dense_terms):
     draw = np.random.default_rng(1)
+    monkeypatch.setattr(toxicity, "DENSE", dense_terms)
     vectors = []
     for _ in range(700):
         terms = np.sort(draw.choice(50, size=draw.integers(1, 6), replace=False))
