@@ -47,10 +47,8 @@ def entry_rules() -> dict[str, tuple[Column, str]]:
     return rules | checks.registry_argument_rules("year", "periods", "subjects")
 
 
-def read_register(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of the register; keys, types and values are checked."""
-    if not path_exists(spark, path):
-        return empty(spark, ENTRY)
+def register_rows(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Entries of the register files, and their violations of keys, types and values; a file holds one register."""
     raw = spark.read.option("wholetext", True).text(path).select(
         F.from_json("value", "archive_id string, entries array<string>").alias("r")
     ).select("r.archive_id", F.explode_outer("r.entries").alias("json"))
@@ -60,10 +58,17 @@ def read_register(spark: SparkSession, path: str) -> DataFrame:
         "entry keys": (F.col("json").isNotNull() & checks.key_set_differs(F.col("json"), [ENTRY.fieldNames()]), "bad_manifest"),
     }
     entries = rows.filter(F.col("json").isNotNull())
-    checks.assert_clean(
-        checks.all_violations(checks.violations(rows, ["path"], rules), checks.violations(entries, ["path"], entry_rules()))
-    )
-    return entries.select(*ENTRY.fieldNames())
+    found = checks.all_violations(checks.violations(rows, ["path"], rules), checks.violations(entries, ["path"], entry_rules()))
+    return entries.select(*ENTRY.fieldNames()), found
+
+
+def read_register(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of the register; keys, types and values are checked."""
+    if not path_exists(spark, path):
+        return empty(spark, ENTRY)
+    entries, found = register_rows(spark, path)
+    checks.assert_clean(found)
+    return entries
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
