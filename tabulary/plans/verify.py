@@ -9,7 +9,6 @@ from ..errors import ContractError
 from ..operators.aggregates import digest, file_digests
 from ..operators.joins import reference_gaps, row_differences
 
-FILE_MANIFEST = "file string, bytes bigint, sha256 string"
 
 
 def write_json_shards(df: DataFrame, shard: str, keys: list[str], path: str) -> None:
