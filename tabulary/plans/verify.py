@@ -10,7 +10,6 @@ from ..operators.aggregates import digest, file_digests
 from ..operators.joins import reference_gaps, row_differences
 
 
-
 def write_json_shards(df: DataFrame, shard: str, keys: list[str], path: str) -> None:
     """Records as JSON lines, one folder per shard, sorted by key."""
     (
