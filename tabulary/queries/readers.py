@@ -312,23 +312,37 @@ SELECT 400 AS interest_rate_basis_points, 90 AS older_age, CAST(size AS BIGINT)
 UNION ALL SELECT size * 100, 90, size, k * 1000000 FROM p"""
 
 
-# Feeds: one row per order, dated by its key so that every date is its own.
+# Feeds: one row per order, dated by its key so that every date is its own. Published dates have years of four digits, so the
+# keys beyond the days from 1700-01-01 to 9999-12-31 begin a further feed, and reading adds its days again.
 
-DAY_OF_KEY = "date_add(DATE'1700-01-01', CAST(o_orderkey AS INT))"
+FEED_DAYS = 3_031_512
+WITHIN = ("feed",)
+FEED_OF_KEY = f"(o_orderkey - pmod(o_orderkey, {FEED_DAYS})) DIV {FEED_DAYS}"
+DAY_OF_KEY = f"date_add(DATE'1700-01-01', CAST(pmod(o_orderkey, {FEED_DAYS}) AS INT))"
 DAY_OF_KEY_SQL = "DATE '1700-01-01' + CAST(o_orderkey AS INT)"
 
 
+def _write_feeds(rows, path: str) -> None:
+    rows.write.option("header", True).partitionBy(*WITHIN).csv(path)
+
+
+def _day_of_feed():
+    """The date as text, a year beyond 9999 without a sign."""
+    day = F.date_add("date", (F.col("feed") * FEED_DAYS).cast("int"))
+    return F.ltrim(day.cast("string"), F.lit("+")).alias("date")
+
+
 def curve_feed(spark, folder):
     """Curve feed written as CSV with a subset of tenors, read and checked."""
     path = scratch_path(spark, "curve")
     cell = "CASE WHEN o_orderkey % {} = 0 THEN 'N/A' ELSE CAST(CAST(o_custkey % 900 / 100 AS DECIMAL(6,2)) AS STRING) END AS `{}`"
     headers = ("1 Mo", "3 Mo", "10 Yr", "30 Yr")
-    table(spark, folder, "orders").selectExpr(
-        f"date_format({DAY_OF_KEY}, 'M/d/yyyy') AS Date", *[cell.format(i + 2, h) for i, h in enumerate(headers)]
-    ).write.option("header", True).csv(path)
-    rows = feeds.read_curve(spark, path)
+    _write_feeds(table(spark, folder, "orders").selectExpr(
+        f"date_format({DAY_OF_KEY}, 'M/d/yyyy') AS Date", *[cell.format(i + 2, h) for i, h in enumerate(headers)], f"{FEED_OF_KEY} AS feed"
+    ), path)
+    rows = feeds.read_curve(spark, path, WITHIN)
     keys = [key for key, _ in TENORS]
-    return shown(rows.select("date", *[F.element_at("par_yields_basis_points", keys.index(k) + 1).alias(f"y_{k}") for k in ("1_month", "2_month", "3_month", "10_year", "30_year")]))
+    return shown(rows.select(_day_of_feed(), *[F.element_at("par_yields_basis_points", keys.index(k) + 1).alias(f"y_{k}") for k in ("1_month", "2_month", "3_month", "10_year", "30_year")]))
 
 
 CURVE_SQL = f"""

@@ -52,8 +52,8 @@ NOTES = ("revision_indicator", "footnote_id")
 WIDE_VALUES = [*OBSERVED, *AVERAGED]
 
 
-def _text_schema(headers: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(h, T.StringType()) for h in [*headers, CORRUPT]])
+def _text_schema(headers: list[str], within: tuple[str, ...] = ()) -> T.StructType:
+    return T.StructType([*[T.StructField(h, T.StringType()) for h in [*headers, CORRUPT]], *[T.StructField(w, T.LongType()) for w in within]])
 
 
 def clean_headers(headers: list[str]) -> list[str]:
@@ -93,17 +93,24 @@ def check_overnight_headers(headers: list[str]) -> None:
         raise ContractError("invalid_csv", "overnight headers")
 
 
-def read_cells(spark: SparkSession, path: str | list[str], headers: list[str]) -> DataFrame:
-    """All cells as text, rows with surplus cells marked, blank rows dropped."""
+def read_cells(
+    spark: SparkSession, path: str, headers: list[str], files: list[str] | None = None, within: tuple[str, ...] = (),
+) -> DataFrame:
+    """All cells as text, rows with surplus cells marked, blank rows dropped.
+
+    ``files`` are those below ``path`` to read, if not all. ``within`` names the partition folders, as numbers, that tell
+    several feeds below one path apart.
+    """
     rows = (
-        spark.read.schema(_text_schema(headers))
+        spark.read.schema(_text_schema(headers, within))
+        .options(**({"basePath": path} if within else {}))
         .option("header", True)
         .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("nullValue", "\u0000")
         .option("emptyValue", "")
-        .csv(path)
+        .csv(files or path)
     )
     return checks.drop_blank_rows(rows, headers)
 
@@ -113,7 +120,7 @@ def _surplus() -> Column:
     return F.col(CORRUPT).isNotNull()
 
 
-def decode_curve(rows: DataFrame) -> DataFrame:
+def decode_curve(rows: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
     """date, 14 tenor columns, and ``bad_fields``."""
     columns: dict[str, Decoded] = {"date": dates.slash_date(F.col("Date"))}
     for key, header in TENORS:
@@ -121,13 +128,13 @@ def decode_curve(rows: DataFrame) -> DataFrame:
         columns[key] = numbers.percent_basis_points(cell)
     out = with_decoded(rows, columns)
     return out.select(
-        "date", *[F.col(key).cast("int").alias(key) for key, _ in TENORS], "bad_fields",
+        *within, "date", *[F.col(key).cast("int").alias(key) for key, _ in TENORS], "bad_fields",
         *([CORRUPT] if CORRUPT in rows.columns else []),
     )
 
 
-def curve_records(decoded: DataFrame) -> DataFrame:
-    return decoded.select("date", F.array(*[F.col(key) for key, _ in TENORS]).alias("par_yields_basis_points"))
+def curve_records(decoded: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
+    return decoded.select(*within, "date", F.array(*[F.col(key) for key, _ in TENORS]).alias("par_yields_basis_points"))
 
 
 def feed_violations(decoded: DataFrame, keys: list[str]) -> DataFrame:
@@ -145,18 +152,18 @@ def feed_violations(decoded: DataFrame, keys: list[str]) -> DataFrame:
     return checks.all_violations(*parts)
 
 
-def read_curve(spark: SparkSession, path: str) -> DataFrame:
-    """Yield-curve feed to (date, par_yields_basis_points), checked."""
+def read_curve(spark: SparkSession, path: str, within: tuple[str, ...] = ()) -> DataFrame:
+    """Yield-curve feed to (date, par_yields_basis_points), checked. With ``within``, a date is one of its own feed."""
     parts = []
     for headers, files in header_groups(spark, path, "Date").items():
         check_curve_headers(list(headers))
-        parts.append(decode_curve(read_cells(spark, files, list(headers))))
+        parts.append(decode_curve(read_cells(spark, path, list(headers), files, within), within))
     decoded = union_sources(*parts)
-    checks.assert_clean(feed_violations(decoded, ["date"]))
-    return curve_records(decoded)
+    checks.assert_clean(feed_violations(decoded, [*within, "date"]))
+    return curve_records(decoded, within)
 
 
-def decode_overnight(rows: DataFrame, rate_type: str) -> DataFrame:
+def decode_overnight(rows: DataFrame, rate_type: str, within: tuple[str, ...] = ()) -> DataFrame:
     """date, rate_basis_points and ``bad_fields``; a foreign rate type is bad."""
     out = with_decoded(
         rows,
@@ -167,20 +174,20 @@ def decode_overnight(rows: DataFrame, rate_type: str) -> DataFrame:
         },
     )
     return out.select(
-        "date", F.col("rate_basis_points").cast("int").alias("rate_basis_points"), "bad_fields",
+        *within, "date", F.col("rate_basis_points").cast("int").alias("rate_basis_points"), "bad_fields",
         *([CORRUPT] if CORRUPT in rows.columns else []),
     )
 
 
-def read_overnight(spark: SparkSession, path: str, rate_type: str = "EFFR") -> DataFrame:
+def read_overnight(spark: SparkSession, path: str, rate_type: str = "EFFR", within: tuple[str, ...] = ()) -> DataFrame:
     for headers in header_groups(spark, path, "Effective Date"):
         check_overnight_headers(list(headers))
-    decoded = decode_overnight(read_cells(spark, path, list(OVERNIGHT_HEADERS)), rate_type)
-    checks.assert_clean(feed_violations(decoded, ["date"]))
-    return decoded.select("date", "rate_basis_points")
+    decoded = decode_overnight(read_cells(spark, path, list(OVERNIGHT_HEADERS), within=within), rate_type, within)
+    checks.assert_clean(feed_violations(decoded, [*within, "date"]))
+    return decoded.select(*within, "date", "rate_basis_points")
 
 
-def decode_mixed(rows: DataFrame) -> DataFrame:
+def decode_mixed(rows: DataFrame, within: tuple[str, ...] = ()) -> DataFrame:
     """Partial rows of the secured rate: observations and averages, other types skipped."""
     observed = F.col("Rate Type") == "SOFR"
     wanted = rows.filter(F.col("Rate Type").isin("SOFR", "SOFRAI"))
@@ -205,22 +212,22 @@ def decode_mixed(rows: DataFrame) -> DataFrame:
     columns["footnote_id"] = text.identifier(F.col("Footnote ID"))
     out = with_decoded(wanted, columns)
     return out.select(
-        *columns, F.col("Rate Type").alias("rate_type"), "bad_fields",
+        *within, *columns, F.col("Rate Type").alias("rate_type"), "bad_fields",
         *([CORRUPT] if CORRUPT in rows.columns else []),
     )
 
 
-def combine_mixed(decoded: DataFrame) -> MergeResult:
+def combine_mixed(decoded: DataFrame, within: tuple[str, ...] = ()) -> MergeResult:
     """One wide row per date; unequal values of one field conflict."""
-    return combine_partial(decoded, ["date"], [*WIDE_VALUES, *NOTES])
+    return combine_partial(decoded, [*within, "date"], [*WIDE_VALUES, *NOTES])
 
 
-def read_mixed(spark: SparkSession, path: str) -> DataFrame:
+def read_mixed(spark: SparkSession, path: str, within: tuple[str, ...] = ()) -> DataFrame:
     for headers in header_groups(spark, path, "Effective Date"):
         check_overnight_headers(list(headers))
-    decoded = decode_mixed(read_cells(spark, path, list(OVERNIGHT_HEADERS)))
-    checks.assert_clean(feed_violations(decoded, ["date", "rate_type"]))
-    return combine_mixed(decoded).checked()
+    decoded = decode_mixed(read_cells(spark, path, list(OVERNIGHT_HEADERS), within=within), within)
+    checks.assert_clean(feed_violations(decoded, [*within, "date", "rate_type"]))
+    return combine_mixed(decoded, within).checked()
 
 
 def observations(wide: DataFrame) -> DataFrame:
