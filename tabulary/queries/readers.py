@@ -357,13 +357,13 @@ def _overnight_csv(spark, folder, path: str, kind: str, cells: dict[str, str], a
         for header in feeds.OVERNIGHT_HEADERS:
             source = {"Effective Date": f"date_format({DAY_OF_KEY}, 'MM/dd/yyyy')", "Rate Type": f"'{kind}'"} | cells
             out.append(f"{source.get(header, 'CAST(NULL AS STRING)')} AS `{header}`")
-        return out
+        return [*out, f"{FEED_OF_KEY} AS feed"]
 
     orders = table(spark, folder, "orders")
     rows = orders.selectExpr(*columns(kind, cells))
     for other_kind, other_cells in (also or {}).items():
         rows = rows.unionByName(orders.selectExpr(*columns(other_kind, other_cells)))
-    rows.write.option("header", True).csv(path)
+    _write_feeds(rows, path)
 
 
 PERCENT_OF_CUSTOMER = "CAST(CAST(o_custkey % 900 / 100 AS DECIMAL(6,2)) AS STRING)"
@@ -386,12 +386,12 @@ def mixed_feed(spark, folder):
         spark, folder, path, "SOFR",
         {"Rate (%)": PERCENT_OF_CUSTOMER, "1st Percentile (%)": "CAST(CAST(-(o_custkey % 50) / 100 AS DECIMAL(6,2)) AS STRING)", "Volume ($Billions)": "CAST(o_orderkey % 5000 AS STRING)"},
         {
-            "SOFRAI": {"30-Day Average SOFR": "CAST(CAST(o_custkey % 90000 / 100000 AS DECIMAL(9,5)) AS STRING)", "SOFR Index": "concat('1.', lpad(CAST(o_orderkey AS STRING), 8, '0'))"},
+            "SOFRAI": {"30-Day Average SOFR": "CAST(CAST(o_custkey % 90000 / 100000 AS DECIMAL(9,5)) AS STRING)", "SOFR Index": "concat(1 + o_orderkey DIV 100000000, '.', lpad(CAST(o_orderkey % 100000000 AS STRING), 8, '0'))"},
             "TGCR": {"Rate (%)": "'not read'"},
         },
     )
-    wide = feeds.read_mixed(spark, path)
-    return shown(wide.select("date", "rate_basis_points", "percentile_1_basis_points", "percentile_25_basis_points", "volume_billions",
+    wide = feeds.read_mixed(spark, path, WITHIN)
+    return shown(wide.select(_day_of_feed(), "rate_basis_points", "percentile_1_basis_points", "percentile_25_basis_points", "volume_billions",
                              "average_30_day_basis_points_scaled_1000", "average_90_day_basis_points_scaled_1000", "sofr_index_scaled_100000000"))
 
 
