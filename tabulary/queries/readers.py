@@ -372,7 +372,7 @@ PERCENT_OF_CUSTOMER = "CAST(CAST(o_custkey % 900 / 100 AS DECIMAL(6,2)) AS STRIN
 def overnight_feed(spark, folder):
     path = scratch_path(spark, "overnight")
     _overnight_csv(spark, folder, path, "EFFR", {"Rate (%)": f"CASE WHEN o_orderkey % 9 <> 0 THEN {PERCENT_OF_CUSTOMER} END"})
-    return shown(feeds.read_overnight(spark, path))
+    return shown(feeds.read_overnight(spark, path, within=WITHIN).select(_day_of_feed(), "rate_basis_points"))
 
 
 OVERNIGHT_SQL = f"""

@@ -13,7 +13,7 @@ from tabulary.sources import feeds
 KEYS = [0, 1, 59, 149_999, FEED_DAYS - 1, FEED_DAYS, FEED_DAYS + 1, 2 * FEED_DAYS, 8_999_999, 99_999_999, 100_000_000, 600_000_000]
 
 
-@pytest.mark.parametrize("name", ["curve_feed", "mixed_feed"])
+@pytest.mark.parametrize("name", ["curve_feed", "mixed_feed", "overnight_feed"])
 def test_feed_of_many_orders_agrees_with_sql(spark, tmp_path, name):
     path = str(tmp_path / "orders.parquet")
     spark.createDataFrame([(k, k % 1234) for k in KEYS], "o_orderkey long, o_custkey long").write.parquet(path)
