@@ -20,7 +20,8 @@ from .common import map_rows
 
 NO_PAIR = np.int32(2**31 - 1)
 CELLS = 1 << 17
-CACHE_PIECES = 400_000
+CACHE_PIECES = 60_000
+PORTION_CHARS = 1 << 19
 SLOT_BITS = 20
 
 
@@ -185,23 +186,52 @@ class MergeTable:
         return chosen & (at <= stop[:, None])
 
 
+def portions(texts: list[str | None]) -> Iterator[list[str | None]]:
+    """The texts in turn, in lists that end with the text that fills the portion."""
+    some, size = [], 0
+    for text in texts:
+        some.append(text)
+        size += len(text or "")
+        if size >= PORTION_CHARS:
+            yield some
+            some, size = [], 0
+    yield some
+
+
 def encoder(merges: MergeTable, pattern: str):
-    """A function from a text to (ids as lists per piece, decoded bytes per piece), with a cache of pieces."""
+    """A function from texts to (ids, their decimals, decoded bytes) of each piece of each text, with a cache of pieces.
+
+    Pieces of a portion of texts are learnt together. When ``CACHE_PIECES`` pieces were met, those not met since the time
+    before are dropped, so common pieces stay and the cache is bounded by twice that and a portion. All ids are shared
+    numbers, which else take more than the rest of an entry.
+    """
     split = regex.compile(pattern).findall
-    cache: dict[str, tuple[list[int], str, bytes]] = {}
+    number = list(range(len(merges.pieces)))
+    recent: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+    older: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
 
     def learn(pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in cache]
+        nonlocal recent, older
+        if len(recent) > CACHE_PIECES:
+            recent, older = {}, recent
+        new = []
+        for piece in pieces:
+            if piece in recent:
+                continue
+            entry = older.pop(piece, None)
+            if entry is None:
+                new.append(piece)
+            else:
+                recent[piece] = entry
         for piece, ids in zip(new, merges.encode([p.encode("utf-8") for p in new]), strict=True):
-            cache[piece] = ids, " ".join(map(str, ids)), b"".join([merges.pieces[i] for i in ids])
-
-    def encode(texts: list[str | None]) -> Iterator[list[tuple[list[int], str, bytes]]]:
-        if len(cache) > CACHE_PIECES:
-            cache.clear()
-        parts = [split(t) if t else [] for t in texts]
-        learn(set().union(*map(set, parts)))
-        for pieces in parts:
-            yield [cache[p] for p in pieces]
+            recent[piece] = tuple([number[i] for i in ids]), " ".join(map(str, ids)), b"".join([merges.pieces[i] for i in ids])
+
+    def encode(texts: list[str | None]) -> Iterator[list[tuple[tuple[int, ...], str, bytes]]]:
+        for some in portions(texts):
+            parts = [split(t) if t else [] for t in some]
+            learn(set().union(*parts))
+            for pieces in parts:
+                yield [recent[p] for p in pieces]
 
     return encode
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import public_tokenizers
 import pytest
@@ -54,3 +55,22 @@ def test_documents_with_awkward_rows(spark, library):
 def test_empty_table(spark):
     out = bpe.encode_documents(documents(spark, []), RANKS, public_tokenizers.PATTERN)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and out.count() == 0
+
+
+def test_cache_stays_bounded_within_a_batch(merges, monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 1000)
+    monkeypatch.setattr(bpe, "PORTION_CHARS", 10_000, raising=False)
+    draw = random.Random(7)
+    texts = [" ".join("".join(draw.choices("abcdefghij", k=9)) for _ in range(400)) for _ in range(100)]
+    tracemalloc.start()
+    try:
+        encode = bpe.encoder(merges, public_tokenizers.PATTERN)
+        for text, found in zip(texts, encode(texts), strict=True):
+            assert b"".join(f[2] for f in found) == text.encode()
+        del found
+        kept = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert kept < 6e6
+    again = [[list(f[0]) for f in found] for found in encode(texts[:3])]
+    assert again == [[list(f[0]) for f in found] for found in bpe.encoder(merges, public_tokenizers.PATTERN)(texts[:3])]
