@@ -6,22 +6,24 @@ soon as both phrases it holds (without its last and without its first word) are
 and is done after one full cycle, wherever that began. So lengths are interleaved and most of the work is over after little more
 than one pass, in place of one pass for each length.
 
-Which phrases are noted is kept as a table of fixed size, by hash: the step after which a slot was first noted. Two
-phrases in one slot can make a phrase active that need not be, never the reverse, so nothing is lost. Scans
-count 64-bit hashes; the phrases of several words that reach the threshold are at last spelled out and counted as strings,
-which undoes any collision of their hashes.
+Which phrases are noted is kept as bits by hash, a filter for each length and step that is sized for the phrases noted then. Two
+phrases with the same bits can make a phrase active that need not be, never the reverse, so nothing is lost. Scans
+count 64-bit hashes, which travel as sorted blocks, one for each part of the range of hashes; the phrases of several words
+that reach the threshold are at last spelled out and counted as strings, which undoes any collision of their hashes.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabulary.session import scratch_path
@@ -33,9 +35,14 @@ LONGEST = 4
 THRESHOLD = 30
 SEGMENTS = 3
 SLOT_BITS = 22
+KEY_SLOTS = 16
+PART_BYTES = (1_000_000, 32_000_000)
+MERGED = 500_000
 NEVER = 255
 TAG = 256
 PORTION_BYTES = 6_000_000
+CHUNK_BYTES = 250_000
+SPELLED = 500_000
 BATCH_ROWS = 500
 BEST = 2_000
 SCALE = 2_000_000
@@ -44,6 +51,7 @@ COVERED_PERCENT = 80
 _KIND = np.zeros(256, dtype=np.uint8)
 _KIND[[9, 32]] = 1
 _KIND[[ord(c) for c in ".,;:!?\n\v\f\r"]] = 2
+_KINDS = _KIND.tobytes()
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -52,17 +60,19 @@ class Words:
     piece each lies in."""
 
     def __init__(self, texts: list[str], langs: list[int], seeds: np.ndarray):
-        parts = [t.encode().lower() for t in texts]
-        raw = np.frombuffer(b"\n".join(parts) + b"\n", dtype=np.uint8)
-        kind = _KIND[raw]
+        parts = [t.encode() for t in texts]
+        whole = (b"\n".join(parts) + b"\n").lower()
+        raw = np.frombuffer(whole, dtype=np.uint8)
+        kind = np.frombuffer(whole.translate(_KINDS), dtype=np.uint8)
         inside = kind == 0
-        after = inside[:-1] > inside[1:]
         self.raw, self.inside = raw, inside
-        self.end = np.flatnonzero(after) + 1
+        self.end = np.flatnonzero(inside[:-1] > inside[1:]) + 1
         self.start = np.flatnonzero(inside[1:] > inside[:-1]) + 1
         if inside[0]:
             self.start = np.concatenate([[0], self.start])
-        self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.start]
+        breaks = np.zeros(len(self.start) + 1, dtype=np.int32)
+        breaks[np.searchsorted(self.start, np.flatnonzero(kind == 2))] = 1
+        self.piece = np.cumsum(breaks[:-1], dtype=np.int32)
         before = np.searchsorted(self.start, np.cumsum([len(p) + 1 for p in parts]))
         self.lang = np.repeat(np.array(langs, dtype=np.int64), np.diff(before, prepend=0))
         self.hash = mixed(self._hashes() + seeds[self.lang])
@@ -125,14 +135,34 @@ def located(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[at], np.diff(at, append=len(order))
 
 
-def noted_at(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """The step after which each hash was noted at the earliest, NEVER if it was not; each has two slots."""
-    mask, bits = np.uint64(len(table) - 1), np.uint64(len(table).bit_length() - 1)
-    return np.maximum(table[(hashes & mask).astype(np.int64)], table[(hashes >> bits & mask).astype(np.int64)])
+def slots(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two slots of each hash in a filter of so many bits, a power of two."""
+    mask, bits = np.uint64(size - 1), np.uint64(size.bit_length() - 1)
+    return hashes & mask, hashes >> bits & mask
 
 
-def _portions(batches: Iterator[pa.RecordBatch], seeds: dict[str, int]) -> Iterator[tuple[Words, list[str]]]:
-    """Words of about PORTION_BYTES of text at a time (or of one text), with the names of their languages."""
+def _set(filter_: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(filter_[(at >> np.uint64(3)).view(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & np.uint8(1))
+
+
+def noted_at(filters: list[tuple[int, np.ndarray]], hashes: np.ndarray) -> np.ndarray:
+    """The step after which each hash was noted at the earliest, NEVER if it was not, by the filters of the steps in order."""
+    noted = np.full(len(hashes), NEVER, dtype=np.uint8)
+    left, mine = None, hashes
+    for step, filter_ in filters:
+        size = 8 * len(filter_)
+        at = _set(filter_, slots(mine, size)[0])
+        at = at[_set(filter_, slots(mine[at], size)[1])]
+        noted[at if left is None else left[at]] = step
+        left = np.flatnonzero(noted == NEVER)
+        if not len(left):
+            break
+        mine = hashes[left]
+    return noted
+
+
+def _portions(batches: Iterator[pa.RecordBatch], seeds: dict[str, int], limit: int) -> Iterator[tuple[Words, list[str]]]:
+    """Words of about so many bytes of text at a time (or of one text), with the names of their languages."""
     texts, langs, size = [], [], 0
 
     def made() -> tuple[Words, list[str]]:
@@ -152,118 +182,267 @@ def _portions(batches: Iterator[pa.RecordBatch], seeds: dict[str, int]) -> Itera
                 texts.append(text)
                 langs.append(lang)
                 size += len(text)
-                if size >= PORTION_BYTES:
+                if size >= limit:
                     yield made()
                     texts, langs, size = [], [], 0
         if texts:
             yield made()
 
 
-def shared(spark: SparkSession, tables: dict[int, np.ndarray]) -> Broadcast:
-    """The tables as compressed bytes for all tasks: what is sent follows the slots in use, and 4 MB a table bound it."""
-    return spark.sparkContext.broadcast({k: zlib.compress(t.tobytes(), 1) for k, t in tables.items()})
+def shared(spark: SparkSession, filters: dict[int, list[tuple[int, np.ndarray]]]) -> Broadcast:
+    """The filters as compressed bytes for all tasks: what is sent follows the phrases noted."""
+    return spark.sparkContext.broadcast({k: [(step, zlib.compress(f.tobytes(), 1)) for step, f in of] for k, of in filters.items()})
+
+
+def _opened(sent: Broadcast) -> dict[int, list[tuple[int, np.ndarray]]]:
+    return {k: [(step, np.frombuffer(zlib.decompress(f), dtype=np.uint8)) for step, f in of] for k, of in sent.value.items()}
+
+
+def _first(part: int, parts: int) -> int:
+    """The hash at which a part of the range of hashes begins."""
+    return (part << 64) // parts
+
+
+def _blocks(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """The values between the edges as bytes."""
+    offsets = (edges * values.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
 
 
-def _opened(sent: Broadcast) -> dict[int, np.ndarray]:
-    return {k: np.frombuffer(zlib.decompress(t), dtype=np.uint8) for k, t in sent.value.items()}
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in one byte each if all fit, else in eight."""
+    return counts.astype(np.uint8 if counts.max() < 256 else np.int64)
 
 
-def scan(segment: DataFrame, sent: Broadcast, step: int) -> DataFrame:
-    """Partial counts (tag, h, n) of the phrases that are active in this step; the tag is length times TAG plus the step since when."""
+def packed(tag: int, value: np.ndarray, count: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Sorted hashes and their counts as rows (part, tag, seen, h, n), one for each part that has some."""
+    edges = np.append(np.searchsorted(value, np.array([_first(i, parts) for i in range(parts)], dtype=np.uint64)), len(value))
+    part = np.flatnonzero(np.diff(edges))
+    edges = np.append(edges[part], len(value))
+    rows = len(part)
+    columns = [pa.array(part.astype(np.int32)), pa.array(np.full(rows, tag, dtype=np.int16)), pa.array(np.zeros(rows, dtype=bool))]
+    return pa.RecordBatch.from_arrays([*columns, _blocks(value, edges), _blocks(_narrow(count), edges)], names=["part", "tag", "seen", "h", "n"])
+
+
+def _unpacked(h: bytes, n: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return np.frombuffer(h, dtype=np.uint64), np.frombuffer(n, dtype=np.uint8 if len(n) < len(h) else np.int64)
+
+
+def scan(segment: DataFrame, sent: Broadcast, step: int, parts: int) -> DataFrame:
+    """Partial counts of the phrases that are active in this step, as packed rows; the tag is length times TAG plus the step since when.
+
+    A phrase is taken for noted only if it is active, and not before it was: so its tag is the same in all scans.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _opened(sent)
-        for words, _ in _portions(batches, {}):
-            below = None
+        filters, active, size = _opened(sent), defaultdict(list), 0
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for tag, hashes in active.items():
+                yield packed(tag, *counted(np.concatenate(hashes)), parts)
+            active.clear()
+
+        for words, _ in _portions(batches, {}, CHUNK_BYTES):
+            noted = None
             for k, hashes, whole in words.phrases():
                 if k == 1:
                     groups = [(0, hashes)] if step < SEGMENTS else []
+                    noted = noted_at(filters[k], hashes)
                 else:
-                    noted = noted_at(tables[k - 1], below)
                     since = np.where(whole, np.maximum(noted[:-1], noted[1:]), NEVER)
                     groups = [(s + 1, hashes[since == s]) for s in range(max(0, step - SEGMENTS), step)]
-                below = hashes
-                for begun, active in groups:
-                    value, count = counted(active)
-                    if len(value):
-                        tag = np.full(len(value), k * TAG + begun, dtype=np.int16)
-                        yield pa.RecordBatch.from_arrays([pa.array(tag), pa.array(value.view(np.int64)), pa.array(count.astype(np.int32))], names=["tag", "h", "n"])
+                    if k < LONGEST:
+                        at = np.flatnonzero(since != NEVER)
+                        noted = np.full(len(hashes), NEVER, dtype=np.uint8)
+                        noted[at] = np.maximum(noted_at(filters[k], hashes[at]), since[at])
+                for begun, found in groups:
+                    if len(found):
+                        active[k * TAG + begun].append(found)
+            size += len(words.raw)
+            if size >= PORTION_BYTES:
+                yield from rows()
+                size = 0
+        yield from rows()
+
+    return segment.mapInArrow(run, "part int, tag short, seen boolean, h binary, n binary")
+
 
-    return segment.mapInArrow(run, "tag short, h long, n int")
+def merged(rows: DataFrame, step: int, parts: int) -> DataFrame:
+    """The packed rows with one count for each hash, without those that are done below THRESHOLD; fresh ones reach it in this step."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = defaultdict(list)
+        for batch in batches:
+            for part, tag, seen, h, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held[part, tag].append((*_unpacked(h, n), seen))
+        for (part, tag), some in held.items():
+            pieces = 1 + sum(len(value) for value, _, _ in some) // MERGED
+            first, after = _first(part, parts), _first(part + 1, parts)
+            cuts = np.array([first + (after - first) * i // pieces for i in range(1, pieces)], dtype=np.uint64)
+            edges = [np.concatenate([[0], np.searchsorted(value, cuts), [len(value)]]) for value, _, _ in some]
+            for i in range(pieces):
+                mine = [(value[e[i]:e[i + 1]], count[e[i]:e[i + 1]], seen) for (value, count, seen), e in zip(some, edges, strict=True) if e[i] < e[i + 1]]
+                if not mine:
+                    continue
+                value, count = np.concatenate([v for v, _, _ in mine]), np.concatenate([n for _, n, _ in mine]).astype(np.int64)
+                earlier = np.concatenate([np.full(len(v), seen) for v, _, seen in mine])
+                order = np.argsort(value)
+                value, count, earlier = value[order], count[order], earlier[order]
+                at = _changes(value)
+                value, total, before = value[at], np.add.reduceat(count, at), np.add.reduceat(count * earlier, at)
+                fresh = (total >= THRESHOLD) & (before < THRESHOLD)
+                rest = ~fresh
+                if tag % TAG + SEGMENTS - 1 <= step:
+                    rest &= total >= THRESHOLD
+                for new, chosen in ((True, fresh), (False, rest)):
+                    if chosen.any():
+                        columns = [[part], [tag], [new], [value[chosen].tobytes()], [_narrow(total[chosen]).tobytes()]]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+
+    names, kinds = ["part", "tag", "fresh", "h", "n"], [pa.int32(), pa.int16(), pa.bool_(), pa.binary(), pa.binary()]
+    return rows.repartitionById(parts, "part").mapInArrow(run, "part int, tag short, fresh boolean, h binary, n binary")
+
+
+def unpacked(rows: DataFrame) -> DataFrame:
+    """Frames (k, h, n) of packed rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for tag, h, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                value, count = _unpacked(h, n)
+                k = pa.array(np.full(len(value), tag // TAG, dtype=np.int8))
+                yield pa.RecordBatch.from_arrays([k, pa.array(value.view(np.int64)), pa.array(count.astype(np.int64))], names=["k", "h", "n"])
+
+    return rows.select("tag", "h", "n").mapInArrow(run, "k byte, h long, n long")
 
 
-def note(counts: DataFrame, tables: dict[int, np.ndarray], step: int) -> bool:
-    """Enter the hashes of counts (k, h) into the tables as noted after this step; whether any was new.
+def note(rows: DataFrame, step: int) -> dict[int, tuple[int, np.ndarray]]:
+    """For each length the step and a filter of the hashes of packed rows, KEY_SLOTS bits or more for each; lengths without any are left out.
 
-    At most two to the power of SLOT_BITS slots for each length come to the driver, as bits of words.
+    The filters come to the driver as bits of words, 16 bytes for each word that has some.
     """
-    found = False
-    mask = F.lit((1 << SLOT_BITS) - 1)
-    both = F.explode(F.array(F.col("h").bitwiseAND(mask), F.shiftrightunsigned("h", SLOT_BITS).bitwiseAND(mask)))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot").bitwiseAND(F.lit(63)).cast("int"))
-    rows = counts.select("k", both.alias("slot")).select("k", F.shiftright("slot", 6).alias("word"), bit.alias("bit"))
-    arrow = rows.groupBy("k", "word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    counts = rows.groupBy(F.floor(F.col("tag") / TAG).alias("k")).agg(F.sum(F.octet_length("h") / 8).cast("long").alias("keys")).collect()
+    sizes = {r.k: max(1 << SLOT_BITS, 1 << (KEY_SLOTS * r["keys"] - 1).bit_length()) for r in counts}
+    if not sizes:
+        return {}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for tag, h in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = np.sort(np.concatenate(slots(np.frombuffer(h, dtype=np.uint64), sizes[tag // TAG])))
+                word = at >> np.uint64(6)
+                first = _changes(word)
+                bits = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
+                k = pa.array(np.full(len(first), tag // TAG, dtype=np.int8))
+                yield pa.RecordBatch.from_arrays([k, pa.array(word[first].astype(np.int64)), pa.array(bits.view(np.int64))], names=["k", "word", "bits"])
+
+    words = rows.select("tag", "h").mapInArrow(run, "k byte, word long, bits long")
+    arrow = words.groupBy("k", "word").agg(F.bit_or("bits").alias("bits")).toArrow()
     k, word, bits = (arrow.column(c).to_numpy() for c in ("k", "word", "bits"))
-    for length in tables:
-        mine = k == length
-        spread = np.unpackbits(bits[mine].astype("<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        at, offset = np.nonzero(spread)
-        slots = word[mine][at] * 64 + offset
-        new = slots[tables[length][slots] == NEVER]
-        tables[length][new] = step
-        found |= bool(len(new))
-    return found
-
-
-def frequent(segments: list[DataFrame]) -> list[DataFrame]:
-    """Dynamic counting over the segments: frames (k, h, n) of all phrases that reach THRESHOLD."""
-    tables = {k: np.full(1 << SLOT_BITS, NEVER, dtype=np.uint8) for k in range(1, LONGEST)}
+    made = {}
+    for length, size in sizes.items():
+        filter_ = np.zeros(size // 64, dtype=np.int64)
+        filter_[word[k == length]] = bits[k == length]
+        made[length] = step, filter_.view(np.uint8)
+    return made
+
+
+def frequent(segments: list[DataFrame], parts: int) -> DataFrame:
+    """Dynamic counting over the segments: packed rows of all phrases that reach THRESHOLD."""
+    filters = {k: [] for k in range(1, LONGEST)}
     open_, done, step, last = None, [], 0, 0
+    ended = F.col("tag") % TAG + SEGMENTS - 1
     while step <= last + SEGMENTS - 1:
-        sent = shared(segments[0].sparkSession, tables)
-        rows = scan(segments[step % SEGMENTS], sent, step)
+        sent = shared(segments[0].sparkSession, filters)
+        rows = scan(segments[step % SEGMENTS], sent, step, parts)
         both = rows if open_ is None else rows.unionByName(open_)
-        ended, many = F.col("tag") % TAG + SEGMENTS - 1 <= step, F.col("n") >= THRESHOLD
-        counts = both.groupBy("h").agg(F.max("tag").alias("tag"), F.sum("n").alias("n"))
-        counts = kept(counts.where(many | ~ended), f"step{step}")
+        counts = kept(merged(both, step, parts), f"step{step}")
         sent.destroy()
-        reached = counts.where(many).withColumn("k", F.floor(F.col("tag") / TAG).cast("byte"))
-        if note(reached.where(F.col("k") < LONGEST), tables, step):
+        for k, made in note(counts.where("fresh").where(F.col("tag") < LONGEST * TAG), step).items():
+            filters[k].append(made)
             last = step + 1
-        done.append(reached.where(ended).select("k", "h", "n"))
-        open_ = counts.where(~ended)
+        done.append(counts.where(ended <= step))
+        open_ = counts.where(ended > step).select("part", "tag", F.lit(True).alias("seen"), "h", "n")
         step += 1
-    return done
+    return reduce(DataFrame.unionByName, done)
+
+
+def summed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """One row for each phrase, with the sum of its counts; the columns are those of the first batch, n the last."""
+    schema = held[0].schema
+    table = pa.Table.from_batches(held).group_by(schema.names[:-1], use_threads=False).aggregate([("n", "sum")])
+    return table.rename_columns({"n_sum": "n"}).select(schema.names).cast(schema).combine_chunks().to_batches()[0]
 
 
-def spell(texts: DataFrame, sent: Broadcast) -> DataFrame:
-    """lang, k, phrase and count of the phrases of several words in the tables; k = 0 stands for the number of all words."""
-    schema = pa.schema([("lang", pa.string()), ("k", pa.int8()), ("phrase", pa.string()), ("n", pa.int64())])
+def spell(texts: DataFrame, sent: Broadcast, parts: int) -> DataFrame:
+    """lang, k, phrase and count of the phrases of several words in the filters; k = 0 stands for the number of all words.
+
+    Counts travel as blocks of rows, one for each part of the range of hashes, since equal phrases have equal hashes.
+    """
+    columns = [("lang", pa.string()), ("k", pa.int8()), ("phrase", pa.string()), ("n", pa.int64())]
+    schema = pa.schema([("part", pa.int32()), *columns])
+    starts = np.array([_first(i, parts) for i in range(parts)], dtype=np.uint64)
+
+    def blocks(held: pa.RecordBatch) -> pa.RecordBatch:
+        part = held.column("part").to_numpy()
+        order = np.argsort(part, kind="stable")
+        rows, edges = held.drop_columns(["part"]).take(pa.array(order)), np.append(_changes(part[order]), len(part))
+        made = []
+        for first, after in itertools.pairwise(edges):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema) as writer:
+                writer.write_batch(rows.slice(first, after - first))
+            made.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(part[order[edges[:-1]]]), pa.array(made, pa.binary())], names=["part", "block"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = _opened(sent)
-        for words, names in _portions(batches, {}):
+        filters, held = _opened(sent), []
+        for words, names in _portions(batches, {}, PORTION_BYTES):
             langs = pa.array(names, pa.string())
             sizes = np.bincount(words.lang, minlength=len(names)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([langs, pa.array(np.zeros(len(names), np.int8)), pa.array([""] * len(names)), pa.array(sizes)], schema=schema)
+            zero = np.zeros(len(names), np.int32)
+            held.append(pa.RecordBatch.from_arrays([pa.array(zero), langs, pa.array(zero.astype(np.int8)), pa.array([""] * len(names)), pa.array(sizes)], schema=schema))
+            inner = None
             for k, hashes, whole in words.phrases():
                 if k == 1:
                     continue
-                at = np.flatnonzero(whole & (noted_at(tables[k], hashes) != NEVER))
+                at = np.flatnonzero(whole if inner is None else whole & inner[:-1] & inner[1:])
+                at = at[noted_at(filters[k], hashes[at]) != NEVER]
+                inner = np.zeros(len(hashes), dtype=bool)
+                inner[at] = True
                 first, count = located(hashes[at])
                 if len(first):
                     first = at[first]
-                    columns = [langs.take(pa.array(words.lang[first])), pa.array(np.full(len(first), k, np.int8)), words.spelled(first, k), pa.array(count)]
-                    yield pa.RecordBatch.from_arrays(columns, schema=schema)
+                    part = np.searchsorted(starts, hashes[first], side="right").astype(np.int32) - np.int32(1)
+                    found = [pa.array(part), langs.take(pa.array(words.lang[first])), pa.array(np.full(len(first), k, np.int8)), words.spelled(first, k), pa.array(count)]
+                    held.append(pa.RecordBatch.from_arrays(found, schema=schema))
+            if sum(map(len, held)) >= SPELLED:
+                held = [summed(held)]
+                if 2 * len(held[0]) >= SPELLED:
+                    yield blocks(held.pop())
+        if held:
+            yield blocks(summed(held))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, most = [], SPELLED
+        for batch in batches:
+            for block in batch.column("block").to_pylist():
+                held.extend(pa.ipc.open_stream(block))
+                if sum(map(len, held)) >= most:
+                    held = [summed(held)]
+                    most = max(SPELLED, 2 * len(held[0]))
+        if held:
+            yield summed(held)
 
-    return texts.mapInArrow(run, "lang string, k byte, phrase string, n long").groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
+    rows = texts.mapInArrow(run, "part int, block binary").repartitionById(parts, "part").select("block")
+    return rows.mapInArrow(meet, "lang string, k byte, phrase string, n long")
 
 
 def hashed(words: DataFrame) -> DataFrame:
     """lang, phrase and h, the scan's hash, of single words (lang, phrase)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, names in _portions(batches, {}):
+        for part, names in _portions(batches, {}, PORTION_BYTES):
             langs = pa.array(names, pa.string()).take(pa.array(part.lang))
             columns = [langs, part.spelled(np.arange(len(part.hash)), 1), pa.array(part.hash.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "h"])
@@ -271,6 +450,12 @@ def hashed(words: DataFrame) -> DataFrame:
     return words.select("lang", "phrase").mapInArrow(run, "lang string, phrase string, h long")
 
 
+def parts_for(size: int, usual: int) -> int:
+    """Into how many parts hashes are dealt for so many bytes of text: the usual number, but not for few bytes and more for many."""
+    least, most = PART_BYTES
+    return max(min(usual, size // least + 1), size // most + 1)
+
+
 def phrase_counts(docs: DataFrame) -> DataFrame:
     """lang, k, phrase, n: how often each phrase of 2 to LONGEST words occurs, of those that do THRESHOLD times.
 
@@ -280,19 +465,19 @@ def phrase_counts(docs: DataFrame) -> DataFrame:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     rows = docs.where("text is not null").select(
         F.coalesce("lang", F.lit("und")).alias("lang"), "text", F.pmod(F.monotonically_increasing_id(), F.lit(SEGMENTS)).cast("int").alias("segment"))
-    path = scratch_path(spark, "segments")
-    rows.write.partitionBy("segment").parquet(path)
+    path, size = scratch_path(spark, "segments"), Observation()
+    rows.observe(size, F.sum(F.octet_length("text")).alias("bytes")).write.partitionBy("segment").parquet(path)
     whole = spark.read.schema("lang string, text string, segment int").parquet(path)
     segments = [whole.where(F.col("segment") == i).select("lang", "text") for i in range(SEGMENTS)]
-    tables = {k: np.full(1 << SLOT_BITS, NEVER, dtype=np.uint8) for k in range(2, LONGEST + 1)}
-    found = reduce(DataFrame.unionByName, frequent(segments))
-    note(found.where("k > 1"), tables, 0)
-    sent = shared(spark, tables)
-    counts = spell(whole.select("lang", "text"), sent)
+    parts = parts_for(size.get.get("bytes") or 0, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = frequent(segments, parts)
+    made = note(found.where(F.col("tag") >= 2 * TAG), 0)
+    sent = shared(spark, {k: [made[k]] if k in made else [] for k in range(2, LONGEST + 1)})
+    counts = spell(whole.select("lang", "text"), sent, parts)
     long = kept(counts.where((F.col("k") == 0) | (F.col("n") >= THRESHOLD)), "phrases")
     sent.destroy()
     words = long.where("k > 1").select("lang", F.explode(F.split("phrase", " ")).alias("phrase")).distinct()
-    single = hashed(words).join(found.where("k = 1").select("k", "h", "n"), "h").select("lang", "k", "phrase", "n")
+    single = hashed(words).join(unpacked(found.where(F.col("tag") < 2 * TAG)), "h").select("lang", "k", "phrase", "n")
     return long.unionByName(kept(single, "words"))
 
 

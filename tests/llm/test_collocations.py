@@ -77,3 +77,41 @@ def test_words_and_their_hashes():
     same = collocations.Words(["two one", "one two one"], [1, 1], seeds)
     assert same.hash[0] == words.hash[3] and same.hash[1] == words.hash[5]
     assert list(same.phrases())[1][1][0] == list(same.phrases())[1][1][3]
+
+
+def test_filters_follow_the_phrases_noted(spark, monkeypatch):
+    """Noted phrases in plenty are told from others, by filters that hold all of them."""
+    monkeypatch.setattr(collocations, "SLOT_BITS", 8)
+    draw = np.random.default_rng(3)
+    hashes = np.unique(draw.integers(0, 1 << 64, 50_000, dtype=np.uint64))
+    rows = spark.createDataFrame(collocations.packed(2 * collocations.TAG + 1, hashes, np.full(len(hashes), 30), 7).to_pandas())
+    made = collocations.note(rows, 4)
+    assert list(made) == [2] and made[2][0] == 4
+    assert (collocations.noted_at([made[2]], hashes) == 4).all()
+    others = draw.integers(0, 1 << 64, 50_000, dtype=np.uint64)
+    assert (collocations.noted_at([made[2]], others) != collocations.NEVER).mean() < 0.03
+    both = collocations.noted_at([(2, np.full(32, 255, dtype=np.uint8)), made[2]], hashes)
+    assert (both == 2).all()
+
+
+def test_counts_travel_as_blocks_of_the_range_of_hashes(spark):
+    """A step deals out far fewer rows than phrases; equal hashes meet, whatever part and piece they are in."""
+    draw = random.Random(4)
+    frame = documents(spark, [(i, " ".join(f"w{draw.randrange(200)}" for _ in range(300)), "en") for i in range(40)]).select("lang", "text")
+    words = Counter(w for row in frame.collect() for w in row.text.split(" "))
+    sent = collocations.shared(spark, {k: [] for k in range(1, 4)})
+    scanned = collocations.scan(frame.coalesce(2), sent, 0, 5)
+    rows = scanned.collect()
+    assert len(rows) <= 10 < len(words) and {r.part for r in rows} == set(range(5))
+    got = collocations.unpacked(collocations.merged(scanned.unionByName(scanned), 0, 5)).collect()
+    assert sorted(r.n for r in got) == sorted(2 * n for n in words.values())
+
+
+def test_parts_and_pieces_do_not_change_the_phrases(spark, monkeypatch):
+    """Many parts, pieces and filters full of others' bits give the same phrases."""
+    for name, value in (("SLOT_BITS", 6), ("KEY_SLOTS", 1), ("PART_BYTES", (500, 3_000)), ("MERGED", 20), ("PORTION_BYTES", 2_000), ("CHUNK_BYTES", 700), ("SPELLED", 50)):
+        monkeypatch.setattr(collocations, name, value)
+    rows = corpus(5)
+    assert collocations.parts_for(sum(len(t) for _, t, _ in rows), 8) > 3
+    want = brute(rows)
+    assert sorted(map(tuple, collocations.collocations(documents(spark, rows)).collect())) == want and len(want) > 15
